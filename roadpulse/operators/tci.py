@@ -130,11 +130,13 @@ def resample_day(df: DataFrame, ts: str, entity: str, entities: Sequence[str], v
     )
 
 
-def year_adjust(df: DataFrame, first: int, second: int, by: Sequence[str], value: str = "tci") -> DataFrame:
-    """Mean daily value of complete days in two years: ratio and difference."""
+def year_adjust(
+    df: DataFrame, first: int, second: int, by: Sequence[str], value: str = "tci", unit: str = "hour", n: int = 24
+) -> DataFrame:
+    """Mean daily value of complete days (``n`` distinct units) in two years: ratio and difference."""
 
     def of(year: int, name: str) -> DataFrame:
-        full = filters.complete_days(df.where(F.col("year") == year), [*by, "year", "month", "day"])
+        full = filters.complete_days(df.where(F.col("year") == year), [*by, "year", "month", "day"], unit, n)
         daily = full.groupBy(*by, "year", "month", "day").agg(F.sum(value).alias("_sum"))
         return daily.groupBy(*by).agg(F.avg("_sum").alias(name))
 

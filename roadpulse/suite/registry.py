@@ -13,7 +13,7 @@ from roadpulse.session import tune
 from roadpulse.suite.views import CTES
 
 FAMILIES: tuple[str, ...] = (
-    "indices",
+    "indices", "aggregates", "steps", "windows",
 )
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

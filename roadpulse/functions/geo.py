@@ -17,6 +17,12 @@ from roadpulse.functions.text import unquote
 EARTH_RADIUS = 6378137.0  # fixed value: web-mercator sphere, metres
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: a column used several times in an expression
+    would otherwise be evaluated each time."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # -- text ---------------------------------------------------------------------------------
 
 
@@ -39,16 +45,18 @@ def parse_line(text: Column) -> Column:
 
 def parse_polygon(text: Column) -> Column:
     """POLYGON or MULTIPOLYGON text (quotes ignored) to member polygons."""
-    clean = F.trim(unquote(text))
-    body = F.regexp_replace(clean, r"(?i)^(MULTI)?POLYGON\s*", "")
-    multi = F.lower(clean).startswith("multi")
-    members = F.when(multi, F.regexp_replace(body, r"^\(\s*|\s*\)$", "")).otherwise(body)
 
     def member(part: Column) -> Column:
         bare = F.regexp_replace(part, r"^[\s(]+|[\s)]+$", "")
         return F.transform(F.split(bare, r"\)\s*,\s*\("), _points)
 
-    return F.transform(F.split(members, r"\)\s*\)\s*,\s*\(\s*\("), member)
+    def members(clean: Column) -> Column:
+        body = F.regexp_replace(clean, r"(?i)^(MULTI)?POLYGON\s*", "")
+        multi = F.lower(clean).startswith("multi")
+        inner = F.when(multi, F.regexp_replace(body, r"^\(\s*|\s*\)$", "")).otherwise(body)
+        return F.transform(F.split(inner, r"\)\s*\)\s*,\s*\(\s*\("), member)
+
+    return let(F.trim(unquote(text)), members)
 
 
 def _path_text(path: Column) -> Column:
@@ -67,10 +75,12 @@ def polygon_to_wkt(parts: Column) -> Column:
         shells = F.transform(rings, lambda r: F.concat(F.lit("("), _path_text(r), F.lit(")")))
         return F.concat(F.lit("("), F.array_join(shells, ", "), F.lit(")"))
 
-    texts = F.transform(parts, member)
-    return F.when(F.size(parts) == 1, F.concat(F.lit("POLYGON "), F.get(texts, F.lit(0)))).otherwise(
-        F.concat(F.lit("MULTIPOLYGON ("), F.array_join(texts, ", "), F.lit(")"))
-    )
+    def collect(texts: Column) -> Column:
+        one = F.concat(F.lit("POLYGON "), F.get(texts, F.lit(0)))
+        many = F.concat(F.lit("MULTIPOLYGON ("), F.array_join(texts, ", "), F.lit(")"))
+        return F.when(F.size(texts) == 1, one).otherwise(many)
+
+    return let(F.transform(parts, member), collect)
 
 
 def box_polygon(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -82,8 +92,10 @@ def box_polygon(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 
 def close_ring(ring: Column) -> Column:
     """Repeat the first point at the end unless it is already there."""
-    first = F.slice(ring, 1, 1)
-    return F.when(F.element_at(ring, 1) == F.element_at(ring, -1), ring).otherwise(F.concat(ring, first))
+    return let(
+        ring,
+        lambda r: F.when(F.element_at(r, 1) == F.element_at(r, -1), r).otherwise(F.concat(r, F.slice(r, 1, 1))),
+    )
 
 
 # -- structure ----------------------------------------------------------------------------
@@ -91,10 +103,13 @@ def close_ring(ring: Column) -> Column:
 
 def edges(path: Column) -> Column:
     """Consecutive points as ``struct<x1,y1,x2,y2>``; a single point gives one empty edge."""
-    n = F.greatest(F.size(path) - 1, F.lit(0))
-    pairs = F.zip_with(F.slice(path, F.lit(1), n), F.slice(path, F.lit(2), n), _edge)
-    lone = F.transform(path, lambda p: _edge(p, p))
-    return F.when(F.size(path) == 1, lone).otherwise(pairs)
+
+    def build(p: Column) -> Column:
+        n = F.greatest(F.size(p) - 1, F.lit(0))
+        pairs = F.zip_with(F.slice(p, F.lit(1), n), F.slice(p, F.lit(2), n), _edge)
+        return F.when(F.size(p) == 1, F.transform(p, lambda q: _edge(q, q))).otherwise(pairs)
+
+    return let(path, build)
 
 
 def _edge(a: Column, b: Column) -> Column:
@@ -112,14 +127,15 @@ def polygon_points(parts: Column) -> Column:
 
 def bbox(points: Column) -> Column:
     """``struct<x0,y0,x1,y1>`` of a list of points."""
-    xs = F.transform(points, lambda p: p["x"])
-    ys = F.transform(points, lambda p: p["y"])
-    return F.struct(
-        F.array_min(xs).alias("x0"),
-        F.array_min(ys).alias("y0"),
-        F.array_max(xs).alias("x1"),
-        F.array_max(ys).alias("y1"),
-    )
+
+    def build(ps: Column) -> Column:
+        xs, ys = F.transform(ps, lambda p: p["x"]), F.transform(ps, lambda p: p["y"])
+        return F.struct(
+            F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"),
+            F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"),
+        )
+
+    return let(points, build)
 
 
 def vertex_count(parts: Column) -> Column:
@@ -189,9 +205,12 @@ def _ring_area(ring: Column) -> Column:
 
 def part_area(rings: Column) -> Column:
     """Shell area less its holes."""
-    areas = F.transform(rings, _ring_area)
-    holes = F.aggregate(F.slice(areas, F.lit(2), F.size(areas)), F.lit(0.0), lambda a, b: a + b)
-    return F.get(areas, F.lit(0)) - holes
+
+    def net(areas: Column) -> Column:
+        holes = F.aggregate(F.slice(areas, F.lit(2), F.size(areas)), F.lit(0.0), lambda a, b: a + b)
+        return F.get(areas, F.lit(0)) - holes
+
+    return let(F.transform(rings, _ring_area), net)
 
 
 def area(parts: Column) -> Column:
@@ -231,14 +250,20 @@ def largest_part(parts: Column) -> Column:
 
 def scale(parts: Column, factor: float = 1.1) -> Column:
     """Scale about the centre of the bounding box."""
-    box = bbox(polygon_points(parts))
-    cx, cy = (box["x0"] + box["x1"]) / 2, (box["y0"] + box["y1"]) / 2
-    return _each_point(
-        parts,
-        lambda p: F.struct(
-            (cx + (p["x"] - cx) * factor).alias("x"), (cy + (p["y"] - cy) * factor).alias("y")
-        ),
-    )
+
+    def grow(ps: Column) -> Column:
+        def about(box: Column) -> Column:
+            cx, cy = (box["x0"] + box["x1"]) / 2, (box["y0"] + box["y1"]) / 2
+            return _each_point(
+                ps,
+                lambda p: F.struct(
+                    (cx + (p["x"] - cx) * factor).alias("x"), (cy + (p["y"] - cy) * factor).alias("y")
+                ),
+            )
+
+        return let(bbox(polygon_points(ps)), about)
+
+    return let(parts, grow)
 
 
 def _turn(a: Column, b: Column, c: Column) -> Column:
@@ -261,31 +286,36 @@ def _chain(points: Column) -> Column:
         length = F.coalesce(F.array_max(keep), F.lit(1))
         return F.concat(F.slice(chain, F.lit(1), length), F.array(p))
 
-    start = F.slice(points, 1, 1)
-    return F.aggregate(F.slice(points, F.lit(2), F.size(points)), start, add)
+    def fold(ps: Column) -> Column:
+        return F.aggregate(F.slice(ps, F.lit(2), F.size(ps)), F.slice(ps, 1, 1), add)
+
+    return let(points, fold)
 
 
 def convex_hull(points: Column) -> Column:
     """Convex hull of a list of points, as a polygon (monotone chain)."""
-    ordered = F.array_sort(F.array_distinct(points))
-    lower, upper = _chain(ordered), _chain(F.reverse(ordered))
-    ring = F.concat(F.slice(lower, F.lit(1), F.size(lower) - 1), upper)
-    return F.array(F.array(ring))
+
+    def both(ordered: Column) -> Column:
+        upper = _chain(F.reverse(ordered))
+        return let(
+            _chain(ordered),
+            lambda lower: F.array(F.array(F.concat(F.slice(lower, F.lit(1), F.size(lower) - 1), upper))),
+        )
+
+    return let(F.array_sort(F.array_distinct(points)), both)
 
 
 def snap(parts: Column, tolerance: Column) -> Column:
     """Vertices moved to a lattice, consecutive repeats and collapsed rings dropped."""
 
+    def at(v: Column) -> Column:
+        return F.round(F.round(v / tolerance) * tolerance, 9)
+
     def ring(points: Column) -> Column:
-        moved = F.transform(
-            points,
-            lambda p: F.struct(
-                (F.round(p["x"] / tolerance) * tolerance).alias("x"),
-                (F.round(p["y"] / tolerance) * tolerance).alias("y"),
-            ),
-        )
-        return F.filter(
-            moved, lambda p, i: (i == 0) | (p != F.get(moved, F.greatest(i - 1, F.lit(0))))
+        moved = F.transform(points, lambda p: F.struct(at(p["x"]).alias("x"), at(p["y"]).alias("y")))
+        return let(
+            moved,
+            lambda m: F.filter(m, lambda p, i: (i == 0) | (p != F.get(m, F.greatest(i - 1, F.lit(0))))),
         )
 
     rings = F.transform(parts, lambda rs: F.filter(F.transform(rs, ring), lambda r: F.size(r) >= 4))
@@ -295,30 +325,43 @@ def snap(parts: Column, tolerance: Column) -> Column:
 def shrink_to_text(parts: Column, max_chars: int = 5000, step: float = 0.005, steps: int = 40) -> Column:
     """Finest of a ladder of snapped shapes whose text is shorter than ``max_chars``.
 
-    The ladder is the shape itself and then lattices of ``step``, ``2 step`` ... ; the coarsest is
-    the answer if nothing fits.
+    The ladder is the shape itself and then lattices of ``step``, ``2 step`` ... ; the coarsest that
+    has not collapsed is the answer if nothing fits.
     """
-    whole = polygon_to_wkt(parts)
-    ladder = F.transform(
-        F.sequence(F.lit(1), F.lit(steps)), lambda k: polygon_to_wkt(snap(parts, k * F.lit(step)))
-    )
-    fits = F.filter(ladder, lambda t: F.length(t) < max_chars)
-    return F.when(F.length(whole) < max_chars, whole).otherwise(
-        F.coalesce(F.get(fits, F.lit(0)), F.element_at(ladder, -1))
-    )
+
+    def coarser(ps: Column) -> Column:
+        shapes = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda k: snap(ps, k * F.lit(step)))
+        return F.transform(F.filter(shapes, lambda s: F.size(s) > 0), polygon_to_wkt)
+
+    def choose(ladder: Column, whole: Column) -> Column:
+        fits = F.filter(ladder, lambda t: F.length(t) < max_chars)
+        return F.coalesce(F.get(fits, F.lit(0)), F.get(ladder, F.size(ladder) - 1), whole)
+
+    def pick(ps: Column) -> Column:
+        return let(
+            polygon_to_wkt(ps),
+            lambda whole: F.when(F.length(whole) < max_chars, whole).otherwise(
+                let(coarser(ps), lambda ladder: choose(ladder, whole))
+            ),
+        )
+
+    return let(parts, pick)
 
 
 def split_box(box: Column) -> Column:
     """Two halves of a box, cut across its longer side (across y when square)."""
-    x0, y0, x1, y1 = (box[k] for k in ("x0", "y0", "x1", "y1"))
-    mx, my = x0 + (x1 - x0) / 2, y0 + (y1 - y0) / 2
 
-    def make(a, b, c, d):
+    def make(a: Column, b: Column, c: Column, d: Column) -> Column:
         return F.struct(a.alias("x0"), b.alias("y0"), c.alias("x1"), d.alias("y1"))
 
-    tall = F.array(make(x0, y0, x1, my), make(x0, my, x1, y1))
-    wide = F.array(make(x0, y0, mx, y1), make(mx, y0, x1, y1))
-    return F.when((y1 - y0) >= (x1 - x0), tall).otherwise(wide)
+    def halves(b: Column) -> Column:
+        x0, y0, x1, y1 = (b[k] for k in ("x0", "y0", "x1", "y1"))
+        mx, my = x0 + (x1 - x0) / 2, y0 + (y1 - y0) / 2
+        tall = F.array(make(x0, y0, x1, my), make(x0, my, x1, y1))
+        wide = F.array(make(x0, y0, mx, y1), make(mx, y0, x1, y1))
+        return F.when((y1 - y0) >= (x1 - x0), tall).otherwise(wide)
+
+    return let(box, halves)
 
 
 def _clip_side(ring: Column, axis: str, bound: Column, keep_low: bool) -> Column:
@@ -342,19 +385,25 @@ def _clip_side(ring: Column, axis: str, bound: Column, keep_low: bool) -> Column
             .otherwise(F.slice(F.array(end), 1, 0))
         )
 
-    out = F.flatten(F.transform(edges(ring), step))
-    return F.when(F.size(out) == 0, out).otherwise(F.concat(out, F.slice(out, 1, 1)))
+    return let(
+        F.flatten(F.transform(edges(ring), step)),
+        lambda out: F.when(F.size(out) == 0, out).otherwise(F.concat(out, F.slice(out, 1, 1))),
+    )
 
 
 def clip_polygon(parts: Column, box: Column) -> Column:
     """Polygon cut to a box; a concave ring may keep bridges of zero width (its area stays right)."""
 
-    def ring(points: Column) -> Column:
-        sides = [("x", box["x0"], False), ("x", box["x1"], True), ("y", box["y0"], False), ("y", box["y1"], True)]
-        return reduce(lambda r, s: _clip_side(r, *s), sides, points)
+    def clip(b: Column) -> Column:
+        sides = [("x", b["x0"], False), ("x", b["x1"], True), ("y", b["y0"], False), ("y", b["y1"], True)]
+
+        def ring(points: Column) -> Column:
+            return reduce(lambda r, s: _clip_side(r, *s), sides, points)
+
+        cut = F.transform(parts, lambda rs: F.filter(F.transform(rs, ring), lambda r: F.size(r) >= 4))
+        return F.filter(cut, lambda rs: F.size(rs) > 0)
 
-    cut = F.transform(parts, lambda rs: F.filter(F.transform(rs, ring), lambda r: F.size(r) >= 4))
-    return F.filter(cut, lambda rs: F.size(rs) > 0)
+    return let(box, clip)
 
 
 # -- predicates ---------------------------------------------------------------------------
@@ -401,10 +450,69 @@ def boxes_overlap(a: Column, b: Column) -> Column:
     )
 
 
+def segment_meets_box(e: Column, box: Column) -> Column:
+    """Closed test: an end is in the box or a side is met."""
+    x0, y0, x1, y1 = (box[k] for k in ("x0", "y0", "x1", "y1"))
+    held = e["x1"].between(x0, x1) & e["y1"].between(y0, y1)
+    sides = [(x0, y0, x1, y0), (x1, y0, x1, y1), (x1, y1, x0, y1), (x0, y1, x0, y0)]
+    meets = [
+        segments_meet(e, {"x1": a, "y1": b, "x2": c, "y2": d}) for a, b, c, d in sides
+    ]
+    return reduce(lambda a, b: a | b, meets, held)
+
+
+def box_meets(ring_edges: Column, box: Column) -> Column:
+    """A polygon (all its ring edges) and a box share a point."""
+
+    def test(b: Column) -> Column:
+        corner = point_inside(b["x0"], b["y0"], ring_edges)
+        return corner | F.exists(ring_edges, lambda e: segment_meets_box(e, b))
+
+    return let(box, test)
+
+
+def convex_share(e: Column, ring_edges: Column) -> Column:
+    """Share of a segment inside a convex ring given counter-clockwise.
+
+    Each ring edge is a half-plane that cuts the parameter range of the segment from one side.
+    """
+
+    def measure(s: Column) -> Column:
+        def cut(acc: Column, r: Column) -> Column:
+            ends = F.struct(
+                _side(r["x1"], r["y1"], r["x2"], r["y2"], s["x1"], s["y1"]).alias("a"),
+                _side(r["x1"], r["y1"], r["x2"], r["y2"], s["x2"], s["y2"]).alias("b"),
+            )
+
+            def narrow(t: Column) -> Column:
+                a, b = t["a"], t["b"]
+                at = a / F.nullif(a - b, F.lit(0.0))
+                low = F.when((a < 0) & (b > 0), F.greatest(acc["low"], at)).when((a < 0) & (b <= 0), F.lit(2.0))
+                high = F.when((b < 0) & (a > 0), F.least(acc["high"], at))
+                return F.struct(
+                    F.coalesce(low, acc["low"]).alias("low"), F.coalesce(high, acc["high"]).alias("high")
+                )
+
+            return let(ends, narrow)
+
+        start = F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high"))
+        return F.aggregate(
+            ring_edges, start, cut, lambda acc: F.greatest(F.lit(0.0), acc["high"] - acc["low"])
+        )
+
+    return let(e, measure)
+
+
 def intersects(path: Column, parts: Column) -> Column:
     """A line meets a polygon: boxes overlap, and an end is inside or an edge is crossed."""
-    ring_edges = polygon_edges(parts)
-    start = F.get(path, F.lit(0))
-    near = boxes_overlap(bbox(path), bbox(polygon_points(parts)))
-    crossing = F.exists(edges(path), lambda s: F.exists(ring_edges, lambda e: segments_meet(s, e)))
-    return near & (point_inside(start["x"], start["y"], ring_edges) | crossing)
+
+    def against(ring_edges: Column) -> Column:
+        start = F.get(path, F.lit(0))
+        crossing = F.exists(edges(path), lambda s: F.exists(ring_edges, lambda r: segments_meet(s, r)))
+        return point_inside(start["x"], start["y"], ring_edges) | crossing
+
+    near = let(
+        F.struct(bbox(path).alias("a"), bbox(polygon_points(parts)).alias("b")),
+        lambda t: boxes_overlap(t["a"], t["b"]),
+    )
+    return near & let(polygon_edges(parts), against)

@@ -90,9 +90,9 @@ def complete_weeks(df: DataFrame, by: Sequence[str], day: str, n: int = 7) -> Da
 
 def full_panel(df: DataFrame, entity: str, time: str) -> DataFrame:
     """Entities with a row in every period that occurs."""
-    periods = df.agg(F.countDistinct(time).alias("_all"))
+    periods = df.agg(F.countDistinct(time)).scalar()
     counts = df.groupBy(entity).agg(F.countDistinct(time).alias("_n"))
-    full = counts.join(periods, counts["_n"] == periods["_all"], "left_semi").select(entity)
+    full = counts.where(F.col("_n") == periods).select(entity)
     return df.join(full, entity, "left_semi")
 
 

@@ -52,6 +52,27 @@ class Quad:
         )
 
 
+class Lattice:
+    """Rectangular cells given by columns (origin and cell sizes); the level argument is unused."""
+
+    def __init__(self, x0: Column, y0: Column, dx: Column, dy: Column):
+        self.x0, self.y0, self.dx, self.dy = x0, y0, dx, dy
+
+    def ix(self, x: Column, resolution: int = 0) -> Column:
+        return F.floor((x - self.x0) / self.dx)
+
+    def iy(self, y: Column, resolution: int = 0) -> Column:
+        return F.floor((y - self.y0) / self.dy)
+
+    def box(self, ix: Column, iy: Column, resolution: int = 0) -> tuple[Column, Column, Column, Column]:
+        return (
+            self.x0 + ix * self.dx,
+            self.y0 + iy * self.dy,
+            self.x0 + (ix + 1) * self.dx,
+            self.y0 + (iy + 1) * self.dy,
+        )
+
+
 def cell_id(resolution: int, ix: Column, iy: Column) -> Column:
     return F.concat_ws("-", F.lit(resolution), ix.cast("string"), iy.cast("string"))
 
@@ -76,7 +97,7 @@ def edge_cells(df: DataFrame, edge: str, grid: Quad, resolution: int) -> DataFra
     return df.withColumn("ix", F.explode(xs)).withColumn("iy", F.explode(ys))
 
 
-def line_cells(path: Column, grid: Quad, resolution: int) -> Column:
+def line_cells(path: Column, grid: Quad | Lattice, resolution: int = 0) -> Column:
     """Distinct half-open cells a line runs through, as ``array<struct<ix,iy>>`` inside the row."""
 
     def of_edge(e: Column) -> Column:
@@ -134,19 +155,24 @@ def centre_cells(polygons: DataFrame, grid: Quad, resolution: int, keys: Sequenc
 
 
 def polygon_index(
-    regions: DataFrame, grid: Quad, resolution: int, key: str = "region_slug", wkt: str = "region_shapefile_wkt"
+    regions: DataFrame,
+    grid: Quad,
+    resolution: int,
+    key: str | Sequence[str] = "region_slug",
+    wkt: str = "region_shapefile_wkt",
 ) -> DataFrame:
     """Per (polygon, cell): ``centre`` flag and the ring edges passing through the cell."""
-    shapes = regions.select(F.col(key), geo.polygon_edges(geo.parse_polygon(F.col(wkt))).alias("edges"))
+    keys = [key] if isinstance(key, str) else list(key)
+    shapes = regions.select(*keys, geo.polygon_edges(geo.parse_polygon(F.col(wkt))).alias("edges"))
     border = (
-        edge_cells(shapes.select(key, F.explode("edges").alias("e")), "e", grid, resolution)
-        .groupBy(key, "ix", "iy")
+        edge_cells(shapes.select(*keys, F.explode("edges").alias("e")), "e", grid, resolution)
+        .groupBy(*keys, "ix", "iy")
         .agg(F.collect_list("e").alias("edges"))
     )
-    inside = centre_cells(shapes, grid, resolution, [key], "edges").withColumn("centre", F.lit(True))
+    inside = centre_cells(shapes, grid, resolution, keys, "edges").withColumn("centre", F.lit(True))
     none = F.slice(F.array(F.struct(*[F.lit(0.0).alias(c) for c in ("x1", "y1", "x2", "y2")])), 1, 0)
-    return border.join(inside, [key, "ix", "iy"], "full").select(
-        key,
+    return border.join(inside, [*keys, "ix", "iy"], "full").select(
+        *keys,
         "ix",
         "iy",
         F.coalesce("centre", F.lit(False)).alias("centre"),

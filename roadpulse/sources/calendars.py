@@ -68,8 +68,8 @@ def pad_calendar(daily: DataFrame, calendar: DataFrame, key: str = "region_slug"
     calendar, built by exploding the calendar into each region.
     """
     regions = daily.select(key).distinct()
-    days = calendar.agg(F.collect_set(F.struct("year", "month", "day", "dow")).alias("days"))
-    full = regions.join(days).select(key, F.explode("days").alias("b"))
+    days = calendar.agg(F.collect_set(F.struct("year", "month", "day", "dow")).alias("days")).scalar()
+    full = regions.select(key, F.explode(days).alias("b"))
     b = F.col("b")
     on = (
         (full[key] == daily[key])
@@ -78,11 +78,12 @@ def pad_calendar(daily: DataFrame, calendar: DataFrame, key: str = "region_slug"
         & (b["day"] == daily["day"])
     )
     joined = full.join(daily, on, "full")
-    length = F.when(
-        F.coalesce(full[key], daily[key]).isin(list(sampled)), daily["sum_length"]
-    ).otherwise(F.coalesce(daily["sum_length"], F.lit(0.0))) if sampled else F.coalesce(daily["sum_length"], F.lit(0.0))
+    region = F.coalesce(full[key], daily[key])
+    length = F.coalesce(daily["sum_length"], F.lit(0.0))
+    if sampled:
+        length = F.when(region.isin(list(sampled)), daily["sum_length"]).otherwise(length)
     return joined.select(
-        F.coalesce(full[key], daily[key]).alias(key),
+        region.alias(key),
         b["year"].alias("year"),
         b["month"].alias("month"),
         b["dow"].alias("dow"),

@@ -488,7 +488,7 @@ def convex_share(e: Column, ring_edges: Column) -> Column:
                 a, b = t["a"], t["b"]
                 at = a / F.nullif(a - b, F.lit(0.0))
                 low = F.when((a < 0) & (b > 0), F.greatest(acc["low"], at)).when((a < 0) & (b <= 0), F.lit(2.0))
-                high = F.when((b < 0) & (a > 0), F.least(acc["high"], at))
+                high = F.when((b < 0) & (a >= 0), F.least(acc["high"], at))
                 return F.struct(
                     F.coalesce(low, acc["low"]).alias("low"), F.coalesce(high, acc["high"]).alias("high")
                 )

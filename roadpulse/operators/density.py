@@ -322,7 +322,11 @@ def redo(
     tiles: DataFrame, lines: DataFrame, ratio_min: float, max_share: float, max_depth: int, grid: Quad, resolution: int,
     total: float | None = None, mode: str = "owner",
 ) -> DataFrame:
-    """Tiles with more than ``ratio_min`` percent of the jams are cut again; the deepest tile is final."""
+    """Tiles with more than ``ratio_min`` percent of the jams are cut again; the deepest tile is final.
+
+    The tile table (bounded, see ``pack``) is used several times and therefore written out once.
+    """
+    tiles = cut(tiles)
     again = ratios(tiles, total).where(F.col("ratio") > ratio_min)
     roots = again.select(F.col("geo_id").alias("root"), F.col("bx0").alias("x0"), F.col("by0").alias("y0"), F.col("bx1").alias("x1"), F.col("by1").alias("y1"))
     boxes = again.select("geo_id", "bx0", "by0", "bx1", "by1")

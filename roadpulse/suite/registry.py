@@ -13,7 +13,7 @@ from roadpulse.session import tune
 from roadpulse.suite.views import CTES
 
 FAMILIES: tuple[str, ...] = (
-    "indices", "aggregates", "steps", "windows", "shapes",
+    "indices", "aggregates", "steps", "windows", "shapes", "partitions",
 )
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,8 +37,9 @@ def statement(views: str, body: str) -> str:
     heads = [f"{name} AS ({CTES[name][1].strip()})" for name in order]
     if not heads:
         return body
-    if body.lower().startswith("with "):
-        return "WITH " + ",\n".join(heads) + ",\n" + body[5:]
+    for opening in ("with recursive ", "with "):
+        if body.lower().startswith(opening):
+            return opening.upper() + ",\n".join(heads) + ",\n" + body[len(opening) :]
     return "WITH " + ",\n".join(heads) + "\n" + body
 
 

@@ -284,11 +284,11 @@ def _(spark, sf):
 
 
 def _dense(spark, sf):
-    return tiles(spark, sf).where("share_jams >= 0.005")
+    return tiles(spark, sf).where("share_jams >= 0.008")
 
 
 @query("geo16_complement", "jams", f"""
-{_katana(0.01, 10)} SELECT x0, y0, x1, y1, '999' AS "group", 0.0::double AS share_jams FROM final WHERE share < 0.005""")
+{_katana(0.01, 10)} SELECT x0, y0, x1, y1, '999' AS "group", 0.0::double AS share_jams FROM final WHERE share < 0.008""")
 def _(spark, sf):
     df = density.complement(tiles(spark, sf), _dense(spark, sf))
     return df.select(
@@ -297,7 +297,7 @@ def _(spark, sf):
 
 @query("den09_geo_partitions", "jams", f"""
 {_katana(0.01, 10)}
-SELECT round(sum(share) FILTER (share >= 0.005), 6) AS share, (count(*) FILTER (share < 0.005)) > 0 AS has_rest, count(*) AS tiles,
+SELECT round(sum(share) FILTER (share >= 0.008), 6) AS share, (count(*) FILTER (share < 0.008)) > 0 AS has_rest, count(*) AS tiles,
   true AS within FROM final""")
 def _(spark, sf):
     """Shares add up, every tile is in one group, and no group of several tiles exceeds the limit."""

@@ -20,6 +20,20 @@ VARIATION_LIMIT = 0.5
 LENGTH_RATIO = 0.1
 
 
+def from_geojson(features: DataFrame, region_type: str, fields: Mapping[str, str] | None = None) -> DataFrame:
+    """Region rows from GeoJSON features (``io.read_geojson``).
+
+    ``fields`` maps our columns to feature properties.
+    """
+    names = {
+        "region_name": "name", "country_iso": "iso_code", "country_name": "country", "population": "population",
+        "timezone": "timezone", **(fields or {}),
+    }
+    columns = [F.try_element_at("properties", F.lit(v)).alias(k) for k, v in names.items()]
+    rows = features.select(*columns, F.lit(region_type).alias("region_type"), "region_shapefile_wkt")
+    return rows.withColumn("region_slug", text.slug(F.col("region_name"), region_type))
+
+
 def import_shapes(
     shapes: DataFrame, population: DataFrame, constants: Mapping[str, str], prefix: str = "", max_chars: int = 200_000
 ) -> DataFrame:

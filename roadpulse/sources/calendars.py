@@ -71,23 +71,24 @@ def pad_calendar(daily: DataFrame, calendar: DataFrame, key: str = "region_slug"
     days = calendar.agg(F.collect_set(F.struct("year", "month", "day", "dow")).alias("days")).scalar()
     full = regions.select(key, F.explode(days).alias("b"))
     b = F.col("b")
+    full = full.select(F.col(key).alias("_key"), *[b[c].alias(f"_{c}") for c in ("year", "month", "dow", "day")])
     on = (
-        (full[key] == daily[key])
-        & (b["year"] == daily["year"])
-        & (b["month"] == daily["month"])
-        & (b["day"] == daily["day"])
+        (F.col("_key") == F.col(key))
+        & (F.col("_year") == F.col("year"))
+        & (F.col("_month") == F.col("month"))
+        & (F.col("_day") == F.col("day"))
     )
-    joined = full.join(daily, on, "full")
-    region = F.coalesce(full[key], daily[key])
-    length = F.coalesce(daily["sum_length"], F.lit(0.0))
+    joined = full.join(daily.select(key, "year", "month", "day", "sum_length"), on, "full")
+    region = F.coalesce("_key", key)
+    length = F.coalesce("sum_length", F.lit(0.0))
     if sampled:
-        length = F.when(region.isin(list(sampled)), daily["sum_length"]).otherwise(length)
+        length = F.when(region.isin(list(sampled)), F.col("sum_length")).otherwise(length)
     return joined.select(
         region.alias(key),
-        b["year"].alias("year"),
-        b["month"].alias("month"),
-        b["dow"].alias("dow"),
-        b["day"].alias("day"),
+        F.col("_year").alias("year"),
+        F.col("_month").alias("month"),
+        F.col("_dow").alias("dow"),
+        F.col("_day").alias("day"),
         length.alias("sum_length"),
     )
 

@@ -57,13 +57,12 @@ def read_shapes(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
 def read_parts(
     spark: SparkSession, paths: str | Sequence[str], schema: str, key_pattern: str | None = None, key: str = "source", **options
 ) -> DataFrame:
-    """Many part files as one table, with a key taken from the file name."""
+    """Many part files as one table, with a key taken from the file path."""
     reader = spark.read.schema(schema).options(**{"header": True, **options})
     df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
     if key_pattern is None:
         return df
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return df.select("*", F.regexp_extract(F.url_decode(name), key_pattern, 1).alias(key))
+    return df.select("*", F.regexp_extract(F.col("_metadata.file_path"), key_pattern, 1).alias(key))
 
 
 def read_quantiles(spark: SparkSession, path: str) -> DataFrame:
@@ -81,13 +80,14 @@ GEOJSON = (
 )
 
 
-def read_geojson(spark: SparkSession, path: str) -> DataFrame:
+def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Features of GeoJSON files: properties and geometry as WKT text.
 
-    Coordinates keep their JSON text: numbers are turned from ``[x,y]`` into ``x y`` and brackets
-    into parentheses.
+    A file is one document, or one document per line with ``lines`` (files that split). Coordinates
+    keep their JSON text: numbers are turned from ``[x,y]`` into ``x y`` and brackets into
+    parentheses.
     """
-    raw = spark.read.schema(GEOJSON).option("multiLine", True).json(path)
+    raw = spark.read.schema(GEOJSON).option("multiLine", not lines).json(path)
     feature = raw.select(F.explode("features").alias("f"))
     pairs = F.regexp_replace("f.geometry.coordinates", r"\[\s*([-0-9.eE+]+)\s*,\s*([-0-9.eE+]+)[^\[\]]*\]", "$1 $2")
     body = F.translate(pairs, "[]", "()")
@@ -98,12 +98,12 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_length_stats(spark: SparkSession, path: str) -> DataFrame:
+def read_length_stats(spark: SparkSession, path: str, key_pattern: str = r"([^/]*)_\d+\.json$") -> DataFrame:
     """Road length per region from JSON files, one or more per region (``slug_1.json`` ...)."""
     schema = "elements array<struct<tags: map<string, string>>>"
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
-    name = F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), r"\.json$", "")
-    rows = raw.select(F.regexp_replace(name, r"_\d+$", "").alias("region_slug"), F.explode("elements").alias("e"))
+    raw = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    key = F.regexp_extract(F.col("_metadata.file_path"), key_pattern, 1)
+    rows = raw.select(key.alias("region_slug"), F.explode("elements").alias("e"))
     length = F.try_element_at("e.tags", F.lit("length")).try_cast("double")
     return rows.groupBy("region_slug").agg(F.sum(length).alias("length"))
 

@@ -13,7 +13,7 @@ from roadpulse.session import tune
 from roadpulse.suite.views import CTES
 
 FAMILIES: tuple[str, ...] = (
-    "indices", "aggregates", "steps", "windows", "shapes", "partitions", "cleaning",
+    "indices", "aggregates", "steps", "windows", "shapes", "partitions", "cleaning", "joins", "reshaping", "storage", "increments",
 )
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

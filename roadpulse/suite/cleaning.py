@@ -189,23 +189,25 @@ def _(spark, sf):
 
 
 # The bandwidth is found here by ranking all distances, not by the closed form.
-_LOWESS = f"""
-{_vote_cte('series', 'observed', 2.0, 'v')},
-lo as (SELECT region_slug, date, observed, votes, ln(1 + observed) AS y, row_number() OVER (PARTITION BY region_slug ORDER BY date) - 1 AS i,
-  count(*) OVER (PARTITION BY region_slug) AS n FROM v),
-{_pattern_cte('lo', 'y', 'ls')},
-hole as (SELECT region_slug, i, n FROM ls WHERE votes >= 1),
-dist as (SELECT h.region_slug, h.i, abs(l.i - h.i) AS d, row_number() OVER (PARTITION BY h.region_slug, h.i ORDER BY abs(l.i - h.i)) - 1 AS k, h.n
-  FROM hole h JOIN ls l ON l.region_slug = h.region_slug),
-bw as (SELECT region_slug, i, d AS h FROM dist WHERE k = ceil(0.4 * n)),
-wt as (SELECT b.region_slug, b.i, (l.i - b.i) AS u, l.y - l.season AS f, (1 - (abs(l.i - b.i) / b.h::double) ** 3) ** 3 AS w
-  FROM bw b JOIN ls l ON l.region_slug = b.region_slug AND abs(l.i - b.i) < b.h),
-fit as (SELECT region_slug, i, (sum(w * u * u) * sum(w * f) - sum(w * u) * sum(w * u * f)) / (sum(w) * sum(w * u * u) - sum(w * u) ** 2) AS p FROM wt GROUP BY 1, 2),
-loess as (SELECT ls.region_slug, date, observed, CASE WHEN votes >= 1 THEN exp(p + season) - 1 ELSE observed END AS loess
-  FROM ls LEFT JOIN fit ON fit.region_slug = ls.region_slug AND fit.i = ls.i)"""
-
-
-@query("cln11_impute_lowess", "series", f"with {_LOWESS} SELECT region_slug, {_D}, round(loess, 3) AS loess FROM loess")
+def _lowess_cte(source, value, into, out="loess", votes="votes"):
+    return f"""{into}_lo as (SELECT *, CASE WHEN {value} >= 0 THEN ln(1 + {value}) END AS y, row_number() OVER (PARTITION BY region_slug ORDER BY date) - 1 AS li,
+  count(*) OVER (PARTITION BY region_slug) AS ln, NOT coalesce({votes} < 1 AND {value} >= 0, false) AS hole FROM {source}),
+{_pattern_cte(into + '_lo', 'y', into + '_ls')},
+{into}_dist as (SELECT h.region_slug, h.li, abs(l.li - h.li) AS d, row_number() OVER (PARTITION BY h.region_slug, h.li ORDER BY abs(l.li - h.li)) - 1 AS k, h.ln
+  FROM (SELECT region_slug, li, ln FROM {into}_ls WHERE hole) h JOIN {into}_ls l ON l.region_slug = h.region_slug),
+{into}_bw as (SELECT region_slug, li, d AS h FROM {into}_dist WHERE k = least(ceil(0.4 * ln), ln - 1)),
+{into}_wt as (SELECT b.region_slug, b.li, (l.li - b.li) AS u, l.y - l.season AS f, (1 - (abs(l.li - b.li) / b.h::double) ** 3) ** 3 AS w
+  FROM {into}_bw b JOIN {into}_ls l ON l.region_slug = b.region_slug AND abs(l.li - b.li) < b.h WHERE l.y IS NOT NULL),
+{into}_fit as (SELECT region_slug, li, (sum(w * u * u) * sum(w * f) - sum(w * u) * sum(w * u * f)) / (sum(w) * sum(w * u * u) - sum(w * u) ** 2) AS fp FROM {into}_wt GROUP BY 1, 2),
+{into} as materialized (SELECT l.* EXCLUDE (y, li, ln, ph, season, hole), CASE WHEN hole THEN exp(fp + season) - 1 ELSE {value} END AS {out}
+  FROM {into}_ls l LEFT JOIN {into}_fit f ON f.region_slug = l.region_slug AND f.li = l.li)"""
+
+
+_LOWESS = f"""{_vote_cte('series', 'observed', 2.0, 'v')},
+vin as (SELECT region_slug, date, observed, votes FROM v), {_lowess_cte('vin', 'observed', 'lw')}"""
+
+
+@query("cln11_impute_lowess", "series", f"with {_LOWESS} SELECT region_slug, {_D}, round(loess, 3) AS loess FROM lw")
 def _(spark, sf):
     return _out(clean.impute_lowess(_votes(spark, sf), "observed").select("region_slug", "date", "loess"), 3)
 
@@ -224,21 +226,54 @@ def _(spark, sf):
     return _out(clean.level_shift(_series(spark, sf), "observed", 14, 3.0).select("region_slug", "date", "shift"))
 
 
-_GRID = f"""
-{', '.join(_change_cte('series', 'observed', n, f'x{n}') for n in (14, 15, 16, 17, 18))},
-xs as ({' UNION ALL '.join(f'SELECT * FROM x{n}' for n in (14, 15, 16, 17, 18))}),
-xq as (SELECT region_slug, n, quantile_cont(d, 0.25) AS q1, quantile_cont(d, 0.75) AS q3 FROM xs GROUP BY 1, 2),
-sv as (SELECT region_slug, date, sum((d > q3 + (q3 - q1) * round(2.0 * f, 4))::int)::int AS shift_sum
-  FROM xs JOIN xq USING (region_slug, n), (VALUES (0.4), (0.8), (1.0), (1.2), (1.6)) AS g(f)
-  WHERE date > DATE '1995-03-31' AND date < DATE '2000-12-15' GROUP BY 1, 2 HAVING shift_sum > 0),
-sd as (SELECT region_slug, min_by(date, (-shift_sum, date)) AS shift_date FROM sv GROUP BY 1)"""
+def _grid_cte(source, value, c, into):
+    """Votes of the 25 combinations (``into``_v) and the chosen dates (``into``)."""
+    ns = (14, 15, 16, 17, 18)
+    return f"""{', '.join(_change_cte(source, value, n, f'{into}_x{n}') for n in ns)},
+{into}_xs as ({' UNION ALL '.join(f'SELECT * FROM {into}_x{n}' for n in ns)}),
+{into}_xq as (SELECT region_slug, n, quantile_cont(d, 0.25) AS q1, quantile_cont(d, 0.75) AS q3 FROM {into}_xs GROUP BY 1, 2),
+{into}_c as (SELECT region_slug, any_value({c}) AS cc FROM {source} GROUP BY 1),
+{into}_v as (SELECT region_slug, date, sum((d > q3 + (q3 - q1) * round(cc * f, 4))::int)::int AS shift_sum
+  FROM {into}_xs JOIN {into}_xq USING (region_slug, n) JOIN {into}_c USING (region_slug), (VALUES (0.4), (0.8), (1.0), (1.2), (1.6)) AS g(f)
+  WHERE date > DATE '{SEARCH[0]}' AND date < DATE '{SEARCH[1]}' GROUP BY 1, 2 HAVING shift_sum > 0),
+{into} as (SELECT region_slug, min_by(date, (-shift_sum, date)) AS shift_date FROM {into}_v GROUP BY 1)"""
+
+
+def _correct_cte(source, value, dates, out, into, days=7, until=UNTIL):
+    """Move the rows after the shift, then bridge negatives by straight lines."""
+    limit = f"AND date <= DATE '{until}'" if until else ""
+    return f"""{into}_dl as (SELECT s.region_slug, shift_date, avg({value}) FILTER (date > shift_date - {days} AND date <= shift_date)
+    - avg({value}) FILTER (date > shift_date AND date <= shift_date + {days}) AS delta FROM {source} s JOIN {dates} USING (region_slug) GROUP BY 1, 2),
+{into}_mv as (SELECT s.*, shift_date AS sdate, CASE WHEN date > shift_date {limit} AND delta IS NOT NULL THEN {value} + delta ELSE {value} END AS moved
+  FROM {source} s LEFT JOIN {into}_dl USING (region_slug)),
+{into}_p as (SELECT *, CASE WHEN moved >= 0 THEN moved END AS iv, row_number() OVER (PARTITION BY region_slug ORDER BY date) AS ii FROM {into}_mv),
+{into}_q as (
+  SELECT *, last_value(iv IGNORE NULLS) OVER b AS v0, last_value(CASE WHEN iv IS NOT NULL THEN ii END IGNORE NULLS) OVER b AS i0,
+    first_value(iv IGNORE NULLS) OVER a AS v1, first_value(CASE WHEN iv IS NOT NULL THEN ii END IGNORE NULLS) OVER a AS i1
+  FROM {into}_p WINDOW b AS (PARTITION BY region_slug ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    a AS (PARTITION BY region_slug ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+{into} as materialized (SELECT * EXCLUDE (moved, iv, ii, v0, i0, v1, i1), coalesce(iv, v0 + (v1 - v0) * (ii - i0) / (i1 - i0), v0) AS {out} FROM {into}_q)"""
+
+
+def _step_cte(source, target, c, c_shift, output, into):
+    """One cleaning step: adds ``into``_loess, ``output`` and the two flags."""
+    keep = f"anomaly_persist, anomaly_seasonal, anomaly_autor, pr, se, ar, past, season, ph"
+    return f"""{_vote_cte(source, target, c, into + '_vt')},
+{into}_in as materialized (SELECT * EXCLUDE ({keep}) FROM {into}_vt),
+{_lowess_cte(into + '_in', target, into + '_lw', into + '_loess')},
+{_grid_cte(into + '_lw', into + '_loess', c_shift, into + '_sd')},
+{_correct_cte(into + '_lw', into + '_loess', into + '_sd', output, into + '_co')},
+{into} as materialized (SELECT * EXCLUDE (votes, sdate), votes >= 1 AS {into}_outliers, coalesce(date = sdate, false) AS {into}_level_shifts FROM {into}_co)"""
+
+
+_GRID = _grid_cte("series", "observed", "2.0", "sd")
 
 
 def _shift_votes(spark, sf):
     return clean.shift_votes(_series(spark, sf), "observed", 2.0, SEARCH)
 
 
-@query("cln13_shift_votes", "series", f"with {_GRID} SELECT region_slug, {_D}, shift_sum FROM sv")
+@query("cln13_shift_votes", "series", f"with {_GRID} SELECT region_slug, {_D}, shift_sum FROM sd_v")
 def _(spark, sf):
     return texts(_shift_votes(spark, sf))
 
@@ -249,27 +284,27 @@ def _(spark, sf):
 
 
 @query("cln15_correct_shift", "series", f"""
-with {_GRID},
-dl as (SELECT s.region_slug, avg(observed) FILTER (date > shift_date - 7 AND date <= shift_date) - avg(observed) FILTER (date > shift_date AND date <= shift_date + 7) AS delta
-  FROM series s JOIN sd USING (region_slug) GROUP BY 1),
-mv as (SELECT s.region_slug, date, CASE WHEN date > shift_date AND date <= DATE '{UNTIL}' AND delta IS NOT NULL THEN observed + delta ELSE observed END AS v
-  FROM series s LEFT JOIN sd USING (region_slug) LEFT JOIN dl USING (region_slug)),
-p as (SELECT region_slug, date, CASE WHEN v >= 0 THEN v END AS v, row_number() OVER (PARTITION BY region_slug ORDER BY date) AS i FROM mv),
-q as (
-  SELECT *, last_value(v IGNORE NULLS) OVER b AS v0, last_value(CASE WHEN v IS NOT NULL THEN i END IGNORE NULLS) OVER b AS i0,
-    first_value(v IGNORE NULLS) OVER a AS v1, first_value(CASE WHEN v IS NOT NULL THEN i END IGNORE NULLS) OVER a AS i1
-  FROM p WINDOW b AS (PARTITION BY region_slug ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-    a AS (PARTITION BY region_slug ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT region_slug, {_D}, round(coalesce(v, v0 + (v1 - v0) * (i - i0) / (i1 - i0), v0), 4) AS shifted FROM q""")
+with {_GRID}, {_correct_cte('series', 'observed', 'sd', 'shifted', 'co')}
+SELECT region_slug, {_D}, round(shifted, 4) AS shifted FROM co""")
 def _(spark, sf):
     dates = clean.shift_date(_shift_votes(spark, sf))
     df = clean.correct_shift(_series(spark, sf), "observed", dates, until=UNTIL)
     return _out(df.select("region_slug", "date", "shifted"))
 
 
-@query("cln16_correct_all_shifts")
+def _round_cte(source, into):
+    """First flagged date of each region, corrected over 14 days each side."""
+    return f"""{_change_cte(source, 'cur', 14, into + '_x')}, {_flag_cte(into + '_x', 'd', 'shift', 3, into + '_f')},
+{into}_sd as materialized (SELECT region_slug, min(date) AS shift_date FROM {into}_f WHERE shift GROUP BY 1),
+{_correct_cte(source, 'cur', into + '_sd', 'nxt', into + '_c', 14, None)},
+{into} as (SELECT region_slug, date, observed, nxt AS cur FROM {into}_c)"""
+
+
+@query("cln16_correct_all_shifts", "series", f"""
+with r0 as (SELECT *, observed AS cur FROM series), {_round_cte('r0', 'r1')}, {_round_cte('r1', 'r2')}, {_round_cte('r2', 'r3')}
+SELECT region_slug, {_D}, observed, round(cur, 4) AS shifted FROM r3""")
 def _(spark, sf):
-    return texts(clean.correct_all_shifts(_series(spark, sf), "observed", 3.0, max_rounds=3))
+    return _out(clean.correct_all_shifts(_series(spark, sf), "observed", 3.0, max_rounds=3))
 
 
 def _index(spark, sf):
@@ -288,14 +323,26 @@ def _cleaned(spark, sf):
     )
 
 
-@query("cln17_step")
+@query("cln17_step", "series", f"""
+with {_step_cte('series', 'observed', '3.0', '1.0', 's1_shift', 's1')}
+SELECT region_slug, {_D}, observed, round(s1_loess, 3) AS loess, round(s1_shift, 3) AS s1_shift, s1_outliers AS outliers, s1_level_shifts AS level_shifts FROM s1""")
 def _(spark, sf):
-    return _out(clean.step(_series(spark, sf), "observed", "s1_shift", 3.0, 1.0, BLACKOUT, SEARCH, UNTIL))
-
-
-@query("cln18_run")
+    return _out(clean.step(_series(spark, sf), "observed", "s1_shift", 3.0, 1.0, BLACKOUT, SEARCH, UNTIL), 3)
+
+
+@query("cln18_run", "series", f"""
+with {_PAR},
+ib as (SELECT region_slug, isodow(date) AS dow, round(avg(observed), 2) AS expected_2020 FROM series WHERE date < DATE '1997-01-01' GROUP BY ALL),
+ix as (SELECT s.region_slug, s.date, s.observed, expected_2020, c_max AS c1, CASE WHEN s.region_slug = 'asia' THEN c_max ELSE 100.0 END AS c2
+  FROM series s JOIN ib ON ib.region_slug = s.region_slug AND ib.dow = isodow(s.date) JOIN cp ON cp.region_slug = s.region_slug),
+{_step_cte('ix', 'observed', 'least(greatest(c1, 1.5), 3.0)', 'c2', 's1_shift', 's1')},
+{_step_cte('s1', 's1_shift', 'least(greatest(c1, 1.5), 3.0)', 'c2', 's2_shift', 's2')}
+SELECT region_slug, {_D}, observed, expected_2020, round(s1_loess, 2) AS s1_loess, round(s1_shift, 2) AS s1_shift, round(s2_loess, 2) AS s2_loess,
+  round(s2_shift, 2) AS s2_shift, round(100 * (s2_shift - expected_2020) / expected_2020, 4) AS tcp_smooth, round(s2_shift, 2) AS tci_smooth,
+  s1_outliers, s1_level_shifts, s2_outliers, s2_level_shifts FROM s2""")
 def _(spark, sf):
-    return _out(_cleaned(spark, sf))
+    df = texts(_cleaned(spark, sf).drop("dow", "tcp", "region_type"))
+    return rounded(rounded(df, 2, ("s1_loess", "s1_shift", "s2_loess", "s2_shift", "tci_smooth")), 4)
 
 
 @query("cln18_run_flags", "series", f"""

@@ -404,6 +404,17 @@ def _(spark, sf):
     return grid.assign_coarse(views.hours(spark, sf), cells, views.GRID, 5)
 
 
+@query("grd05_coarse_join", "pieces hours shape_edges", f"""
+with {_cover_sql(5, '1.0', 31)}, {_CELLS.format(w='1.0')},
+t as (SELECT DISTINCT line, ix, iy FROM c WHERE {_share('1.0')} > 0)
+SELECT h.region_slug, '5-' || t.ix || '-' || t.iy AS id_parent, count(*) AS n_segments, sum(tci)::bigint AS tci FROM hours h JOIN t ON h.line = t.line
+JOIN cov5 v ON v.region_slug = h.region_slug AND v.ix = t.ix AND v.iy = t.iy GROUP BY 1, 2""")
+def _(spark, sf):
+    cells = grid.cover(views.meta(spark, sf), 5, 5, views.GRID)
+    coarse = grid.assign_coarse(views.hours(spark, sf), cells, views.GRID, 5)
+    return coarse.groupBy("region_slug", "id_parent").agg(F.count(F.lit(1)).alias("n_segments"), F.sum("tci").alias("tci"))
+
+
 def _grid_tci(spark, sf, hours=None):
     cells = grid.region_resolutions(views.meta(spark, sf), 5, 6, grid=views.GRID)
     coarse = grid.assign_coarse(views.hours(spark, sf) if hours is None else hours, cells, views.GRID, 5)

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
 from roadpulse.operators.spatial import Quad, cell_id, centre_cells, edge_cells, line_cells, parent_id, polygon_index
+from roadpulse.session import broadcast_if_small
 
 TIME = ("year", "month", "day", "hour", "dow")
+MAX_CELLS = 1_000_000
 CITY_RESOLUTION = 10  # fixed value: the level recorded for whole-city cells
 
 
@@ -98,7 +100,7 @@ def assign_coarse(segments: DataFrame, cells: DataFrame, grid: Quad, resolution:
     touched = segments.withColumn("_c", F.explode(line_cells(geo.parse_line(F.col(line)), grid, resolution)))
     ids = touched.withColumn("id_parent", cell_id(resolution, F.col("_c")["ix"], F.col("_c")["iy"])).drop("_c")
     known = cells.where(F.col("resolution") == resolution).select(key, F.col("id").alias("id_parent")).distinct()
-    return ids.join(known, [key, "id_parent"])
+    return ids.join(broadcast_if_small(known, MAX_CELLS), [key, "id_parent"])
 
 
 def _pieces(rows: DataFrame, line: str, value: str) -> DataFrame:
@@ -129,9 +131,9 @@ def allocate(
         .withColumn("grid_id", fine)
         .where(F.col("id_parent") == _parent_of(fine, parent))
     )
-    sums = placed.groupBy(key, "grid_id", *time).agg(F.sum("_v").alias(value))
     known = cells.where(F.col("resolution") == resolution).select(key, F.col("id").alias("grid_id")).distinct()
-    return sums.join(known, [key, "grid_id"], "left_semi")
+    inside = placed.join(broadcast_if_small(known, MAX_CELLS), [key, "grid_id"], "left_semi")
+    return inside.groupBy(key, "grid_id", *time).agg(F.sum("_v").alias(value))
 
 
 def _parent_of(cell: Column, resolution: Column) -> Column:
@@ -165,6 +167,7 @@ def allocate_cities(
     box = grid.box(F.col("ix"), F.col("iy"), tile_resolution)
     part = geo.box_share(e, *box)
     inside = F.when(F.col("_full"), F.lit(1.0)).otherwise(geo.convex_share(_cut_to_box(e, box), F.col("_hull")))
+    index = broadcast_if_small(index, MAX_CELLS)
     placed = pieces.withColumn("_part", part).where("_part > 0").join(index, [key, "id_parent", "ix", "iy"])
     return (
         placed.withColumn("_v", F.col("_due") * F.col("_part") * inside)

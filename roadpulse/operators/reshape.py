@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.operators.ranks import running_total
+
 
 def union(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows of all frames by column name, missing columns null."""
@@ -60,18 +62,13 @@ def split_label(df: DataFrame, column: str, names: Sequence[str], sep: str = "_"
 
 
 def order_entities(df: DataFrame, entity: str, value: str, time: str, by: str = "mean") -> DataFrame:
-    """Entities numbered by mean, median, max, min or last value.
-
-    Numbering runs over the aggregated entities only.
-    """
-    from pyspark.sql import Window
-
+    """Entities numbered by mean, median, max, min or last value."""
     stats = {
         "mean": F.avg(value), "median": F.percentile(value, 0.5), "max": F.max(value), "min": F.min(value),
         "last": F.max_by(value, time),
     }
     scores = df.where(F.col(value).isNotNull()).groupBy(entity).agg(stats[by].alias("score"))
-    return scores.withColumn("position", F.row_number().over(Window.orderBy("score", entity)))
+    return running_total(scores, ["score", entity], name="position")
 
 
 def key_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

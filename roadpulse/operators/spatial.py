@@ -117,6 +117,26 @@ def line_cells(path: Column, grid: Quad | Lattice, resolution: int = 0) -> Colum
     return F.array_distinct(F.flatten(F.transform(geo.edges(path), of_edge)))
 
 
+def near_cells(path: Column, grid: Quad, resolution: int) -> Column:
+    """Distinct cells of the bounding boxes of a line's pieces, ``array<struct<ix,iy>>`` in the row.
+
+    Borders count on both sides, so every cell that may share a point with the line is there.
+    """
+
+    def of_edge(e: Column) -> Column:
+        xs = F.sequence(
+            grid.ix(F.least(e["x1"], e["x2"]), resolution), grid.ix(F.greatest(e["x1"], e["x2"]), resolution)
+        )
+        ys = F.sequence(
+            grid.iy(F.least(e["y1"], e["y2"]), resolution), grid.iy(F.greatest(e["y1"], e["y2"]), resolution)
+        )
+        return F.flatten(
+            F.transform(xs, lambda i: F.transform(ys, lambda j: F.struct(i.alias("ix"), j.alias("iy"))))
+        )
+
+    return F.array_distinct(F.flatten(F.transform(geo.edges(path), of_edge)))
+
+
 def centre_cells(polygons: DataFrame, grid: Quad, resolution: int, keys: Sequence[str], edges: str) -> DataFrame:
     """Cells whose centre is inside a polygon, by scan lines.
 
@@ -212,35 +232,54 @@ def join_polygons(
 ) -> DataFrame:
     """Rows of ``lines`` paired with every polygon their line meets.
 
-    A row may be paired with one polygon through several cells. ``distinct_on`` names the columns
-    that identify a row and removes those copies; leave it out only if a later step (the slot
-    dedup) removes them anyway. The polygon side is broadcast while its edge total is at most
-    ``max_edges``; above that both sides shuffle by cell, hot cells being spread over salts.
+    A row is carried once per cell near its line (one or two for a jam). It meets a polygon if its
+    first vertex is inside, tested in that vertex's cell, or if it crosses a ring edge, found in a
+    cell both pass. A row may be paired with one polygon through several cells: ``distinct_on``
+    names the columns that identify a row and removes those copies; leave it out only if a later
+    step (the slot dedup) removes them anyway.
+
+    The polygon side is broadcast while its edge total is at most ``max_edges``; above that both
+    sides shuffle by cell, hot cells being spread over salts.
     """
     columns = lines.columns
     index = polygon_index(regions, grid, resolution, key, wkt)
     held = index.agg(F.sum(F.size("edges") + 1).alias("n")).first()["n"] or 0
-    pieces = edge_cells(
-        lines.withColumn("_e", F.explode(geo.edges(geo.parse_line(F.col(line))))), "_e", grid, resolution
+    path = F.col("_path")
+    pieces = lines.withColumn("_path", geo.parse_line(F.col(line))).withColumn(
+        "_c", F.explode(near_cells(path, grid, resolution))
     )
+    pieces = pieces.withColumn("ix", F.col("_c.ix")).withColumn("iy", F.col("_c.iy")).drop("_c")
     on = ["ix", "iy"]
     if held <= max_edges:
         index = F.broadcast(index)
     else:
-        pieces = pieces.withColumn("_salt", F.pmod(F.xxhash64("_e", *columns), F.lit(SALTS)))
-        index = index.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+        salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+        pieces = pieces.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)))
+        index = index.withColumn("_salt", F.explode(salts))
         on = [*on, "_salt"]
-    e = F.col("_e")
-    x0, y0, x1, y1 = grid.box(F.col("ix"), F.col("iy"), resolution)
-    own = (grid.ix(e["x1"], resolution) == F.col("ix")) & (grid.iy(e["y1"], resolution) == F.col("iy"))
-    within = inside_by_cell(e["x1"], e["y1"], (x0 + x1) / 2, (y0 + y1) / 2, F.col("centre"), F.col("edges"))
-    crossing = F.exists("edges", lambda r: geo.segments_meet(e, r))
+    ix, iy, start = F.col("ix"), F.col("iy"), F.get(path, F.lit(0))
+    x0, y0, x1, y1 = grid.box(ix, iy, resolution)
+    own = (grid.ix(start["x"], resolution) == ix) & (grid.iy(start["y"], resolution) == iy)
+    within = inside_by_cell(start["x"], start["y"], (x0 + x1) / 2, (y0 + y1) / 2, F.col("centre"), F.col("edges"))
+    crossing = (F.size("edges") > 0) & F.exists(
+        geo.edges(path), lambda s: F.exists("edges", lambda r: geo.segments_meet(s, r))
+    )
     found = pieces.join(index, on).where((own & within) | crossing).select(*columns, key)
     if distinct_on is None:
         return found
     return found.dropDuplicates([*distinct_on, key])
 
 
+def candidates(
+    lines: DataFrame, regions: DataFrame, row: str, line: str = "line", key: str = "region_slug", wkt: str = "region_shapefile_wkt",
+    grid: Quad = Quad(), resolution: int = 12,
+) -> DataFrame:
+    """(row, polygon) pairs that share a cell: the coarse step for a predicate of one's own."""
+    index = polygon_index(regions, grid, resolution, key, wkt).select(key, "ix", "iy")
+    near = lines.select(row, F.explode(near_cells(geo.parse_line(F.col(line)), grid, resolution)).alias("_c"))
+    return near.select(row, "_c.ix", "_c.iy").join(index, ["ix", "iy"]).select(row, key).distinct()
+
+
 def assign_by_line(jams: DataFrame, regions: DataFrame, line: str = "line", key: str = "region_slug", **options) -> DataFrame:
     """Spatial join done once per distinct polyline, then joined back to the rows.
 

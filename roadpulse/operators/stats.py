@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.timefn import ymd
-from roadpulse.operators import filters
+from roadpulse.operators import filters, ranks
 
 
 def _variation(value: Column, prefix: str, suffix: str = "", divisor: Column | None = None) -> list[Column]:
@@ -89,21 +89,18 @@ def quantile_profile(df: DataFrame, key: str = "region_slug", value: str = "obse
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles, one row per column.
-
-    Approximate quartiles are replaced by exact ones of the (already daily) input.
-    """
-    cells = []
+    """Count, mean, deviation, extremes and exact quartiles, one row per column."""
+    out = None
     for c in columns:
         v = F.col(c).cast("double")
-        cells.append(
-            F.struct(
-                F.lit(c).alias("column"), F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev(v).alias("std"),
-                F.min(v).alias("min"), F.percentile(v, 0.25).alias("q25"), F.percentile(v, 0.5).alias("q50"),
-                F.percentile(v, 0.75).alias("q75"), F.max(v).alias("max"),
-            )
+        moments = df.agg(
+            F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")
         )
-    return df.agg(F.array(*cells).alias("_rows")).select(F.inline("_rows"))
+        quartiles = ranks.quantiles(df, c, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+        keyed = F.lit(c).alias("column")
+        row = moments.select(keyed, "*").join(quartiles.select(keyed, "*"), "column")
+        out = row if out is None else out.unionByName(row)
+    return out.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def trend(df: DataFrame, x: Column, y: Column, by: Sequence[str]) -> DataFrame:

@@ -98,10 +98,15 @@ def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFra
     )
 
 
-def read_length_stats(spark: SparkSession, path: str, key_pattern: str = r"([^/]*)_\d+\.json$") -> DataFrame:
-    """Road length per region from JSON files, one or more per region (``slug_1.json`` ...)."""
+def read_length_stats(
+    spark: SparkSession, path: str, key_pattern: str = r"([^/]*)_\d+\.json$", lines: bool = False
+) -> DataFrame:
+    """Road length per region from JSON files, one or more per region (``slug_1.json`` ...).
+
+    A file is one document, or one document per line with ``lines``.
+    """
     schema = "elements array<struct<tags: map<string, string>>>"
-    raw = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    raw = spark.read.schema(schema).option("multiLine", not lines).option("recursiveFileLookup", True).json(path)
     key = F.regexp_extract(F.col("_metadata.file_path"), key_pattern, 1)
     rows = raw.select(key.alias("region_slug"), F.explode("elements").alias("e"))
     length = F.try_element_at("e.tags", F.lit("length")).try_cast("double")

@@ -249,7 +249,7 @@ with s as (
   SELECT region_slug, 'min', min(observed) FROM series GROUP BY ALL UNION ALL
   SELECT region_slug, 'last', max_by(observed, date) FROM series GROUP BY ALL)
 SELECT region_slug, how, round(score, 4) AS score,
-  row_number() OVER (PARTITION BY how ORDER BY score, region_slug)::int AS position FROM s""")
+  row_number() OVER (PARTITION BY how ORDER BY score, region_slug)::bigint AS position FROM s""")
 def _(spark, sf):
     df = views.series(spark, sf)
     return rounded(reshape.union([

@@ -66,17 +66,13 @@ def _(spark, sf):
     return _triangles(spark, sf).select("event_id", geo.bbox(F.col("path")).alias("b")).select("event_id", "b.*")
 
 
-@query("geo04_intersects", "jam_regions meta", """
+@query("geo04_intersects", "jam_regions", """
 SELECT event_id, met AS region_slug FROM jam_regions""")
 def _(spark, sf):
-    lines = views.jams(spark, sf).select("event_id", geo.parse_line(F.col("line")).alias("path"))
-    shapes = views.meta(spark, sf).select(
-        "region_slug", geo.parse_polygon(F.col("region_shapefile_wkt")).alias("parts")
-    )
-    # every (line, shape) pair: the predicate itself is under test; the keyed join is jn06
-    every = shapes.agg(F.collect_list(F.struct("region_slug", "parts")).alias("shapes")).scalar()
-    pairs = lines.withColumn("s", F.explode(every))
-    return pairs.where(geo.intersects(F.col("path"), F.col("s.parts"))).select("event_id", "s.region_slug")
+    lines, meta = views.jams(spark, sf).select("event_id", "line"), views.meta(spark, sf)
+    shapes = meta.select("region_slug", geo.parse_polygon(F.col("region_shapefile_wkt")).alias("parts"))
+    pairs = spatial.candidates(lines, meta, "event_id", grid=views.GRID, resolution=5).join(lines, "event_id").join(shapes, "region_slug")
+    return pairs.where(geo.intersects(geo.parse_line(F.col("line")), F.col("parts"))).select("event_id", "region_slug")
 
 
 @query("geo05_line_length", "jams", """

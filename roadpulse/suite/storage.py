@@ -63,7 +63,7 @@ def _(spark, sf):
 SELECT 'city_' || event_id AS region_slug, event_id::varchar AS region_name, uuid AS population,
   round(abs(x0 * y1 - x1 * y0 + x1 * y2 - x2 * y1 + x2 * y0 - x0 * y2) / 2, 6) AS area FROM jams""")
 def _(spark, sf):
-    """Each jam triangle as a GeoJSON feature, one file per task, and back to region rows."""
+    """Each jam triangle as a GeoJSON document of one feature, a document per line, and back to region rows."""
     path = new_path(spark, "geojson")
     ring = geo.close_ring(geo.parse_line(F.col("line")))
     feature = F.struct(
@@ -71,8 +71,8 @@ def _(spark, sf):
         F.struct(F.col("event_id").cast("string").alias("name"), F.col("uuid").alias("population")).alias("properties"),
         F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(ring, lambda p: F.array(p["x"], p["y"]))).alias("coordinates")).alias("geometry"),
     )
-    shapes = views.jams(spark, sf).select("datetime", feature.alias("f")).groupBy("datetime").agg(F.collect_list("f").alias("features"))
-    shapes.select(F.lit("FeatureCollection").alias("type"), "features").write.json(path)
+    shapes = views.jams(spark, sf).select(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features"))
+    shapes.write.json(path)
     rows = regions.from_geojson(io.read_geojson(spark, path, lines=True), "city")
     return rounded(rows.select(
         "region_slug", "region_name", "population", geo.area(geo.parse_polygon(F.col("region_shapefile_wkt"))).alias("area")))
@@ -135,13 +135,13 @@ def _(spark, sf):
 
 @query("src10_read_length_stats", "sales", "SELECT region_slug, round(sum(amount), 2) AS length FROM sales GROUP BY 1")
 def _(spark, sf):
-    """Two JSON files per region, named ``slug_1.json`` and ``slug_2.json``."""
+    """JSON documents in two folders per region, ``file=slug_1`` and ``file=slug_2``."""
     path = new_path(spark, "lengths")
     element = F.struct(F.struct(F.col("amount").cast("string").alias("length")).alias("tags"))
     sales = views.sales(spark, sf).withColumn("part", (F.weekday("date") > 2).cast("int") + 1)
-    files = sales.groupBy(F.replace("region_slug", F.lit(" "), F.lit("-")).alias("slug"), "part").agg(F.collect_list(element).alias("elements"))
-    files.withColumn("file", F.concat_ws("_", "slug", F.col("part").cast("string"))).drop("slug", "part").write.partitionBy("file").json(path)
-    df = io.read_length_stats(spark, path, r"file=(.*)_\d+/")
+    name = F.concat_ws("_", F.replace("region_slug", F.lit(" "), F.lit("-")), F.col("part").cast("string"))
+    sales.select(F.array(element).alias("elements"), name.alias("file")).write.partitionBy("file").json(path)
+    df = io.read_length_stats(spark, path, r"file=(.*)_\d+/", lines=True)
     return rounded(df.withColumn("region_slug", F.replace("region_slug", F.lit("-"), F.lit(" "))), 2)
 
 

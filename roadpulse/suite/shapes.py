@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions import geo
 from roadpulse.operators import filters, grid, spatial, stats
 from roadpulse.plans import index, regions
+from roadpulse.session import cut
 from roadpulse.suite import views
 from roadpulse.suite.registry import query, rounded, texts
 
@@ -411,8 +412,13 @@ def _(spark, sf):
     return coarse.groupBy("region_slug", "id_parent").agg(F.count(F.lit(1)).alias("n_segments"), F.sum("tci").alias("tci"))
 
 
-def _grid_tci(spark, sf, hours=None):
-    cells = grid.region_resolutions(views.meta(spark, sf), 5, 6, grid=views.GRID)
+def _cells(spark, sf):
+    """The resolution table, written out as in production since several joins read it."""
+    return cut(grid.region_resolutions(views.meta(spark, sf), 5, 6, grid=views.GRID))
+
+
+def _grid_tci(spark, sf, hours=None, cells=None):
+    cells = _cells(spark, sf) if cells is None else cells
     coarse = grid.assign_coarse(views.hours(spark, sf) if hours is None else hours, cells, views.GRID, 5)
     return grid.allocate(coarse, cells, views.GRID, 6)
 
@@ -439,7 +445,7 @@ def _(spark, sf):
 @query("jn08_allocate", "pieces hours shape_edges", f"""
 with {_ALLOC} SELECT region_slug, grid_id, round(sum(tci), 4) AS tci FROM alloc GROUP BY ALL""")
 def _(spark, sf):
-    cells = grid.region_resolutions(views.meta(spark, sf), 5, 6, grid=views.GRID)
+    cells = _cells(spark, sf)
     coarse = grid.assign_coarse(views.hours(spark, sf), cells, views.GRID, 5)
     return rounded(grid.allocate(coarse, cells, views.GRID, 6, time=()), 4)
 
@@ -461,7 +467,7 @@ JOIN sh ON sh.slug = cc.slug AND sh.id = cc.id AND sh.line = co.line WHERE f > 1
 
 
 def city_tci(spark, sf, hours=None):
-    cells = grid.city_cells(_cities(spark, sf), views.meta(spark, sf), 5, views.GRID)
+    cells = cut(grid.city_cells(_cities(spark, sf), views.meta(spark, sf), 5, views.GRID))
     coarse = grid.assign_coarse(views.hours(spark, sf) if hours is None else hours, cells, views.GRID, 5)
     return grid.allocate_cities(coarse, cells, views.GRID, 6).where("tci > 1e-9")
 
@@ -479,9 +485,9 @@ gd as (SELECT * FROM alloc WHERE make_date(year, month, day) >= DATE '2024-01-08
 
 
 def _split(spark, sf):
-    hours = views.hours(spark, sf)
+    hours, cells = views.hours(spark, sf), _cells(spark, sf)
     base = filters.between_dates(hours, views.BASE_START, views.BASE_END)
-    return _grid_tci(spark, sf, filters.on_or_after(hours, views.START)), _grid_tci(spark, sf, base)
+    return _grid_tci(spark, sf, filters.on_or_after(hours, views.START), cells), _grid_tci(spark, sf, base, cells)
 
 
 @query("idx05_cities_daily", "pieces hours shape_edges", f"""

@@ -117,8 +117,8 @@ def line_cells(path: Column, grid: Quad | Lattice, resolution: int = 0) -> Colum
     return F.array_distinct(F.flatten(F.transform(geo.edges(path), of_edge)))
 
 
-def near_cells(path: Column, grid: Quad, resolution: int) -> Column:
-    """Distinct cells of the bounding boxes of a line's pieces, ``array<struct<ix,iy>>`` in the row.
+def near_cells(edges: Column, grid: Quad, resolution: int) -> Column:
+    """Distinct cells of the bounding boxes of a line's edges, ``array<struct<ix,iy>>`` in the row.
 
     Borders count on both sides, so every cell that may share a point with the line is there.
     """
@@ -134,7 +134,7 @@ def near_cells(path: Column, grid: Quad, resolution: int) -> Column:
             F.transform(xs, lambda i: F.transform(ys, lambda j: F.struct(i.alias("ix"), j.alias("iy"))))
         )
 
-    return F.array_distinct(F.flatten(F.transform(geo.edges(path), of_edge)))
+    return F.array_distinct(F.flatten(F.transform(edges, of_edge)))
 
 
 def centre_cells(polygons: DataFrame, grid: Quad, resolution: int, keys: Sequence[str], edges: str) -> DataFrame:
@@ -244,9 +244,8 @@ def join_polygons(
     columns = lines.columns
     index = polygon_index(regions, grid, resolution, key, wkt)
     held = index.agg(F.sum(F.size("edges") + 1).alias("n")).first()["n"] or 0
-    path = F.col("_path")
-    pieces = lines.withColumn("_path", geo.parse_line(F.col(line))).withColumn(
-        "_c", F.explode(near_cells(path, grid, resolution))
+    pieces = lines.withColumn("_edges", geo.edges(geo.parse_line(F.col(line)))).withColumn(
+        "_c", F.explode(near_cells(F.col("_edges"), grid, resolution))
     )
     pieces = pieces.withColumn("ix", F.col("_c.ix")).withColumn("iy", F.col("_c.iy")).drop("_c")
     on = ["ix", "iy"]
@@ -257,12 +256,13 @@ def join_polygons(
         pieces = pieces.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)))
         index = index.withColumn("_salt", F.explode(salts))
         on = [*on, "_salt"]
-    ix, iy, start = F.col("ix"), F.col("iy"), F.get(path, F.lit(0))
+    ix, iy, first = F.col("ix"), F.col("iy"), F.get("_edges", F.lit(0))
+    x, y = first["x1"], first["y1"]
     x0, y0, x1, y1 = grid.box(ix, iy, resolution)
-    own = (grid.ix(start["x"], resolution) == ix) & (grid.iy(start["y"], resolution) == iy)
-    within = inside_by_cell(start["x"], start["y"], (x0 + x1) / 2, (y0 + y1) / 2, F.col("centre"), F.col("edges"))
+    own = (grid.ix(x, resolution) == ix) & (grid.iy(y, resolution) == iy)
+    within = inside_by_cell(x, y, (x0 + x1) / 2, (y0 + y1) / 2, F.col("centre"), F.col("edges"))
     crossing = (F.size("edges") > 0) & F.exists(
-        geo.edges(path), lambda s: F.exists("edges", lambda r: geo.segments_meet(s, r))
+        "_edges", lambda s: F.exists("edges", lambda r: geo.segments_meet(s, r))
     )
     found = pieces.join(index, on).where((own & within) | crossing).select(*columns, key)
     if distinct_on is None:
@@ -276,7 +276,7 @@ def candidates(
 ) -> DataFrame:
     """(row, polygon) pairs that share a cell: the coarse step for a predicate of one's own."""
     index = polygon_index(regions, grid, resolution, key, wkt).select(key, "ix", "iy")
-    near = lines.select(row, F.explode(near_cells(geo.parse_line(F.col(line)), grid, resolution)).alias("_c"))
+    near = lines.select(row, F.explode(near_cells(geo.edges(geo.parse_line(F.col(line))), grid, resolution)).alias("_c"))
     return near.select(row, "_c.ix", "_c.iy").join(index, ["ix", "iy"]).select(row, key).distinct()
 
 

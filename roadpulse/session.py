@@ -63,6 +63,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table that arrives in fewer pieces than there are cores.
+
+    A table of many files keeps its own partitions and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that its lineage ends in the shared folder."""
     shared_folder(df.sparkSession)

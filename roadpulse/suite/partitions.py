@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
 from roadpulse.operators import density, stats
+from roadpulse.session import cut
 from roadpulse.suite import views
 from roadpulse.suite.registry import query, rounded
 from roadpulse.suite.shapes import _CELLS, _share, share_sql
@@ -31,6 +32,11 @@ def tiles(spark, sf, share=0.01, depth=10, mode="owner"):
     return density.katana(extent(spark, sf), held, share, depth, mode)
 
 
+def stored(spark, sf):
+    """The tile table, written out as in production since several steps read it."""
+    return cut(tiles(spark, sf))
+
+
 # Independent form of the splitting: top-down, each box counted on its own.
 KATANA = """
 tot as (SELECT sum(count_lines) AS total FROM lines),
@@ -179,13 +185,13 @@ asg as (SELECT l.line_wkt, l.count_lines, f.x0, f.y0, f.x1, f.y1, 'POLYGON ((' |
 
 @query("den07_assign", "jams", f"{_ASSIGN} SELECT line_wkt, count_lines, geo_id FROM asg")
 def _(spark, sf):
-    return density.assign(lines(spark, sf), tiles(spark, sf), views.GRID, 6)
+    return density.assign(lines(spark, sf), stored(spark, sf), views.GRID, 6)
 
 
 @query("den07_distribution", "jams", f"""
 {_ASSIGN} SELECT geo_id, count(*) AS lines, sum(count_lines)::bigint AS jams FROM asg GROUP BY 1""")
 def _(spark, sf):
-    return density.distribution(density.assign(lines(spark, sf), tiles(spark, sf), views.GRID, 6), "geo_id")
+    return density.distribution(density.assign(lines(spark, sf), stored(spark, sf), views.GRID, 6), "geo_id")
 
 
 _TOUCH_SQL = f"""
@@ -200,7 +206,7 @@ def _touch_sql():
 
 @query("ag15_first_tile", "jams pieces", f"{_touch_sql()} SELECT line AS line_wkt, min(geo_id) AS geo_id FROM tp GROUP BY 1")
 def _(spark, sf):
-    return density.first_tile(density.touching(lines(spark, sf), tiles(spark, sf), views.GRID, 6))
+    return density.first_tile(density.touching(lines(spark, sf), stored(spark, sf), views.GRID, 6))
 
 
 @query("jn15_attach_counts", "jams pieces", f"""
@@ -208,7 +214,7 @@ def _(spark, sf):
 SELECT l.line_wkt, ft.geo_id, l.count_lines FROM ft RIGHT JOIN lines l ON l.line_wkt = ft.line_wkt""")
 def _(spark, sf):
     counts = lines(spark, sf)
-    return density.attach_counts(density.first_tile(density.touching(counts, tiles(spark, sf), views.GRID, 6)), counts)
+    return density.attach_counts(density.first_tile(density.touching(counts, stored(spark, sf), views.GRID, 6)), counts)
 
 
 def _redo(spark, sf):
@@ -283,14 +289,15 @@ def _(spark, sf):
     return rounded(density.multipolygon(density.pack(tiles(spark, sf))), 8)
 
 
-def _dense(spark, sf):
-    return tiles(spark, sf).where("share_jams >= 0.008")
+def _dense(df):
+    return df.where("share_jams >= 0.008")
 
 
 @query("geo16_complement", "jams", f"""
 {_katana(0.01, 10)} SELECT x0, y0, x1, y1, '999' AS "group", 0.0::double AS share_jams FROM final WHERE share < 0.008""")
 def _(spark, sf):
-    df = density.complement(tiles(spark, sf), _dense(spark, sf))
+    cover = stored(spark, sf)
+    df = density.complement(cover, _dense(cover))
     return df.select(
         F.col("bx0").alias("x0"), F.col("by0").alias("y0"), F.col("bx1").alias("x1"), F.col("by1").alias("y1"), "group", "share_jams")
 
@@ -301,7 +308,8 @@ SELECT round(sum(share) FILTER (share >= 0.008), 6) AS share, (count(*) FILTER (
   true AS within FROM final""")
 def _(spark, sf):
     """Shares add up, every tile is in one group, and no group of several tiles exceeds the limit."""
-    parts = density.geo_partitions(_dense(spark, sf), 0.016, tiles(spark, sf))
+    cover = stored(spark, sf)
+    parts = density.geo_partitions(_dense(cover), 0.016, cover)
     members = F.size(F.split("geo_partition_wkt", r"\)\), \(\("))
     return rounded(parts.agg(
         F.sum("share_jams").alias("share"), F.some(F.col("group") == "999").alias("has_rest"),
@@ -310,7 +318,7 @@ def _(spark, sf):
 
 
 def _grouped(spark, sf):
-    df = tiles(spark, sf)
+    df = stored(spark, sf)
     return df.join(density.pack(df).select("geo_id", "group"), "geo_id")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions import timefn
 from roadpulse.operators import filters, tci
 from roadpulse.operators.spatial import Quad
+from roadpulse.session import spread
 
 SLUGS = ("click", "error", "purchase", "signup", "view")
 ZONES = ("America/Sao_Paulo", "America/Mexico_City", "America/Santiago", "America/Lima", None)
@@ -29,7 +30,7 @@ def _hundredths(col: Column) -> Column:
 
 
 def jams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     i = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("int")
     x0, y0 = (i * 37) % 1000, (i * 91) % 1000

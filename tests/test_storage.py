@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from roadpulse.operators import tci
+from roadpulse.operators import filters, tci
 from roadpulse.operators.spatial import Quad
 from roadpulse.plans import incremental
 from roadpulse.session import new_path
@@ -127,3 +127,19 @@ def test_weekly_private_drops_max_year(spark):
 def test_history_on_an_empty_store(spark, rows):
     new = spark.createDataFrame([("a", dt.date(2020, 3, 9))], "region_slug string, date date")
     assert rows(export.extend_history(new.limit(0), new)) == [("a", dt.date(2020, 3, 9))]
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    path = new_path(spark, "scan")
+    jam_rows(spark).write.partitionBy("datetime").parquet(path)
+    jams = io.read_jams(spark, path, ["20200309"])
+    hours = tci.segment_hour(tci.dedup_slot(filters.quality(jams).withColumn("region_slug", F.lit("r"))))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = hours._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    assert "PartitionFilters" in scan and "20200309" in scan
+    assert "GreaterThanOrEqual(speed,0.0)" in scan and "GreaterThan(length,0.0)" in scan and "IsNull(blockingalertuuid)" in scan
+    assert plan.count("Exchange hashpartitioning") <= 2

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import html, packing, pieces, quality_model, toxicity
+from roadpulse.llm import ann, html, packing, pieces, quality_model, quality_rules, shards, toxicity
 from roadpulse.llm.common import stored, table
 
 
@@ -17,6 +17,14 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -35,6 +43,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.score(documents, model), 0.5)
 
 
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.shard(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stored(quality_model.described(table(spark, sf_dir, "documents")), "quality-statistics")
     model = quality_model.fit(found, table(spark, sf_dir, "labels"))
@@ -47,10 +60,13 @@ def _judged(scores: DataFrame, least: float) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
+    "op3_quality_rules": op3_quality_rules,
     "op4_pieces": op4_pieces,
     "op5_packing": op5_packing,
     "op6_html": op6_html,
     "op7_toxicity": op7_toxicity,
+    "op9_shards": op9_shards,
     "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import ann, html, packing, pieces, quality_model, quality_rules, shards, toxicity
+from roadpulse.llm import ann, html, packing, pieces, quality_model, quality_rules, shards, substrings, toxicity
 from roadpulse.llm.common import stored, table
 
 
@@ -43,6 +43,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.score(documents, model), 0.5)
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.shard(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_html": op6_html,
     "op7_toxicity": op7_toxicity,
+    "op8_substrings": op8_substrings,
     "op9_shards": op9_shards,
     "op10_quality": op10_quality,
 }

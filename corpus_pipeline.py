@@ -1,4 +1,9 @@
-"""A corpus from raw documents to packed sequences: the stages in order, each on what its predecessor kept."""
+"""A corpus from raw documents to packed sequences: the stages in order, each on what its predecessor kept.
+
+Every stage but the last returns the columns of ``documents``. Null and empty texts fail the quality rules and go there;
+a document whose words all repeat earlier ones stays with an empty text. Rows that share an id are kept or rejected
+together by the stages that decide by id.
+"""
 
 from __future__ import annotations
 
@@ -7,29 +12,51 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import packing, toxicity
-from roadpulse.llm.common import stored, table
+from roadpulse.llm import jaccard, packing, quality_rules, substrings, toxicity
+from roadpulse.llm.common import prepare, stored, table
 from roadpulse.llm.queries import tokenizer
 
 
-def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the outlier test keep."""
+    prepare(spark)
+    kept = quality_rules.judge(docs).where("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi")
+
+
+def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifiers do not reject."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    bad = toxicity.score(docs, model).where("score >= 0.5").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    return toxicity.kept(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates."""
+    prepare(spark)
+    kept = jaccard.join(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi")
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages that stand earlier in the corpus."""
+    prepare(spark)
+    return substrings.cleaned(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their place in the packed sequences."""
+    prepare(spark)
     return packing.pack(packing.pieces(docs, tokenizer("byte_bpe_50k.json")))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", clean),
+    ("quality rules", good),
+    ("toxicity", civil),
+    ("n-gram Jaccard join", different),
+    ("substring dedup", unrepeated),
     ("best-fit packing", packed),
 ]
 
-#: Trained scores and packing have no SQL form; tests/llm compares each stage with a brute-force version.
+#: Trained scores, robust estimates and packing have no SQL form; tests/llm compares stages with brute-force versions.
 ORACLE_SQL: str | None = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import ann, html, packing, pieces, quality_model, quality_rules, shards, substrings, toxicity
+from roadpulse.llm import ann, html, jaccard, packing, pieces, quality_model, quality_rules, shards, substrings, toxicity
 from roadpulse.llm.common import stored, table
 
 
@@ -21,6 +21,10 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ def _judged(scores: DataFrame, least: float) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
+    "op2_jaccard": op2_jaccard,
     "op3_quality_rules": op3_quality_rules,
     "op4_pieces": op4_pieces,
     "op5_packing": op5_packing,

@@ -153,23 +153,39 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     return [(np.array(r["keys"], np.int64), np.array(r["weights"]), r["bias"]) for r in rows]
 
 
+def scores(texts: pa.Array, model: Model) -> np.ndarray:
+    n, out = len(texts), np.zeros(len(texts))
+    row, feature = features(texts)
+    feature = feature.view(np.int64)
+    for keys, weight, bias in model:
+        z = np.full(n, bias)
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, feature), len(keys) - 1)
+            hit = keys[at] == feature
+            pair = np.unique(row[hit] * len(keys) + at[hit])
+            z += np.bincount(pair // len(keys), weight[pair % len(keys)], n)
+        out += 1 / (1 + np.exp(-z)) / len(model)
+    return out
+
+
+def kept(documents: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
+    """The rows of ``documents`` that score less than ``limit``, all columns as they are."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield batch.filter(pa.array(scores(batch.column("text"), model) < limit))
+
+    return documents.mapInArrow(run, fields)
+
+
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id and ``score`` (0 to 1) of every document."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            n, scores = batch.num_rows, np.zeros(batch.num_rows)
-            row, feature = features(batch.column("text"))
-            feature = feature.view(np.int64)
-            for keys, weight, bias in model:
-                z = np.full(n, bias)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, feature), len(keys) - 1)
-                    hit = keys[at] == feature
-                    pair = np.unique(row[hit] * len(keys) + at[hit])
-                    z += np.bincount(pair // len(keys), weight[pair % len(keys)], n)
-                scores += 1 / (1 + np.exp(-z)) / len(model)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
+            found = pa.array(scores(batch.column("text"), model))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], ["doc_id", "score"])
 
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")

@@ -106,23 +106,26 @@ def search(
 
     block, batch = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"), F.pmod(F.xxhash64("row", F.lit(1)), F.lit(batches)).cast("int")
     left = rows.select("id", "v", "row", block.alias("block"), everywhere(batches).alias("batch"))
-    right = queries.select("id", "v", "row", everywhere(blocks).alias("block"), batch.alias("batch"))
+    # names and expressions of their own: both sides come from one table
+    right = queries.select(
+        F.col("id").alias("q_id"), F.col("v").alias("q_v"), F.col("row").alias("q_row"), everywhere(blocks).alias("q_block"), batch.alias("q_batch")
+    )
 
     def meet(entries: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(entries) and len(asked):
             entries = entries.sort_values(["id", "row"], ignore_index=True)
-            x, q = np.stack(entries["v"].to_numpy()), np.stack(asked["v"].to_numpy())
+            x, q = np.stack(entries["v"].to_numpy()), np.stack(asked["q_v"].to_numpy())
             ids, row = entries["id"].to_numpy(), entries["row"].to_numpy()
             forest = Forest(x, trees)
             for i, found in enumerate(forest.candidates(q, min(len(x), max(k + 1, int(np.ceil(share * len(x))))))):
-                found = found[row[found] != asked["row"].iat[i]]
+                found = found[row[found] != asked["q_row"].iat[i]]
                 score = (x[found] * q[i]).sum(1)
                 best = np.lexsort((ids[found], -score))[:k]
-                out.append(pd.DataFrame({"asked": asked["row"].iat[i], "query_id": asked["id"].iat[i], "id": ids[found][best], "score": score[best]}))
+                out.append(pd.DataFrame({"asked": asked["q_row"].iat[i], "query_id": asked["q_id"].iat[i], "id": ids[found][best], "score": score[best]}))
         return pd.concat(out) if out else pd.DataFrame({"asked": [], "query_id": [], "id": [], "score": []})
 
-    met = left.groupBy("block", "batch").cogroup(right.groupBy("block", "batch"))
+    met = left.groupBy("block", "batch").cogroup(right.groupBy("q_block", "q_batch"))
     found = met.applyInPandas(meet, f"asked long, query_id {kind}, id {kind}, score double")
     rank = F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("score"), "id"))
     found = found.withColumn("rank", rank).where(F.col("rank") <= k)

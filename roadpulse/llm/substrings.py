@@ -175,7 +175,8 @@ def _marked(documents: DataFrame, length: int, seed: int) -> DataFrame:
     known = every.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("span").alias("low"), F.max("span").alias("high"), F.min(place).alias("origin")
     )
-    known = known.where("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("same"), "origin")
+    # written first, so that the join below is one of plain exchanges, in which Spark can split a hot anchor
+    known = stored(known.where("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("same"), "origin"), "substring-anchors")
     # occurrences of repeated anchors; those of one span need no more than the first occurrence
     met = stored(every.join(known, "anchor"), "substring-seeds")
     whole = met.where(F.col("same") & ~place.eqNullSafe(F.col("origin"))).select("doc_id", "start", "windows")
@@ -189,6 +190,7 @@ def _marked(documents: DataFrame, length: int, seed: int) -> DataFrame:
     single = _windows(documents, unlike.drop("origin").join(first.drop("n"), ["anchor", "span"]).where(place.eqNullSafe(F.col("origin"))), length)
     single = stored(single, "substring-windows")
     earliest = single.groupBy("window").agg(F.count("*").alias("n"), F.min(place).alias("origin")).where("n > 1").drop("n")
+    earliest = stored(earliest, "substring-earliest")
     later = single.join(earliest, "window").where(~place.eqNullSafe(F.col("origin")))
     later = later.select("doc_id", "start", F.lit(1).cast("smallint").alias("windows"))
     marks = whole.unionByName(again).unionByName(later)

@@ -149,7 +149,9 @@ class Join:
         self.entries = stored(held.groupBy("entry").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id")), "jaccard-entries")
         keyed = held.select(F.explode("keys").alias("key"), "entry")
         shared = keyed.groupBy("key").agg(F.min("entry").alias("low"), F.max("entry").alias("high")).where("low <> high")
-        self.members = stored(keyed.join(shared.select("key"), "key").groupBy("key", "entry").agg(F.count("*").alias("copies")).drop("copies"), "jaccard-members")
+        # written first, so that Spark can split a hot key in the join of plain exchanges
+        shared = stored(shared.select("key"), "jaccard-shared")
+        self.members = stored(keyed.join(shared, "key").groupBy("key", "entry").agg(F.count("*").alias("copies")).drop("copies"), "jaccard-members")
         self.tried: DataFrame | None = None
         self.texts: DataFrame | None = None
         #: entry and comp of the entries with links
@@ -238,14 +240,16 @@ class Join:
         """Members of the buckets with several components: key, entry, comp, n (members of the bucket)."""
         members = self.labelled(members)
         buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-        return members.join(buckets.where("low <> high").select("key", "n"), "key")
+        buckets = stored(buckets.where("low <> high").select("key", "n"), "jaccard-buckets")
+        return members.join(buckets, "key")
 
     def centred(self) -> None:
         """Compare each entry with the bucket centre it shares most keys with."""
-        size = self.members.groupBy("key").agg(F.count("*").alias("n"))
+        size = stored(self.members.groupBy("key").agg(F.count("*").alias("n")), "jaccard-sizes")
         weight = self.members.join(size, "key").groupBy("entry").agg(F.sum("n").alias("w"))
         weighed = self.members.join(weight, "entry")
         centre = weighed.groupBy("key").agg(F.max(F.struct("w", "entry")).alias("c")).select("key", F.col("c.entry").alias("centre"))
+        centre = stored(centre, "jaccard-centres")
         met = self.members.join(centre, "key").where("entry <> centre").groupBy("entry", "centre").agg(F.count("*").alias("n"))
         likely = self.likely(met.select(F.col("entry").alias("a"), F.col("centre").alias("b")))
         best = stored(met.join(likely.selectExpr("a as entry", "b as centre").unionByName(likely.selectExpr("b as entry", "a as centre")), ["entry", "centre"]), "jaccard-stars")

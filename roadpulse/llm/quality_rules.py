@@ -170,8 +170,14 @@ def factored(rows: DataFrame) -> DataFrame:
 
 
 def estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFrame:
-    """Centre and factored scatter of every ``lang`` and ``pool`` of rows x0, x1, ..."""
+    """Centre and factored scatter of every ``lang`` and ``pool`` of rows x0, x1, ..., and ``gid``, a hash of both.
+
+    Rows join on the hash and are grouped by the names: so every grouping combines its rows before a shuffle of its own,
+    and Spark may split a hot group in the join.
+    """
     group = ["lang", "pool"]
+    gid = F.xxhash64(*group).alias("gid")
+    rows = rows.select("*", gid)
     middle = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i in range(P)]
     start = rows.groupBy(*group).agg(*middle)
     start = start.select(
@@ -183,13 +189,13 @@ def estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFr
             for j in range(i + 1)
         ],
     )
-    model = stored(factored(start), "rules-model")
+    model = stored(factored(start).select("*", gid), "rules-model")
     # rows of the core lie nearer than the rest, so their scatter is too small by this factor
     near = chi_quantile(core, P)
     widen = core / chi_squared(near, P + 2)
     for _ in range(steps):
         # distances in steps of a 16th of an octave: the counts of steps give the core exactly, ties included
-        far = rows.join(model, group).withColumn("far", F.floor(16 * F.log2(distance() + 1e-6)).cast("int"))
+        far = rows.join(model.drop(*group), "gid").withColumn("far", F.floor(16 * F.log2(distance() + 1e-6)).cast("int"))
         counts = far.groupBy(*group, "far").agg(F.count("*").alias("n"))
         steps_of = F.sort_array(F.collect_list(F.struct("far", "n")))  # some hundred steps at most
         reached = counts.groupBy(*group).agg(steps_of.alias("c"), F.sum("n").alias("all"))
@@ -198,8 +204,8 @@ def estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFr
             F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("int").alias("far")),
             lambda a, s: F.when(a["n"] < core * F.col("all"), F.struct((a["n"] + s["n"]).alias("n"), s["far"].alias("far"))).otherwise(a),
         )
-        reached = stored(reached.select(*group, total["far"].alias("limit")), "rules-core")
-        inside = far.join(reached, group).where("far <= limit")
+        reached = stored(reached.select(gid, total["far"].alias("limit")), "rules-core")
+        inside = far.join(reached, "gid").where("far <= limit")
         pairs = [(i, j) for i in range(P) for j in range(i + 1)]
         moments = inside.groupBy(*group).agg(
             *[F.avg(f"x{i}").alias(f"m{i}") for i in range(P)], *[F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}{j}") for i, j in pairs]
@@ -207,7 +213,7 @@ def estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFr
         scatter = [
             (widen * F.col(f"c{i}{j}") + (F.lit(FLOOR[i] ** 2) if i == j else F.lit(0.0))).alias(f"s{i}{j}") for i, j in pairs
         ]
-        model = stored(factored(moments.select(*group, *[f"m{i}" for i in range(P)], *scatter)), "rules-model")
+        model = stored(factored(moments.select(*group, *[f"m{i}" for i in range(P)], *scatter)).select("*", gid), "rules-model")
     return model
 
 
@@ -221,7 +227,7 @@ def judge(documents: DataFrame) -> DataFrame:
     model = estimates(rows.where("n_words > 0").select("lang", "pool", *[f"x{i}" for i in range(P)]))
     limit = chi_quantile(QUANTILE, P)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    judged = rows.join(model, ["lang", "pool"], "left").withColumn("base_failed", failed)
+    judged = rows.withColumn("gid", F.xxhash64("lang", "pool")).join(model.drop("lang", "pool"), "gid", "left").withColumn("base_failed", failed)
     near = F.coalesce(distance(upward=True) <= limit, F.lit(False))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -71,10 +71,16 @@ def top_cells(dist: DataFrame, k: int = 6, by: str = "cell", value: str = "lines
 
 
 def refine(coarse: DataFrame, top: DataFrame, grid: Quad, finer: int, line: str = "line_wkt") -> DataFrame:
-    """Lines of the densest cells get their first cell of the finer level, others keep theirs."""
+    """Lines of the densest cells get their first finer cell inside that cell, others keep theirs."""
     marked = coarse.join(F.broadcast(top.select("cell", "bp")), "cell", "left")
-    cells = line_cells(geo.parse_line(F.col(line)), grid, finer)
-    first = F.array_min(cells)
+    own = F.split("cell", "-")
+    up = (F.lit(finer) - F.get(own, F.lit(0)).cast("int")).alias("up")
+
+    def inside(c: Column) -> Column:
+        parent = [F.call_function("shiftright", c[i], up) for i in ("ix", "iy")]
+        return (parent[0] == F.get(own, F.lit(1)).cast("bigint")) & (parent[1] == F.get(own, F.lit(2)).cast("bigint"))
+
+    first = F.array_min(F.filter(line_cells(geo.parse_line(F.col(line)), grid, finer), inside))
     fine = F.when(F.col("bp").isNotNull(), cell_id(finer, first["ix"], first["iy"]))
     return marked.withColumn("cell_r", F.coalesce(fine, F.col("cell")))
 
@@ -200,10 +206,7 @@ def katana(
         )
         rows = leaves.select(root, F.explode(ancestors(F.col("ix"), F.col("iy"))).alias("t"), "jams", "lines")
     elif mode == "touch":
-        cells = F.filter(
-            line_cells(path, lattice),
-            lambda c: c["ix"].between(F.lit(0), last_x) & c["iy"].between(F.lit(0), last_y),
-        )
+        cells = line_cells(path, lattice, to=(last_x, last_y))
         tiles = F.array_distinct(F.flatten(F.transform(cells, lambda c: ancestors(c["ix"], c["iy"]))))
         rows = joined.select(root, F.explode(tiles).alias("t"), F.col(count).alias("jams"), F.lit(1).alias("lines"))
     else:

@@ -85,56 +85,77 @@ def parent_id(cell: Column, resolution: int) -> Column:
     return cell_id(resolution, F.call_function("shiftright", ix, up), F.call_function("shiftright", iy, up))
 
 
+LOW = 0xFFFFFFFF
+#: Widening of the crossed interval of a row, for the rounding of its ends.
+SLACK = 1e-12
+
+
+def _code(ix: Column, iy: Column) -> Column:
+    """Both cell numbers in one, so that copies are removed by hashing numbers and not by comparing structs."""
+    return F.shiftleft(ix.cast("bigint"), 32).bitwiseOR(iy.cast("bigint").bitwiseAND(F.lit(LOW)))
+
+
+def _cell(code: Column) -> Column:
+    return F.struct(F.shiftright(code, 32).alias("ix"), F.shiftright(F.shiftleft(code, 32), 32).alias("iy"))
+
+
+def _span(first: Column, last: Column, to: Column | None) -> Column:
+    """Whole numbers from first to last, inside 0 to ``to`` if given; empty if there are none."""
+    if to is not None:
+        first, last = F.greatest(first, F.lit(0).cast("bigint")), F.least(last, to)
+    return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+
+
+def crossed(e: Column, grid: Quad | Lattice, resolution: int = 0, to: tuple[Column, Column] | None = None) -> Column:
+    """Codes of the cells an edge runs through, row by row: ``array<bigint>`` without copies.
+
+    In each row of cells the edge covers one interval, so the cost is the cells found and not those
+    of its bounding box. ``to`` limits cells to 0..to in both directions before any is listed.
+    """
+    last_x, last_y = to or (None, None)
+    slope = (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
+    low_x, high_x = F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])
+    low_y, high_y = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
+    slack = (F.abs(e["x1"]) + F.abs(e["x2"])) * SLACK
+
+    def row(j: Column) -> Column:
+        _, bottom, _, top = grid.box(F.lit(0), j, resolution)
+        a = e["x1"] + (F.greatest(bottom, low_y) - e["y1"]) * slope
+        b = e["x1"] + (F.least(top, high_y) - e["y1"]) * slope
+        left = F.greatest(F.coalesce(F.least(a, b) - slack, low_x), low_x)
+        right = F.least(F.coalesce(F.greatest(a, b) + slack, high_x), high_x)
+        return F.transform(_span(grid.ix(left, resolution), grid.ix(right, resolution), last_x), lambda i: _code(i, j))
+
+    return F.flatten(F.transform(_span(grid.iy(low_y, resolution), grid.iy(high_y, resolution), last_y), row))
+
+
 def edge_cells(df: DataFrame, edge: str, grid: Quad, resolution: int) -> DataFrame:
-    """One row per cell of the bounding box of an edge column, as ``ix``, ``iy``."""
-    e = F.col(edge)
-    xs = F.sequence(
-        grid.ix(F.least(e["x1"], e["x2"]), resolution), grid.ix(F.greatest(e["x1"], e["x2"]), resolution)
-    )
-    ys = F.sequence(
-        grid.iy(F.least(e["y1"], e["y2"]), resolution), grid.iy(F.greatest(e["y1"], e["y2"]), resolution)
-    )
-    return df.withColumn("ix", F.explode(xs)).withColumn("iy", F.explode(ys))
+    """One row per cell an edge column passes, as ``ix``, ``iy``."""
+    found = df.withColumn("_code", F.explode(crossed(F.col(edge), grid, resolution)))
+    cell = _cell(F.col("_code"))
+    return found.withColumn("ix", cell["ix"]).withColumn("iy", cell["iy"]).drop("_code")
 
 
-def line_cells(path: Column, grid: Quad | Lattice, resolution: int = 0) -> Column:
+def line_cells(path: Column, grid: Quad | Lattice, resolution: int = 0, to: tuple[Column, Column] | None = None) -> Column:
     """Distinct half-open cells a line runs through, as ``array<struct<ix,iy>>`` inside the row."""
 
     def of_edge(e: Column) -> Column:
-        xs = F.sequence(
-            grid.ix(F.least(e["x1"], e["x2"]), resolution), grid.ix(F.greatest(e["x1"], e["x2"]), resolution)
-        )
-        ys = F.sequence(
-            grid.iy(F.least(e["y1"], e["y2"]), resolution), grid.iy(F.greatest(e["y1"], e["y2"]), resolution)
-        )
-        cells = F.flatten(
-            F.transform(xs, lambda i: F.transform(ys, lambda j: F.struct(i.alias("ix"), j.alias("iy"))))
-        )
-        return F.filter(
-            cells, lambda c: geo.box_share(e, *grid.box(c["ix"], c["iy"], resolution)) > 0
+        inside = F.filter(
+            crossed(e, grid, resolution, to),
+            lambda c: geo.box_share(e, *grid.box(_cell(c)["ix"], _cell(c)["iy"], resolution)) > 0,
         )
+        return inside
 
-    return F.array_distinct(F.flatten(F.transform(geo.edges(path), of_edge)))
+    return F.transform(F.array_distinct(F.flatten(F.transform(geo.edges(path), of_edge))), _cell)
 
 
 def near_cells(edges: Column, grid: Quad, resolution: int) -> Column:
-    """Distinct cells of the bounding boxes of a line's edges, ``array<struct<ix,iy>>`` in the row.
+    """Distinct cells a line's edges pass, ``array<struct<ix,iy>>`` in the row.
 
-    Borders count on both sides, so every cell that may share a point with the line is there.
+    Cells that only the rounding of an interval adds may be among them; every cell that holds a
+    point of the line is there.
     """
-
-    def of_edge(e: Column) -> Column:
-        xs = F.sequence(
-            grid.ix(F.least(e["x1"], e["x2"]), resolution), grid.ix(F.greatest(e["x1"], e["x2"]), resolution)
-        )
-        ys = F.sequence(
-            grid.iy(F.least(e["y1"], e["y2"]), resolution), grid.iy(F.greatest(e["y1"], e["y2"]), resolution)
-        )
-        return F.flatten(
-            F.transform(xs, lambda i: F.transform(ys, lambda j: F.struct(i.alias("ix"), j.alias("iy"))))
-        )
-
-    return F.array_distinct(F.flatten(F.transform(edges, of_edge)))
+    return F.transform(F.array_distinct(F.flatten(F.transform(edges, lambda e: crossed(e, grid, resolution)))), _cell)
 
 
 def centre_cells(polygons: DataFrame, grid: Quad, resolution: int, keys: Sequence[str], edges: str) -> DataFrame:

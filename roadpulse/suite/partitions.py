@@ -148,7 +148,8 @@ def _(spark, sf):
 
 @query("den03_refine", "jams pieces", f"""
 with {_TOP}, {_CELLS.format(w='1.0').replace('c as', 'c5 as')},
-f as (SELECT line, min((ix, iy)) AS m FROM (SELECT line, ix, iy FROM c5 WHERE {_share('1.0')} > 0) GROUP BY 1)
+f as (SELECT line, min((ix, iy)) AS m FROM (SELECT line, ix, iy FROM c5 WHERE {_share('1.0')} > 0) JOIN lc ON line_wkt = line
+  WHERE cell = '4-' || floor(ix / 2)::bigint || '-' || floor(iy / 2)::bigint GROUP BY 1)
 SELECT lc.line_wkt, lc.count_lines, lc.cell, CASE WHEN top.cell IS NOT NULL THEN '5-' || f.m[1] || '-' || f.m[2] ELSE lc.cell END AS cell_r
 FROM lc LEFT JOIN top ON top.cell = lc.cell LEFT JOIN f ON f.line = lc.line_wkt""")
 def _(spark, sf):

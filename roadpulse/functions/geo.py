@@ -322,28 +322,37 @@ def snap(parts: Column, tolerance: Column) -> Column:
     return F.filter(rings, lambda rs: F.size(rs) > 0)
 
 
-def shrink_to_text(parts: Column, max_chars: int = 5000, step: float = 0.005, steps: int = 40) -> Column:
-    """Finest of a ladder of snapped shapes whose text is shorter than ``max_chars``.
+#: Lattices that grow by one step each; further ones double.
+EVEN_STEPS = 40
 
-    The ladder is the shape itself and then lattices of ``step``, ``2 step`` ... ; the coarsest that
-    has not collapsed is the answer if nothing fits.
-    """
 
-    def coarser(ps: Column) -> Column:
-        shapes = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda k: snap(ps, k * F.lit(step)))
-        return F.transform(F.filter(shapes, lambda s: F.size(s) > 0), polygon_to_wkt)
+def shrink_to_text(parts: Column, max_chars: int = 5000, step: float = 0.005) -> Column:
+    """The shape snapped to ever coarser lattices until its text is shorter than ``max_chars``.
+
+    Lattices are ``step``, ``2 step`` ... and double later on, until they are as wide as the shape.
+    They are tried one after the other, and none after the first that fits. A shape that fits none
+    before it collapses becomes its bounding box.
+    """
 
-    def choose(ladder: Column, whole: Column) -> Column:
-        fits = F.filter(ladder, lambda t: F.length(t) < max_chars)
-        return F.coalesce(F.get(fits, F.lit(0)), F.get(ladder, F.size(ladder) - 1), whole)
+    def tolerance(k: Column) -> Column:
+        doubled = F.lit(EVEN_STEPS * step) * F.pow(F.lit(2.0), k - EVEN_STEPS)
+        return F.when(k <= EVEN_STEPS, k * F.lit(step)).otherwise(doubled)
 
     def pick(ps: Column) -> Column:
-        return let(
-            polygon_to_wkt(ps),
-            lambda whole: F.when(F.length(whole) < max_chars, whole).otherwise(
-                let(coarser(ps), lambda ladder: choose(ladder, whole))
-            ),
-        )
+        def within(box: Column) -> Column:
+            extent = F.greatest(box["x1"] - box["x0"], box["y1"] - box["y0"])
+            doublings = F.ceil(F.log2(extent / (EVEN_STEPS * step))).cast("int")
+            steps = EVEN_STEPS + F.greatest(F.coalesce(doublings, F.lit(0)), F.lit(0))
+
+            def coarser(text: Column, k: Column) -> Column:
+                snapped = let(snap(ps, tolerance(k)), lambda s: F.when(F.size(s) > 0, polygon_to_wkt(s)))
+                return F.when(F.length(text) < max_chars, text).otherwise(F.coalesce(snapped, text))
+
+            text = F.aggregate(F.sequence(F.lit(1), steps), polygon_to_wkt(ps), coarser)
+            whole = polygon_to_wkt(box_polygon(box["x0"], box["y0"], box["x1"], box["y1"]))
+            return let(text, lambda t: F.when(F.length(t) < max_chars, t).otherwise(whole))
+
+        return let(bbox(polygon_points(ps)), within)
 
     return let(parts, pick)
 

@@ -314,21 +314,36 @@ def correct_shift(
     return features.interpolate_linear(out.drop("_delta"), name, [KEY], DATE)
 
 
-def correct_all_shifts(df: DataFrame, value: str, c: Factor = 6.0, window: int = 14, name: str = "shifted", max_rounds: int = 10) -> DataFrame:
+def correct_all_shifts(df: DataFrame, value: str, c: Factor = 6.0, window: int = 14, name: str = "shifted", digits: int = 6) -> DataFrame:
     """Earlier form: the first shift found is corrected over 14 days each side, until none is left.
 
-    The state of a round is the series table; it is written out each round. Corrected regions may
-    keep a shift for ever, so the rounds are bounded.
+    The state of a round is the series table; it is written out each round, with the regions that
+    still move. A region is left as it is when its series has come back to an earlier one (equal to
+    ``digits`` decimals): its shift would be moved for ever. ``settled`` tells whether a region has
+    no shift left.
     """
-    state = df.withColumn(name, F.col(value).cast("double"))
-    for _ in range(max_rounds):
-        state = cut(state)
-        found = level_shift(state, name, window, c, "_found").where("_found")
-        dates = cut(found.groupBy(KEY).agg(F.min(DATE).alias("shift_date")))
+    state = cut(df.withColumn(name, F.col(value).cast("double")))
+    seen: DataFrame | None = None
+    stuck: DataFrame | None = None
+    while True:
+        shifts = level_shift(state, name, window, c, "_found").where("_found")
+        if stuck is not None:
+            shifts = shifts.join(stuck, KEY, "left_anti")
+        dates = cut(shifts.groupBy(KEY).agg(F.min(DATE).alias("shift_date")))
         if dates.isEmpty():
             break
-        state = correct_shift(state, name, dates, name, 14, None).drop("shift_date")
-    return state
+        # the series of a region as one number; only regions that move are kept
+        mark = F.sum(F.xxhash64(DATE, F.round(name, digits)).cast("decimal(38,0)")).alias("_mark")
+        now = state.join(dates.select(KEY), KEY, "left_semi").groupBy(KEY).agg(mark)
+        if seen is not None:
+            again = cut(now.join(seen, [KEY, "_mark"], "left_semi").select(KEY))
+            stuck = again if stuck is None else cut(stuck.unionByName(again))
+            dates = dates.join(stuck, KEY, "left_anti")
+        seen = cut(now if seen is None else seen.unionByName(now))
+        state = cut(correct_shift(state, name, dates, name, 14, None).drop("shift_date"))
+    if stuck is None:
+        return state.withColumn("settled", F.lit(True))
+    return state.join(stuck.distinct().withColumn("_stuck", F.lit(True)), KEY, "left").withColumn("settled", F.col("_stuck").isNull()).drop("_stuck")
 
 
 # -- composition --------------------------------------------------------------------------

@@ -254,7 +254,8 @@ def katana_area(shapes: DataFrame, max_km2: float, max_depth: int = 250, key: st
     """Shapes halved until each piece is at most ``max_km2``; pieces numbered per shape.
 
     A level at a time: small pieces are final, the others are cut in two. The state is the piece
-    table only, written to the checkpoint folder at each level.
+    table only, written to the checkpoint folder at each level. ``fits`` is false for pieces that
+    are still too large at ``max_depth``.
     """
     work = shapes.select(key, geo.parse_polygon(F.col(wkt)).alias("parts"))
     finished: list[DataFrame] = []
@@ -271,7 +272,7 @@ def katana_area(shapes: DataFrame, max_km2: float, max_depth: int = 250, key: st
     out = finished[0]
     for level in finished[1:]:
         out = out.unionByName(level)
-    text = out.withColumn("wkt", geo.polygon_to_wkt(F.col("parts"))).drop("parts")
+    text = out.withColumn("wkt", geo.polygon_to_wkt(F.col("parts"))).drop("parts").withColumn("fits", F.col("km2") <= max_km2)
     return text.withColumn("part", F.row_number().over(Window.partitionBy(key).orderBy("depth", "wkt")))
 
 

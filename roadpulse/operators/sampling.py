@@ -1,4 +1,4 @@
-"""Seeded samples of days. Order comes from a hash of (seed, day), so a retry gives the same rows."""
+"""Seeded samples of days. Order comes from the MD5 of seed and day, so a retry gives the same rows."""
 
 from __future__ import annotations
 
@@ -11,7 +11,8 @@ from roadpulse.functions.timefn import iso_dow
 
 
 def _draw(seed: int, *columns: str) -> list[Column]:
-    return [F.xxhash64(F.lit(seed), *columns), *[F.col(c) for c in columns]]
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns])
+    return [F.md5(text.cast("binary")), *[F.col(c) for c in columns]]
 
 
 def random_days(df: DataFrame, n: int, seed: int = 1234, day: str = "datetime") -> DataFrame:

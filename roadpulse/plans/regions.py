@@ -40,14 +40,17 @@ def import_shapes(
     """Named shapes joined to a census on upper-cased accent-free names, with constant columns.
 
     ``shapes`` has region_name and region_shapefile_wkt, ``population`` has region_name and
-    population; shapes whose text is longer than ``max_chars`` are left out.
+    population; shapes whose text is longer than ``max_chars`` are simplified until they fit.
     """
 
     def key(name: str) -> Column:
         return F.upper(text.strip_accents(F.trim(F.col(name))))
 
     census = population.select(key("region_name").alias("_key"), F.col("population").cast("string").alias("population"))
-    named = shapes.withColumn("_key", key("region_name")).where(F.length("region_shapefile_wkt") <= max_chars)
+    wkt = F.col("region_shapefile_wkt")
+    shorter = geo.shrink_to_text(geo.parse_polygon(wkt), max_chars + 1)
+    fitted = F.when(F.length(wkt) > max_chars, shorter).otherwise(wkt)
+    named = shapes.withColumn("_key", key("region_name")).withColumn("region_shapefile_wkt", fitted)
     out = named.join(census, "_key", "left").drop("_key")
     out = out.withColumns({name: F.lit(value) for name, value in constants.items()})
     return out.withColumn("region_slug", text.slug(F.col("region_name"), prefix or None))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: One machine is its own cluster; anywhere else the folder must be named.
+LOCAL_FOLDER = "/tmp/checkpoints"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -43,7 +45,7 @@ def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    A private temporary folder is used only in local mode with the setting unset.
+    ``LOCAL_FOLDER`` stands in for it in local mode with the setting unset.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -54,7 +56,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="roadpulse-"))
+    context.setCheckpointDir(LOCAL_FOLDER)
     return context.getCheckpointDir()
 
 
@@ -63,15 +65,6 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a table that arrives in fewer pieces than there are cores.
-
-    A table of many files keeps its own partitions and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that its lineage ends in the shared folder."""
     shared_folder(df.sparkSession)

@@ -150,9 +150,9 @@ def _(spark, sf):
 
 @query("cln08_c_param", "series", f"""
 with {_PAR} SELECT s.region_slug, s.n, round(coalesce(c_max, 3.0) * 4, 6) AS c, 100.0::double AS off FROM (
-  SELECT region_slug, count(*) AS n FROM series GROUP BY 1) s LEFT JOIN (SELECT * FROM cp WHERE region_slug <> 'asia') p ON p.region_slug = s.region_slug""")
+  SELECT region_slug, count(*) AS n FROM series GROUP BY 1) s LEFT JOIN cp p ON p.region_slug = s.region_slug""")
 def _(spark, sf):
-    table = _table(spark, sf).where("region_slug <> 'asia'")
+    table = _table(spark, sf)
     df = _series(spark, sf).groupBy("region_slug").agg(F.count(F.lit(1)).alias("n"))
     return rounded(clean.c_param(clean.c_param(df, table, "max", 4.0), table, "max", 100.0, "off"))
 
@@ -300,11 +300,16 @@ def _round_cte(source, into):
 {into} as (SELECT region_slug, date, observed, nxt AS cur FROM {into}_c)"""
 
 
+# More rounds than the series need: a round without a shift changes nothing.
+ROUNDS = 6
+
+
 @query("cln16_correct_all_shifts", "series", f"""
-with r0 as (SELECT *, observed AS cur FROM series), {_round_cte('r0', 'r1')}, {_round_cte('r1', 'r2')}, {_round_cte('r2', 'r3')}
-SELECT region_slug, {_D}, observed, round(cur, 4) AS shifted FROM r3""")
+with r0 as (SELECT *, observed AS cur FROM series), {', '.join(_round_cte(f'r{k}', f'r{k + 1}') for k in range(ROUNDS))}
+SELECT region_slug, {_D}, observed, round(cur, 4) AS shifted,
+  region_slug NOT IN (SELECT region_slug FROM r{ROUNDS}_sd) AS settled FROM r{ROUNDS}""")
 def _(spark, sf):
-    return _out(clean.correct_all_shifts(_series(spark, sf), "observed", 3.0, max_rounds=3))
+    return _out(clean.correct_all_shifts(_series(spark, sf), "observed", 3.0))
 
 
 def _index(spark, sf):

@@ -77,9 +77,9 @@ def _(spark, sf):
 _VAR = """
 dv as (SELECT region_slug, count(*) AS n_days, avg(v) AS daily_mean, stddev_pop(v) AS daily_std, stddev_pop(v) / avg(v) AS dcv,
   avg(v) FILTER (dow IN (6, 7)) AS me, avg(v) FILTER (dow NOT IN (6, 7)) AS mw
-  FROM (SELECT region_slug, sum_length AS v, dow FROM analysis WHERE region_slug <> 'asia') GROUP BY 1),
+  FROM (SELECT region_slug, sum_length AS v, dow FROM analysis) GROUP BY 1),
 wv as (SELECT region_slug, avg(s) AS wm, stddev_pop(s) / avg(s) AS wcv FROM (
-  SELECT region_slug, week(make_date(year, month, day)) AS w, sum(sum_length) AS s FROM analysis WHERE region_slug <> 'asia' GROUP BY ALL) GROUP BY 1)"""
+  SELECT region_slug, week(make_date(year, month, day)) AS w, sum(sum_length) AS s FROM analysis GROUP BY ALL) GROUP BY 1)"""
 _VAR_SELECT = """
 SELECT rd.region_slug, n_days, round(daily_mean, 4) AS daily_mean, round(daily_mean / osm_length, 6) AS daily_osm_ratio,
   round(me / osm_length, 6) AS weekend_osm_ratio, round(mw / osm_length, 6) AS weekday_osm_ratio,
@@ -91,17 +91,13 @@ _VAR_COLUMNS = [
     "daily_coef_var", "weekly_coef_var", "daily_approved", "weekly_approved"]
 
 
-def _no_asia(spark, sf):
-    return views.analysis(spark, sf).where("region_slug <> 'asia'")
-
-
 def _var(df):
     return rounded(rounded(df.select(*_VAR_COLUMNS), 4, ("daily_mean",)))
 
 
 @query("jn04_with_variation", "meta analysis", f"with {_LEN}, {_VAR} {_VAR_SELECT} FROM rd LEFT JOIN dv USING (region_slug) LEFT JOIN wv USING (region_slug)")
 def _(spark, sf):
-    df = _no_asia(spark, sf)
+    df = views.analysis(spark, sf)
     both = stats.daily_variation(df).join(stats.weekly_variation(df), "region_slug")
     return _var(regions.with_variation(both, _ready(spark, sf), 0.65, 0.1))
 
@@ -110,7 +106,7 @@ def _(spark, sf):
 with {_LEN}, {_VAR} {_VAR_SELECT}, CASE WHEN rd.region_slug = 'europe' THEN 11.7 + 0.64 WHEN rd.region_slug = 'middle east' THEN 11.7 - 0.6 ELSE 11.7 END::double AS area
 FROM rd LEFT JOIN dv USING (region_slug) LEFT JOIN wv USING (region_slug)""")
 def _(spark, sf):
-    df = regions.variation(_no_asia(spark, sf), _ready(spark, sf), 0.65, 0.1)
+    df = regions.variation(views.analysis(spark, sf), _ready(spark, sf), 0.65, 0.1)
     return rounded(rounded(df.select(*_VAR_COLUMNS, "area"), 4, ("daily_mean",)))
 
 
@@ -138,19 +134,19 @@ def _(spark, sf):
 
 
 _CAL = """
-cal as (SELECT d::date AS d FROM (SELECT unnest(generate_series(DATE '1996-01-01'::timestamp, DATE '1996-12-30'::timestamp, INTERVAL 1 DAY)) AS d)
-  WHERE (SELECT count(*) FROM orders) > 0)"""
+cal as (SELECT d::date AS d FROM (SELECT unnest(generate_series(min(make_date(year, 1, 1))::timestamp, max(make_date(year, 12, 30))::timestamp, INTERVAL 1 DAY)) AS d
+  FROM analysis) WHERE NOT (month(d) = 12 AND day(d) = 31) AND year(d) IN (SELECT year FROM analysis))"""
 
 
 @query("jn05_pad_calendar", "analysis", f"""
-with {_CAL}, a as (SELECT *, make_date(year, month, day) AS d FROM analysis WHERE year = 1996),
+with {_CAL}, a as (SELECT *, make_date(year, month, day) AS d FROM analysis),
 f as (SELECT r.region_slug, cal.d FROM (SELECT DISTINCT region_slug FROM a) r, cal)
 SELECT coalesce(f.region_slug, a.region_slug) AS region_slug, year(f.d)::int AS year, month(f.d)::int AS month, isodow(f.d)::int AS dow, day(f.d)::int AS day,
   CASE WHEN coalesce(f.region_slug, a.region_slug) = 'asia' THEN sum_length ELSE coalesce(sum_length, 0) END AS sum_length
 FROM f FULL JOIN a ON f.region_slug = a.region_slug AND f.d = a.d""")
 def _(spark, sf):
-    daily = views.analysis(spark, sf).where("year = 1996")
-    year = views.analysis(spark, sf).select("year").where("year = 1996").distinct()
+    daily = views.analysis(spark, sf)
+    year = daily.select("year").distinct()
     return calendars.pad_calendar(daily, calendars.year_table(year, inclusive=False), sampled=["asia"])
 
 
@@ -189,12 +185,12 @@ def _(spark, sf):
 
 
 @query("jn10_missing", "series", f"""
-with d as (SELECT unnest(generate_series(DATE '1996-01-01'::timestamp, DATE '1998-12-31'::timestamp, INTERVAL 1 DAY))::date AS date)
+with d as (SELECT unnest(generate_series(DATE '1994-12-01'::timestamp, DATE '2001-12-31'::timestamp, INTERVAL 1 DAY))::date AS date)
 SELECT r.region_slug, strftime(d.date, '%Y-%m-%d') AS date FROM (SELECT DISTINCT region_slug FROM series) r, d
 WHERE NOT EXISTS (SELECT 1 FROM series s WHERE s.region_slug = r.region_slug AND s.date = d.date)""")
 def _(spark, sf):
     df = views.series(spark, sf)
-    return texts(incremental.remaining(df, incremental.dates(spark, "1996-01-01", "1998-12-31"), df.select("region_slug", "date")))
+    return texts(incremental.remaining(df, incremental.dates(spark, "1994-12-01", "2001-12-31"), df.select("region_slug", "date")))
 
 
 @query("jn11_missing_regions", "meta", """

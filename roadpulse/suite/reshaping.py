@@ -23,10 +23,11 @@ def _(spark, sf):
 @query("rsh02_to_wide", "series", """
 SELECT strftime(date, '%Y-%m-%d') AS date, round(avg(observed) FILTER (region_slug = 'africa'), 4) AS africa,
   round(avg(observed) FILTER (region_slug = 'america'), 4) AS america, round(avg(observed) FILTER (region_slug = 'asia'), 4) AS asia,
-  round(avg(observed) FILTER (region_slug = 'europe'), 4) AS europe FROM series GROUP BY 1""")
+  round(avg(observed) FILTER (region_slug = 'europe'), 4) AS europe,
+  round(avg(observed) FILTER (region_slug = 'middle east'), 4) AS "middle east" FROM series GROUP BY 1""")
 def _(spark, sf):
     df = texts(views.series(spark, sf))
-    return rounded(reshape.to_wide(df, ["date"], "region_slug", "observed", ["africa", "america", "asia", "europe"]), 4)
+    return rounded(reshape.to_wide(df, ["date"], "region_slug", "observed", ["africa", "america", "asia", "europe", "middle east"]), 4)
 
 
 @query("rsh03_tag_measure", "", """

@@ -52,11 +52,10 @@ def _(spark, sf):
 SELECT event_id, 'LINESTRING (' || x0::varchar || ' ' || y0::varchar || ', ' || x1::varchar || ' ' || y1::varchar || ', '
   || x2::varchar || ' ' || y2::varchar || ')' AS line,
   'POLYGON ((' || x0::varchar || ' ' || y0::varchar || ', ' || x1::varchar || ' ' || y1::varchar || ', '
-  || x2::varchar || ' ' || y2::varchar || ', ' || x0::varchar || ' ' || y0::varchar || '))' AS polygon
-FROM jams WHERE x0 <> x2 OR y0 <> y2""")
+  || x2::varchar || ' ' || y2::varchar || CASE WHEN x0 <> x2 OR y0 <> y2 THEN ', ' || x0::varchar || ' ' || y0::varchar ELSE '' END || '))' AS polygon
+FROM jams""")
 def _(spark, sf):
-    df = _triangles(spark, sf).where(F.get("path", F.lit(0)) != F.get("path", F.lit(2)))
-    return df.select(
+    return _triangles(spark, sf).select(
         "event_id", geo.line_to_wkt(F.col("path")).alias("line"), geo.polygon_to_wkt(F.col("parts")).alias("polygon")
     )
 
@@ -165,15 +164,13 @@ def _(spark, sf):
 
 
 @query("geo12_shrink_to_text", "jams", """
-SELECT event_id, true AS sound FROM jams""")
-def _(spark, sf):
-    """Short texts stay as they are; longer ones lose text or, at the last step, at least vertices."""
-    text = geo.shrink_to_text(F.col("parts"), max_chars=52, step=0.05, steps=10)
-    whole = geo.polygon_to_wkt(F.col("parts"))
-    df = _triangles(spark, sf).select("event_id", "parts", text.alias("t"), whole.alias("w"))
-    kept = (F.length("w") < 52) & (F.col("t") == F.col("w"))
-    fewer = geo.vertex_count(geo.parse_polygon(F.col("t"))) <= geo.vertex_count(F.col("parts"))
-    return df.select("event_id", (kept | (F.length("w") >= 52) & fewer).alias("sound"))
+SELECT event_id, true AS fits, length('POLYGON ((' || x0::varchar || ' ' || y0::varchar || ', ' || x1::varchar || ' ' || y1::varchar || ', '
+  || x2::varchar || ' ' || y2::varchar || CASE WHEN x0 <> x2 OR y0 <> y2 THEN ', ' || x0::varchar || ' ' || y0::varchar ELSE '' END || '))') < 62 AS kept FROM jams""")
+def _(spark, sf):
+    """Short texts stay as they are, longer ones are shortened until they fit."""
+    text = geo.shrink_to_text(F.col("parts"), max_chars=62, step=0.05)
+    df = _triangles(spark, sf).select("event_id", text.alias("t"), geo.polygon_to_wkt(F.col("parts")).alias("w"))
+    return df.select("event_id", (F.length("t") < 62).alias("fits"), (F.col("t") == F.col("w")).alias("kept"))
 
 
 @query("geo13_valid", "jams meta", """

@@ -244,7 +244,7 @@ def _(spark, sf):
     return dq.exact_duplicates(jams, "datetime", ignore=["retrievaltime"])
 
 
-# -- day samples: the drawn days depend on the seed, so the checks are on the constraints ---
+# -- day samples ----------------------------------------------------------------------------
 
 
 def _days(spark, sf):
@@ -254,29 +254,28 @@ def _days(spark, sf):
     return calendars.expand_days(span, "a", "b")
 
 
+_DAYS = "d as (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY))::date AS d FROM orders)"
+
+
 @query("srt05_random_days", "jams", """
-SELECT least(10, count(DISTINCT datetime)) AS n_days, true AS all_known FROM jams""")
+SELECT datetime FROM (SELECT DISTINCT datetime FROM jams) ORDER BY md5('1234|' || datetime) LIMIT 10""")
 def _(spark, sf):
-    days = views.jams(spark, sf).select("datetime")
-    drawn = sampling.random_days(days, 10).withColumn("drawn", F.lit(1))
-    known = drawn.join(days.distinct().withColumn("known", F.lit(True)), "datetime", "left")
-    return known.agg(F.count(F.lit(1)).alias("n_days"), F.every(F.coalesce("known", F.lit(False))).alias("all_known"))
+    return sampling.random_days(views.jams(spark, sf).select("datetime"), 10)
 
 
-@query("srt06_weeks_per_month", "", """
-with d as (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY))::date AS d FROM orders),
-f as (SELECT date_trunc('week', d) AS w FROM d GROUP BY 1 HAVING count(*) = 7)
-SELECT true AS full_weeks, (SELECT count(DISTINCT date_trunc('month', d)) FROM d WHERE date_trunc('week', d) IN (SELECT w FROM f)) AS months""")
+@query("srt06_weeks_per_month", "", f"""
+with {_DAYS}, w as (SELECT d, date_trunc('week', d) AS w, date_trunc('month', d) AS m FROM d),
+f as (SELECT * FROM w WHERE w IN (SELECT w FROM w GROUP BY 1 HAVING count(*) = 7)),
+p as (SELECT m, arg_min(w, md5('1234|' || d::varchar)) AS w FROM f GROUP BY 1)
+SELECT strftime(d, '%Y-%m-%d') AS date, strftime(d, '%Y%m%d') AS datetime FROM f WHERE w IN (SELECT w FROM p)""")
 def _(spark, sf):
-    drawn = sampling.weeks_per_month(_days(spark, sf))
-    weeks = drawn.groupBy(F.date_trunc("week", "date").alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    months = drawn.agg(F.countDistinct(F.date_trunc("month", "date")).alias("months"))
-    return weeks.agg(F.every(F.col("n") == 7).alias("full_weeks")).join(months)
+    return texts(sampling.weeks_per_month(_days(spark, sf)))
 
 
-@query("srt07_balanced_weekdays", "", """
-with d as (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY))::date AS d FROM orders)
-SELECT isodow(d)::int AS dow, 10::bigint AS n, 10::bigint AS weeks FROM d WHERE isodow(d) <= 5 GROUP BY 1""")
+@query("srt07_balanced_weekdays", "", f"""
+with {_DAYS}, k as (SELECT d, isodow(d)::int AS dow, date_trunc('week', d)::date AS w FROM d WHERE isodow(d) <= 5
+  AND NOT (month(d) = 1 AND day(d) <= 15) AND NOT (month(d) = 12 AND day(d) >= 15)),
+r as (SELECT w, row_number() OVER (ORDER BY md5('1234|' || w::varchar)) - 1 AS r FROM (SELECT w FROM k GROUP BY 1 HAVING count(*) = 5))
+SELECT strftime(d, '%Y-%m-%d') AS date, dow, strftime(k.w, '%Y-%m-%d') AS week FROM k JOIN r ON r.w = k.w WHERE r < 50 AND dow = r % 5 + 1""")
 def _(spark, sf):
-    drawn = sampling.balanced_weekdays(_days(spark, sf), 50)
-    return drawn.groupBy("dow").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("week").alias("weeks"))
+    return texts(sampling.balanced_weekdays(_days(spark, sf), 50))

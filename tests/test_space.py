@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions import geo
 from roadpulse.operators import density, grid, spatial
 from roadpulse.operators.spatial import Quad
+from roadpulse.plans import regions
 
 GRID = Quad(0.0, 0.0, 16.0)  # level 4 has unit cells
 
@@ -204,3 +205,69 @@ def test_area_splitting(spark):
     pieces = density.katana_area(meta, 15_000, 10)
     assert pieces.where("km2 > 15000").count() == 0
     assert [r["part"] for r in pieces.orderBy("part").collect()] == list(range(1, pieces.count() + 1))
+
+
+def test_cells_of_a_line_across_the_map(spark):
+    grid = spatial.Quad()
+    texts = {"long": "LINESTRING (0 0, 101.3 -77.7, 30 30)", "back": "LINESTRING (-170 -170, 170 171)", "flat": "LINESTRING (-100 5, 100 5)",
+             "steep": "LINESTRING (7 -100, 7 100)"}
+    df = lines(spark, texts)
+    path = geo.parse_line(F.col("line"))
+    coarse = {r["id"]: {(c["ix"], c["iy"]) for c in r["c"]} for r in df.select("id", spatial.line_cells(path, grid, 6).alias("c")).collect()}
+    near = {r["id"]: {(c["ix"], c["iy"]) for c in r["c"]} for r in df.select("id", spatial.near_cells(geo.edges(path), grid, 6).alias("c")).collect()}
+    for name, text in texts.items():
+        points = [tuple(map(float, p.split())) for p in text[12:-1].split(",")]
+        seen = set()
+        for (x0, y0), (x1, y1) in zip(points, points[1:]):
+            for k in range(20001):
+                x, y = x0 + (x1 - x0) * k / 20000, y0 + (y1 - y0) * k / 20000
+                seen.add((int((x + 180) // 5.625), int((y + 180) // 5.625)))
+        assert len(seen - coarse[name]) <= 3 and seen <= near[name]  # a last point on a border belongs to no run
+        assert len(near[name]) <= len(seen) + 4
+    # the default level of the join: cells grow with the length, not with the box
+    fine = df.select(F.size(spatial.near_cells(geo.edges(path), grid, 12)).alias("n")).agg(F.max("n")).first()[0]
+    assert 4096 < fine < 20000
+
+
+def test_index_rows_hold_edges_of_their_cell(spark):
+    grid = spatial.Quad()
+    shape = "POLYGON ((-20 -30, 55 -12.5, 40.25 44, -3 9, -20 -30))"
+    index = spatial.polygon_index(spark.createDataFrame([("a", shape)], "region_slug string, region_shapefile_wkt string"), grid, 8)
+    width, n = 360 / 256, 0
+    for r in index.collect():
+        left, low = -180 + r["ix"] * width, -180 + r["iy"] * width
+        for e in r["edges"]:
+            n += 1
+            # the edge clipped to the closed cell is not empty
+            t0, t1 = 0.0, 1.0
+            for p, q, a, b in ((e["x1"], e["x2"], left, left + width), (e["y1"], e["y2"], low, low + width)):
+                if p != q:
+                    lo, hi = sorted(((a - p) / (q - p), (b - p) / (q - p)))
+                    t0, t1 = max(t0, lo), min(t1, hi)
+                else:
+                    assert a <= p <= b
+            assert t0 <= t1 + 1e-9
+    assert n > 100
+
+
+def test_refined_cells_stay_inside_their_parent(spark):
+    # the line's first fine cell lies outside its dense coarse cell
+    df = lines(spark, {"a": "LINESTRING (1.9 0.2, 2.1 0.2, 2.9 1.9)"}).select(F.col("line").alias("line_wkt"), F.lit(1).alias("count_lines"))
+    coarse = df.withColumn("cell", F.lit("4-2-1"))
+    top = spark.createDataFrame([("4-2-1", 1)], "cell string, bp int")
+    fine = density.refine(coarse, top, GRID, 5).first()["cell_r"]
+    assert fine.split("-")[0] == "5" and [int(v) // 2 for v in fine.split("-")[1:]] == [2, 1]
+
+
+def test_long_outlines_are_shortened_not_dropped(spark):
+    import math
+
+    ring = [(10 + 3 * math.cos(2 * math.pi * k / 9000), 10 + 3 * math.sin(2 * math.pi * k / 9000)) for k in range(9000)]
+    text = "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in [*ring, ring[0]]) + "))"
+    assert len(text) > 200_000
+    df = spark.createDataFrame([("a", text), ("b", "POLYGON ((0 0, 1 0, 1 1, 0 0))")], "region_name string, region_shapefile_wkt string")
+    census = spark.createDataFrame([("A", 1)], "region_name string, population int")
+    got = {r["region_name"]: r["region_shapefile_wkt"] for r in regions.import_shapes(df, census, {}).collect()}
+    assert len(got["a"]) <= 200_000 and got["b"] == "POLYGON ((0 0, 1 0, 1 1, 0 0))"
+    small = df.select(F.length(geo.shrink_to_text(geo.parse_polygon(F.col("region_shapefile_wkt")), 60, 0.001)).alias("n"))
+    assert max(r["n"] for r in small.collect()) < 60

@@ -42,7 +42,7 @@ GENERATIONS = 6
 POPULATION = 4
 #: Bins filled less than this are opened again in the second round; so many blocks give one new block.
 REOPEN_BELOW, BLOCKS_JOINED = 0.97, 16
-TABLE_ENTRIES = 700_000
+TABLE_ENTRIES = 1_200_000
 LONGEST_KEPT = 48
 END_ID = 0
 
@@ -55,8 +55,9 @@ _coders: dict[str, Coder] = {}
 class Coder:
     """Byte-level BPE ids with a table from each distinct spaced word to its ids.
 
-    Pre-tokens never cross a cut, so the ids of a text are those of its words in order. New words are encoded many at
-    a time, one a line, as a line feed before a space is a token of its own.
+    Pre-tokens never cross a cut, so the ids of a text are those of its words in order. Nor do they cross a single line
+    feed between other characters, or the border of letters and a full stop or comma. New words are encoded many at a
+    time, one a line, as a line feed before a space is a token of its own.
     """
 
     def __init__(self, path: str):
@@ -65,59 +66,83 @@ class Coder:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        #: ids of words with a space in front; keys never begin with white space
         self.table: dict[str, bytes] = {}
-        self.line = self._plain("\n")
+        #: ids of words without a space in front
+        self.bare: dict[str, bytes] = {}
+        self.feed = self._plain("\n")
+        self.marks = {m: array("I", self._plain(m)).tobytes() for m in ".,"}
 
     def _plain(self, text: str) -> list[int]:
         return self.model.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, words: list[str]) -> None:
-        table, simple = self.table, []
-        for w in words:
-            if _BLANK.search(w):
-                table[w] = array("I", self._plain(f" {w}")).tobytes()
-            else:
-                simple.append(w)
-        for k in range(0, len(simple), 500):
-            part = simple[k : k + 500]
-            ids = np.asarray(self._plain("\n".join([f" {w}" for w in part])), "<u4")
-            cuts = np.flatnonzero(ids == self.line[0])
-            if len(self.line) == 1 and len(cuts) == len(part) - 1:
+    def _encode(self, words: list[str], space: str, table: dict[str, bytes]) -> None:
+        """Words without white space, into ``table``."""
+        for k in range(0, len(words), 500):
+            part = words[k : k + 500]
+            ids = np.asarray(self._plain("\n".join([space + w for w in part])), "<u4")
+            cuts = np.flatnonzero(ids == self.feed[0])
+            if len(self.feed) == 1 and len(cuts) == len(part) - 1:
                 raw, at = ids.tobytes(), [-1, *cuts.tolist(), len(ids)]
                 for w, a, b in zip(part, at[:-1], at[1:], strict=True):
                     table[w] = raw[4 * a + 4 : 4 * b]
             else:
                 for w in part:
-                    table[w] = array("I", self._plain(f" {w}")).tobytes()
+                    table[w] = array("I", self._plain(space + w)).tobytes()
+
+    def _words(self, words: set[str], space: str, table: dict[str, bytes]) -> None:
+        """As ``_encode``, with a mark after letters taken off first."""
+        marked = [w for w in words if w[-1] in ".," and w[:-1].isalpha()]
+        new = words.difference(marked)
+        new.update(w[:-1] for w in marked if w[:-1] not in table)
+        self._encode(sorted(new), space, table)
+        for w in marked:
+            table[w] = table[w[:-1]] + self.marks[w[-1]]
+
+    def learn(self, words: set[str]) -> None:
+        """Add words to the table. They do not begin with white space."""
+        simple, lined = set(), {}
+        for w in words:
+            if not _BLANK.search(w):
+                simple.add(w)
+                continue
+            parts = w.split("\n")
+            if all(parts) and not any(_BLANK.search(p) for p in parts):
+                lined[w] = parts
+            else:
+                self.table[w] = array("I", self._plain(f" {w}")).tobytes()
+        simple.update(p[0] for p in lined.values() if p[0] not in self.table)
+        self._words(simple, " ", self.table)
+        self._words({x for p in lined.values() for x in p[1:] if x not in self.bare}, "", self.bare)
+        feed = array("I", self.feed).tobytes()
+        for w, parts in lined.items():
+            self.table[w] = feed.join([self.table[parts[0]], *[self.bare[x] for x in parts[1:]]])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         table = self.table
         if len(table) > TABLE_ENTRIES:
             table.clear()
-        split, new = [], {}
+        if len(self.bare) > TABLE_ENTRIES // 8:
+            self.bare.clear()
+        split, new = [], set()
         for text in texts:
-            head, *rest = _CUT.split(text)
-            split.append((head, rest))
-            for w in rest:
-                if w not in table:
-                    new[w] = None
-        tails: dict[str, str] = {}
-        if new:
-            for w in [w for w in new if w[-1:] in ".," and w[:-1].isalpha()]:
-                del new[w]  # a mark after letters is a token of its own
-                tails[w] = w[:-1]
-                if w[:-1] not in table:
-                    new[w[:-1]] = None
-            marks = {m: array("I", self._plain(m)).tobytes() for m in ".,"} if tails else {}
-            self._learn(list(new))
-            for w, base in tails.items():
-                table[w] = table[base] + marks[w[-1]]
-        out = [
-            b"".join([array("I", self._plain(head)).tobytes() if head else b"", *[table[w] for w in rest]])
-            for head, rest in split
-        ]
-        for w in (*new, *tails):
+            head, *rest = text.split(" ")
+            found = [table.get(w) for w in rest]
+            if None in found:
+                unknown = {w for w, ids in zip(rest, found, strict=True) if ids is None}
+                if any(not w or w[0].isspace() for w in unknown):  # a space before white space is no cut
+                    head, *rest = _CUT.split(text)
+                    unknown = {w for w in rest if w not in table}
+                new |= unknown
+                found = None
+            split.append((head, rest, found))
+        self.learn(new)
+        out = []
+        for head, rest, found in split:
+            ids = array("I", self._plain(head)).tobytes() if head else b""
+            out.append(ids + b"".join([table[w] for w in rest] if found is None else found))
+        for w in new:
             if len(w) > LONGEST_KEPT:
                 table.pop(w, None)
         return out

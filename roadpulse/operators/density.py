@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
-from roadpulse.operators import spatial
+from roadpulse.operators import ranks, spatial
 from roadpulse.operators.spatial import Lattice, Quad, cell_id, line_cells
 from roadpulse.session import broadcast_if_small, cut
 
@@ -348,35 +348,48 @@ def redo(
 # -- packing ------------------------------------------------------------------------------
 
 
+def _following(rows: DataFrame) -> DataFrame:
+    """For each asking row (``i`` set, ``j`` null) the least ``j`` behind it in order of (v, j first), as ``next``.
+
+    Rows are range-partitioned; a partition is looked through on its own, and what lies behind it
+    comes from a table of one row per partition.
+    """
+    placed = cut(rows.withColumn("asks", F.col("i").isNotNull()).repartitionByRange("v", "asks").withColumn("p", F.spark_partition_id()))
+    behind = Window.partitionBy("p").orderBy("v", "asks").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    later = Window.orderBy("p").rowsBetween(1, Window.unboundedFollowing)
+    heads = placed.groupBy("p").agg(F.min("j").alias("m")).select("p", F.min("m").over(later).alias("rest"))
+    found = placed.withColumn("near", F.min("j").over(behind)).where("asks")
+    return found.join(F.broadcast(heads), "p").select("i", F.coalesce("near", "rest").alias("next"))
+
+
 def pack(dist: DataFrame, max_value: float = 0.016, tile: str = "geo_id", share: str = "share_jams") -> DataFrame:
     """Next-fit groups in (tile, share) order, ids padded to two digits.
 
     A group takes rows while its sum stays at most ``max_value``; a row of at least that much is a
-    group of its own. Next-fit is sequential, so it folds over one sorted array of the tile table.
-    That table is bounded by construction: a depth has at most 1 / threshold dense tiles, hence at
-    most 2 x depth / threshold tiles in all (2,000 at the defaults).
+    group of its own if it opens one. Where a group begins tells where the next one does: at the
+    first row whose running total is too far. That row is found for every row at once; the rows that
+    begin a group are those reached from the first, by jumps of 1, 2, 4, ... groups. Sums are exact
+    decimals, and no task holds the table.
     """
-    listed = dist.agg(F.array_sort(F.collect_list(F.struct(F.col(tile).alias("tile"), F.col(share).alias("share")))).alias("rows"))
-    start = F.struct(
-        F.slice(F.array(F.lit(0)), 1, 0).alias("ids"), F.lit(0).alias("g"), F.lit(0.0).alias("held"), F.lit(True).alias("shut")
-    )
-
-    def add(s: Column, r: Column) -> Column:
-        fresh = s["shut"] | (s["held"] + r["share"] > max_value)
-        g = F.when(fresh, s["g"] + 1).otherwise(s["g"])
-        return F.struct(
-            F.concat(s["ids"], F.array(g)).alias("ids"),
-            g.alias("g"),
-            F.when(fresh, r["share"]).otherwise(s["held"] + r["share"]).alias("held"),
-            F.when(fresh, r["share"] >= max_value).otherwise(F.lit(False)).alias("shut"),
-        )
-
-    folded = listed.select("rows", F.aggregate("rows", start, add)["ids"].alias("ids"))
-    pairs = folded.select(F.explode(F.arrays_zip("rows", "ids")).alias("p"))
-    return pairs.select(
-        F.col("p.rows.tile").alias(tile), F.col("p.rows.share").alias(share),
-        F.when(F.col("p.ids") < 100, F.lpad(F.col("p.ids").cast("string"), 2, "0")).otherwise(F.col("p.ids").cast("string")).alias("group"),
-    )
+    exact = F.col(share).cast("decimal(28,15)")
+    limit = F.lit(max_value).cast("decimal(28,15)")
+    placed = ranks.running_total(dist.select(tile, share), [tile, share], F.struct(exact.alias("s"), F.lit(1).cast("bigint").alias("n")), "total")
+    rows = cut(placed.select(tile, share, F.col("total.n").alias("i"), F.col("total.s").alias("sum")))
+    own = F.col(share).cast("decimal(28,15)")
+    full = rows.where(own >= limit).select("i", (F.col("i") + 1).alias("next"))
+    asking = rows.where(own < limit).select((F.col("sum") - own + limit).alias("v"), "i", F.lit(None).cast("bigint").alias("j"))
+    keys = rows.select(F.col("sum").alias("v"), F.lit(None).cast("bigint").alias("i"), F.col("i").alias("j"))
+    last = rows.agg(F.max("i").alias("n"))
+    jumps = _following(asking.unionByName(keys)).unionByName(full.join(F.broadcast(last), F.col("next") <= F.col("n")).select("i", "next"))
+    jumps = cut(jumps.where("next IS NOT NULL"))
+    starts = cut(rows.where("i = 1").select("i"))
+    while not (step := jumps.join(starts, "i")).isEmpty():
+        starts = cut(starts.unionByName(step.select(F.col("next").alias("i"))))
+        jumps = cut(jumps.alias("a").join(jumps.alias("b"), F.col("a.next") == F.col("b.i")).select("a.i", "b.next"))
+    opened = rows.join(starts.withColumn("opens", F.lit(1).cast("bigint")), "i", "left")
+    grouped = ranks.running_total(opened, ["i"], F.coalesce("opens", F.lit(0).cast("bigint")), "g")
+    number = F.col("g").cast("string")
+    return grouped.select(tile, share, F.when(F.col("g") < 100, F.lpad(number, 2, "0")).otherwise(number).alias("group"))
 
 
 def multipolygon(df: DataFrame, group: str = "group", tile: str = "geo_id", share: str = "share_jams") -> DataFrame:

@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadpulse.session import cut
 
 
 def running_total(df: DataFrame, order: Sequence[str], weight: Column | None = None, name: str = "running") -> DataFrame:
-    """Running sum of ``weight`` (default 1) over the whole table in a total order.
+    """Running sum of ``weight`` (default 1; a struct is summed field by field) over the whole table in a total order.
 
     Rows are range-partitioned and the placement written out, so that both uses of it agree. Each
     partition is summed on its own and shifted by the totals of the partitions before it, a table
@@ -21,12 +22,21 @@ def running_total(df: DataFrame, order: Sequence[str], weight: Column | None = N
     placed = cut(
         df.withColumn("_w", w).repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
     )
+    kind = placed.schema["_w"].dataType
+    fields = [f.name for f in kind] if isinstance(kind, T.StructType) else []
+    parts = [F.col("_w")[f] for f in fields] or [F.col("_w")]
+
+    def together(values: Sequence[Column]) -> Column:
+        return F.struct(*[v.alias(f) for v, f in zip(values, fields)]) if fields else values[0]
+
+    n = range(len(parts))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy("_p").agg(F.sum("_w").alias("_t"))
-    shifts = totals.select("_p", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_shift"))
+    totals = placed.groupBy("_p").agg(*[F.sum(w).alias(f"_t{k}") for k, w in enumerate(parts)])
+    shifts = totals.select("_p", *[F.coalesce(F.sum(f"_t{k}").over(before), F.lit(0)).alias(f"_s{k}") for k in n])
     inner = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = placed.withColumn("_run", F.sum("_w").over(inner))
-    return summed.join(F.broadcast(shifts), "_p").withColumn(name, F.col("_run") + F.col("_shift")).drop("_p", "_w", "_run", "_shift")
+    summed = placed.join(F.broadcast(shifts), "_p")
+    running = [F.sum(w).over(inner) + F.col(f"_s{k}") for k, w in enumerate(parts)]
+    return summed.withColumn(name, together(running)).drop("_p", "_w", *[f"_s{k}" for k in n])
 
 
 def quantiles(df: DataFrame, value: str, levels: Mapping[str, float]) -> DataFrame:

@@ -271,3 +271,16 @@ def test_long_outlines_are_shortened_not_dropped(spark):
     assert len(got["a"]) <= 200_000 and got["b"] == "POLYGON ((0 0, 1 0, 1 1, 0 0))"
     small = df.select(F.length(geo.shrink_to_text(geo.parse_polygon(F.col("region_shapefile_wkt")), 60, 0.001)).alias("n"))
     assert max(r["n"] for r in small.collect()) < 60
+
+
+def test_packing_of_many_tiles(spark):
+    r = random.Random(11)
+    shares = [round(r.choice([0.0, 0.001, 0.004, 0.02]) * r.random(), 9) for _ in range(4000)]
+    groups, held, shut = [], 0, True
+    for s in (round(v * 10**9) for v in shares):
+        fresh = shut or held + s > 16 * 10**6
+        groups.append((groups[-1] if groups else 0) + fresh)
+        held, shut = (s, s >= 16 * 10**6) if fresh else (held + s, False)
+    df = spark.createDataFrame([(f"t{i:05d}", s) for i, s in enumerate(shares)], "geo_id string, share_jams double")
+    got = [int(row["group"]) for row in density.pack(df, 0.016).orderBy("geo_id").collect()]
+    assert got == groups

@@ -6,7 +6,8 @@ the risk of calling P clean is taken off again, and where that term turns negati
 by heart) its gradient is reversed instead. Non-toxic labels serve only to estimate pi.
 
 Features of a text are the 64-bit hashes of its distinct lower-cased words and of their beginnings of 4, 5 and 6 bytes;
-a classifier keeps the ``FEATURES`` whose share in P most exceeds that in U. ``CLASSIFIERS`` of them are trained, one
+a classifier keeps those that, by P, U and pi, are in toxic texts more often than not, at most the ``FEATURES`` whose
+share in P exceeds that in U most clearly. ``CLASSIFIERS`` of them are trained, one
 Spark task each, on all of the P sample and on U samples of their own; a score is the mean of their probabilities.
 
 Bounds, the same at every size: ``POSITIVES`` confirmed rows, ``UNLABELLED`` rows a classifier, ``FEATURES`` weights.
@@ -82,7 +83,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     # share in P above what P's own part of U explains, in standard errors
     lift = (share_p - share_u) / np.sqrt(share_p / max(len(positive), 1) + share_u / max(len(unlabelled), 1) + 1e-9)
     best = np.sort(np.argsort(-lift, kind="stable")[:FEATURES])
-    best = best[lift[best] > 2]
+    best = best[(lift[best] > 2) & (2 * prior * share_p[best] > share_u[best])]
     keys = keys[best]
 
     def matrix(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

@@ -232,6 +232,8 @@ def impute_lowess(
     flat = flat.withColumn("_season", F.coalesce("_season", F.lit(0.0))).withColumn(
         "_hole", _missing(value, votes, minimum).isNull()
     )
+    # read three times below: holes, neighbours, result; one row per region and day
+    flat = cut(flat)
     r = F.least(F.ceil(F.lit(fraction) * F.col("_n")), F.col("_n") - 1)
     edge = F.least(F.col("_pos"), F.col("_n") - 1 - F.col("_pos"))
     width = F.when(r <= 2 * edge, F.ceil(r / 2)).otherwise(r - edge)

@@ -129,3 +129,12 @@ def test_sampled_days(spark):
     assert sorted(r["date"] for r in again) == sorted(r["date"] for r in drawn)
     weeks = sampling.weeks_per_month(calendars.dates(spark, "2019-01-01", "2019-12-31"), 3).collect()
     assert len(weeks) % 7 == 0 and len({r["date"].month for r in weeks}) == 12
+
+
+def test_accents_are_removed_by_decomposition(spark):
+    names = ["Érd Győr", "Brňany Ýmir", "São João", "été", "Straße", "Ångström", "Ελλάδα"]
+    from roadpulse.functions import text
+
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [r[0] for r in df.select(text.strip_accents(F.col("n"))).collect()]
+    assert got == ["Erd Gyor", "Brnany Ymir", "Sao Joao", "ete", "Straße", "Angstrom", "Ελλαδα"]

@@ -79,4 +79,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_shards": op9_shards,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {}
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+ORACLES: dict[str, str] = {
+    "op2_jaccard": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORD}) AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM sh x JOIN sh y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * common >= 75 * (p.n + q.n - common)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT doc_id, coalesce(n, 0)::bigint AS n_shingles, m AS component_id
+FROM documents JOIN (SELECT a, min(b) AS m FROM r GROUP BY 1) ON a = doc_id LEFT JOIN n USING (doc_id)""",
+    "op8_substrings": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)),
+g AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS rn FROM s) WHERE rn > 1),
+c AS (SELECT DISTINCT doc_id, i + j AS i FROM g, range(0, 20) AS t(j)),
+p AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+k AS (SELECT p.doc_id, count(*) AS n, count(c.i) AS gone, string_agg(word, ' ' ORDER BY p.i) FILTER (WHERE c.i IS NULL) AS kept
+  FROM p LEFT JOIN c ON c.doc_id = p.doc_id AND c.i = p.i GROUP BY 1)
+SELECT doc_id, coalesce(n, 0)::bigint AS n_words, coalesce(gone, 0)::bigint AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN k USING (doc_id)""",
+}

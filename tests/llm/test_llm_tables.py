@@ -105,6 +105,13 @@ def test_every_operator_has_a_query():
     assert names == [f"op{n}" for n in range(1, 11)] and set(ORACLES) <= set(QUERIES)
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_oracle(spark, name):
+    import check
+
+    assert check.compare(QUERIES[name](spark, SF), check.connect(SF).sql(ORACLES[name])) == ""
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     begin = docs

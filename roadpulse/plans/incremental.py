@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from roadpulse.functions.timefn import monday_week, ymd
 from roadpulse.operators import filters, spatial, tci
 from roadpulse.operators.sampling import weeks_per_month
 from roadpulse.operators.spatial import Quad
-from roadpulse.session import broadcast_if_small
+from roadpulse.session import broadcast_if_small, cut
 from roadpulse.sources import calendars, io
 
 KEY = "region_slug"
@@ -81,12 +81,26 @@ def segment_hours(
     return tci.segment_hour(tci.dedup_slot(matched, ts=ts, minutes=minutes), ts)
 
 
-def read_table(spark: SparkSession, path: str, like: DataFrame, fmt: str = "orc") -> DataFrame:
-    """A stored table, or an empty one with the columns of ``like`` before the first fill."""
+PAIRS = f"{KEY} string, date date"
+
+
+def _pairs_of(spark: SparkSession, path: str, fmt: str, pairs: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``pairs`` of a stored table, none before it is first written."""
     try:
-        return spark.read.format(fmt).load(path)
+        return pairs(spark.read.format(fmt).load(path))
     except AnalysisException:
-        return like.limit(0)
+        return spark.createDataFrame([], PAIRS)
+
+
+def ledger(path: str) -> str:
+    """Where the filled pairs of a table are kept: days without a jam leave no row in the table itself."""
+    return f"{path.rstrip('/')}_filled"
+
+
+def filled(spark: SparkSession, path: str, fmt: str = "orc") -> DataFrame:
+    """(region, date) pairs of a table that are filled, with rows or without."""
+    stored = _pairs_of(spark, path, fmt, existing)
+    return stored.unionByName(_pairs_of(spark, ledger(path), "parquet", lambda df: df.select(KEY, "date"))).distinct()
 
 
 def fill(
@@ -95,14 +109,15 @@ def fill(
     """Compute the missing (region, day) pairs only and write them; returns the pairs.
 
     The table is partitioned by region, year, month and day, so a repeated or interrupted fill replaces
-    whole days and never doubles them. The raw scan is limited to the missing days.
+    whole days and never doubles them. The raw scan is limited to the missing days and their
+    neighbours, as a report near midnight may be stored under the day next to its own. Pairs are
+    entered in the ledger after their rows are written.
     """
-    empty = segment_hours(jams.limit(0), regions, None, ts, **options)
-    present = existing(read_table(spark, path, empty, fmt))
-    missing = remaining(regions, days, present).persist()
-    wanted = [r["d"] for r in missing.select(F.date_format("date", "yyyyMMdd").alias("d")).distinct().collect()]
+    missing = cut(remaining(regions, days, filled(spark, path, fmt)))
+    near = missing.select(F.explode(F.array(*[F.date_add("date", n) for n in (-1, 0, 1)])).alias("date")).distinct()
+    wanted = [r["d"] for r in near.select(F.date_format("date", "yyyyMMdd").alias("d")).collect()]  # a calendar
     if wanted:
         new = segment_hours(io.on_days(jams, wanted), regions, missing, ts, **options)
         io.fill_partitions(new, path, [KEY, "year", "month", "day"], fmt)
-    missing.unpersist()
+        missing.write.mode("append").parquet(ledger(path))
     return missing

@@ -48,6 +48,8 @@ def test_incremental_equals_full_and_is_idempotent(spark, rows):
     stored = spark.read.orc(path).select(*columns)
     assert rows(stored) == rows(incremental.segment_hours(jams, regions, **options).select(*columns))
     # one region is lost and only that region is recomputed
+    # days without a jam are filled as well: nothing is left, nothing is scanned again
+    assert incremental.fill(spark, jams, regions, incremental.dates(spark, "2020-03-09", last), path, **options).count() == 0
     again = incremental.remaining(regions, incremental.dates(spark, "2020-03-09", "2020-03-12"), incremental.existing(stored.where("region_slug = 'w'")))
     assert rows(again, "region_slug") == [("e",)] * 4
 

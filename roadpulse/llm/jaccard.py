@@ -11,13 +11,15 @@ the threshold, 75 % by default; in whole numbers, if 7 times the symmetric diffe
   of which by the pigeonhole principle one at least is equal in both documents.
 * **Join.** Equal blocks that are not empty are the join keys. A document has ``KEYS`` keys in a band at most: the first
   ``KEYS`` blocks if there are more, the blocks of several independent sketches if there are fewer. A linked pair agrees
-  in at least a third of the blocks on average, so the chance that it agrees in none of the keys is below 1e-7 at the very
-  threshold and vanishes above it; ``keys`` raises that further.
+  in at least a third of the blocks on average, so the chance that it agrees in none of three quarters of the keys is
+  about 2e-7 at the very threshold and vanishes above it; ``keys`` lowers it further.
 * **Verification.** Sizes, then bit sketches, then whole texts are compared. Members of a bucket are first compared with
   the member that shares most; links give components, and only pairs of different components are compared further: all of
-  them in buckets of ``SMALL`` members at most. Larger buckets are refined: members meet again where a second shared key
-  is equal as well, and so on; what is left after ``LEVELS`` refinements is compared member by member until nothing is
-  open. So no bucket is ever expanded into its pairs, and no pair of different components is passed over.
+  them in buckets of ``SMALL`` members at most. Larger (hot) buckets come from passages that many texts share, or from
+  large groups of near copies. A document with three quarters of its keys outside hot buckets meets its partners there
+  and leaves them. The others, made up of hot content, are compared bucket by bucket: their sketches in tiles, each pair
+  of tiles a task of bounded size that gives out only the pairs whose sketches allow a link. No bucket is expanded into
+  its pairs, and no pair of different components with equal hot keys only is passed over.
 
 Equal sets are one entry throughout (by a 64-bit hash of the set), so copies cost nothing. Components are found by
 label propagation over written tables; nothing of the size of the data is collected.
@@ -32,6 +34,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,10 +43,11 @@ from roadpulse.llm.common import slices, stored, text_buffers
 from roadpulse.llm.words import Words, mixed
 
 SHINGLE = 5
-KEYS = 40
+KEYS = 48
 BITS = 1024
-SMALL = 24
-LEVELS = 4
+#: Buckets of more members are compared by tiles of sketches, and only for members with more than one in
+#: ``HOT_SHARE`` of their keys in such buckets.
+SMALL, HOT_SHARE, TILE = 24, 4, 256
 _MASK = (1 << 64) - 1
 _BLOCK = 0x8EBC6AF09C88C6E3
 _KEY, _BIT, _SET = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x589965CC75374CC3)
@@ -146,7 +150,7 @@ class Join:
         self.documents, self.k = documents, k
         self.rows = stored(sketched(documents, k, keys), "jaccard-rows")
         held = self.rows.where("entry is not null")
-        self.entries = stored(held.groupBy("entry").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id")), "jaccard-entries")
+        self.entries = stored(held.groupBy("entry").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id"), F.max(F.size("keys")).alias("n_keys")), "jaccard-entries")
         keyed = held.select(F.explode("keys").alias("key"), "entry")
         shared = keyed.groupBy("key").agg(F.min("entry").alias("low"), F.max("entry").alias("high")).where("low <> high")
         # written first, so that Spark can split a hot key in the join of plain exchanges
@@ -175,8 +179,9 @@ class Join:
             wanted = stored(wanted.join(self.texts, "entry", "left_anti"), "jaccard-wanted")
             if wanted.isEmpty():
                 return self.texts
-        chosen = self.entries.select("entry", "doc_id").join(wanted, "entry")
-        chosen = chosen.withColumnRenamed("doc_id", "__id")
+        # written, so that Spark knows its size and need not shuffle all texts for a few
+        chosen = self.entries.select("entry", F.col("doc_id").alias("__id")).join(wanted, "entry")
+        chosen = stored(chosen, "jaccard-chosen")
         found = self.documents.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")))
         # rows that share an id may differ: only the text of the entry counts
         found = self._own(found)
@@ -245,8 +250,8 @@ class Join:
 
     def centred(self) -> None:
         """Compare each entry with the bucket centre it shares most keys with."""
-        size = stored(self.members.groupBy("key").agg(F.count("*").alias("n")), "jaccard-sizes")
-        weight = self.members.join(size, "key").groupBy("entry").agg(F.sum("n").alias("w"))
+        self.sizes = stored(self.members.groupBy("key").agg(F.count("*").alias("n")), "jaccard-sizes")
+        weight = self.members.join(self.sizes, "key").groupBy("entry").agg(F.sum("n").alias("w"))
         weighed = self.members.join(weight, "entry")
         centre = weighed.groupBy("key").agg(F.max(F.struct("w", "entry")).alias("c")).select("key", F.col("c.entry").alias("centre"))
         centre = stored(centre, "jaccard-centres")
@@ -256,28 +261,47 @@ class Join:
         first = best.groupBy("entry").agg(F.max(F.struct("n", "centre")).alias("c"))  # one of KEYS centres at most
         self.compare(first.select(F.least("entry", "c.centre").alias("a"), F.greatest("entry", "c.centre").alias("b")).distinct())
 
-    def finish(self, small: int, levels: int) -> None:
+    def finish(self, small: int) -> None:
         """Compare what is still open."""
-        members = self.members
-        for level in range(levels + 1):
-            found = stored(self.open(members), "jaccard-open")
-            few = found.where(F.col("n") <= small)
-            a, b = few.select("key", F.col("entry").alias("a"), F.col("comp").alias("x")), few.select("key", F.col("entry").alias("b"), F.col("comp").alias("y"))
-            self.compare(self.likely(a.join(b, "key").where("a < b and x <> y")))
-            members = found.where(F.col("n") > small).select("key", "entry")
-            members = stored(self.open(members).where(F.col("n") > small).select("key", "entry"), "jaccard-large")
-            if members.isEmpty():
-                return
-            if level < levels:
-                second = self.members.where(F.pmod(F.xxhash64("key", F.lit(level)), F.lit(3)) == 0).withColumnRenamed("key", "other")
-                pairs = members.join(second, "entry").where("key <> other")
-                members = pairs.select(F.xxhash64("key", "other").alias("key"), "entry").distinct()
-        while not members.isEmpty():
-            found = stored(self.open(members), "jaccard-open")
-            first = found.groupBy("key").agg(F.min("entry").alias("centre"), F.min(F.struct("entry", "comp"))["comp"].alias("own"))
-            rest = stored(found.join(first, "key").where("entry <> centre"), "jaccard-rest")
-            self.compare(self.likely(rest.where("comp <> own").select(F.col("entry").alias("a"), F.col("centre").alias("b"))))
-            members = rest.select("key", "entry")
+        found = stored(self.open(self.members), "jaccard-open")
+        few = found.where(F.col("n") <= small)
+        a, b = few.select("key", F.col("entry").alias("a"), F.col("comp").alias("x")), few.select("key", F.col("entry").alias("b"), F.col("comp").alias("y"))
+        self.compare(self.likely(a.join(b, "key").where("a < b and x <> y")))
+        # members that have other ways to meet leave the large buckets
+        large = found.where(F.col("n") > small).select("key", "entry")
+        counts = self.members.join(self.sizes.where(F.col("n") > small).select("key"), "key").groupBy("entry").agg(F.count("*").alias("hot"))
+        rich = counts.join(self.entries.select("entry", "n_keys"), "entry").where(HOT_SHARE * F.col("hot") > F.col("n_keys")).select("entry")
+        rich = stored(rich, "jaccard-rich")
+        self.compare(self.likely(self.tiled(self.open(large.join(rich, "entry")))))
+
+    def tiled(self, members: DataFrame) -> DataFrame:
+        """Pairs (a, b) of different components that share a bucket and whose sizes and sketches allow a link.
+
+        Buckets are cut into tiles; a task compares the sketches of two tiles and keeps the few pairs that pass.
+        """
+        held = members.join(self.entries.select("entry", F.col("n").alias("size"), "bits"), "entry")
+        tiles = F.ceil(F.col("n") / TILE).cast("int")
+        held = held.withColumn("tile", F.pmod(F.xxhash64("entry", "key"), tiles).cast("int"))
+        held = held.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        held = held.select("key", "entry", "comp", "size", "bits", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
+
+        def meet(rows: pd.DataFrame) -> pd.DataFrame:
+            bits = np.stack(rows["bits"].to_numpy()).view(np.uint64)
+            entry, comp, size = (rows[c].to_numpy() for c in ("entry", "comp", "size"))
+            one, two = rows["low"].iat[0], rows["high"].iat[0]
+            left, right = np.flatnonzero(rows["tile"] == one), np.flatnonzero(rows["tile"] == two)
+            out = []
+            for i in left:
+                js = right[(comp[right] != comp[i]) & (entry[right] != entry[i])]
+                if one == two:
+                    js = js[js > i]
+                if len(js):
+                    differ = np.bitwise_count(bits[js] ^ bits[i]).sum(1, dtype=np.int64)
+                    js = js[(7 * differ <= size[js] + size[i]) & (4 * np.minimum(size[js], size[i]) >= 3 * np.maximum(size[js], size[i]))]
+                    out.append(pd.DataFrame({"a": entry[i], "b": entry[js]}))
+            return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
+
+        return held.groupBy("key", "low", "high").applyInPandas(meet, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -297,11 +321,11 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def join(documents: DataFrame, k: int = SHINGLE, keys: int = KEYS, small: int = SMALL, levels: int = LEVELS) -> DataFrame:
+def join(documents: DataFrame, k: int = SHINGLE, keys: int = KEYS, small: int = SMALL) -> DataFrame:
     """doc_id, ``n_shingles`` and ``component_id``, the smallest doc_id reachable by links, of every document."""
     state = Join(documents, k, keys)
     state.centred()
-    state.finish(small, levels)
+    state.finish(small)
     rows = state.rows.select("doc_id", "n", "entry")
     grouped = state.labelled(rows.where("entry is not null"))
     least = grouped.groupBy("comp").agg(F.min("doc_id").alias("component_id"))

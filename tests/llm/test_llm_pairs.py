@@ -48,9 +48,10 @@ def _components(rows):
     return {(i, len(sets[i]), low[i]) for i in sets}
 
 
-@pytest.mark.parametrize(("small", "levels"), [(24, 4), (2, 1), (2, 0)])
-def test_jaccard(documents, corpus, small, levels):
-    got = {tuple(r) for r in jaccard.join(documents(corpus, extra=True), small=small, levels=levels).collect()}
+@pytest.mark.parametrize(("small", "tile"), [(24, 256), (2, 7)])
+def test_jaccard(documents, corpus, small, tile, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    got = {tuple(r) for r in jaccard.join(documents(corpus, extra=True), small=small).collect()}
     assert got == _components(corpus)
 
 

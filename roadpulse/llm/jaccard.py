@@ -48,6 +48,7 @@ BITS = 1024
 #: Buckets of more members are compared by tiles of sketches, and only for members with more than one in
 #: ``HOT_SHARE`` of their keys in such buckets.
 SMALL, HOT_SHARE, TILE = 24, 4, 256
+SIEVE_BITS = 22
 _MASK = (1 << 64) - 1
 _BLOCK = 0x8EBC6AF09C88C6E3
 _KEY, _BIT, _SET = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x589965CC75374CC3)
@@ -151,24 +152,29 @@ class Join:
         self.rows = stored(sketched(documents, k, keys), "jaccard-rows")
         held = self.rows.where("entry is not null")
         self.entries = stored(held.groupBy("entry").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id"), F.max(F.size("keys")).alias("n_keys")), "jaccard-entries")
-        keyed = held.select(F.explode("keys").alias("key"), "entry")
+        keyed = held.select(F.explode("keys").alias("key"), "entry", "n")
         shared = keyed.groupBy("key").agg(F.min("entry").alias("low"), F.max("entry").alias("high")).where("low <> high")
         # written first, so that Spark can split a hot key in the join of plain exchanges
         shared = stored(shared.select("key"), "jaccard-shared")
-        self.members = stored(keyed.join(shared, "key").groupBy("key", "entry").agg(F.count("*").alias("copies")).drop("copies"), "jaccard-members")
+        #: key, entry and its size, of the keys that several entries have
+        self.members = stored(keyed.join(shared, "key").groupBy("key", "entry").agg(F.first("n").alias("size")), "jaccard-members")
         self.tried: DataFrame | None = None
         self.texts: DataFrame | None = None
         #: entry and comp of the entries with links
         self.components: DataFrame | None = None
 
     def likely(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sizes and bit sketches allow a link, each once, without those compared before."""
+        """Pairs (a, b) whose sizes and bit sketches allow a link, each once, without those compared before.
+
+        ``pairs`` has the sizes n_a and n_b too, so that most go before sketches are joined to them.
+        """
+        pairs = pairs.where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.tried is not None:
             pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
         e = self.entries.select("entry", "n", "bits")
         pairs = pairs.join(e.toDF("a", "n_a", "bits_a"), "a")
-        pairs = pairs.join(e.toDF("b", "n_b", "bits_b"), "b").where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
+        pairs = pairs.join(e.toDF("b", "n_b", "bits_b"), "b")
         differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, c: s + c)
         return pairs.where(linkable(differ, F.col("n_a"), F.col("n_b"))).select("a", "b")
 
@@ -182,7 +188,7 @@ class Join:
         # written, so that Spark knows its size and need not shuffle all texts for a few
         chosen = self.entries.select("entry", F.col("doc_id").alias("__id")).join(wanted, "entry")
         chosen = stored(chosen, "jaccard-chosen")
-        found = self.documents.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")))
+        found = sifted(self.documents, chosen.select("__id")).join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")))
         # rows that share an id may differ: only the text of the entry counts
         found = self._own(found)
         self.texts = stored(found if self.texts is None else self.texts.unionByName(found), "jaccard-texts")
@@ -219,8 +225,9 @@ class Join:
 
         both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
         links = stored(both.mapInArrow(run, "a long, b long"), "jaccard-links")
-        self.tried = pairs if self.tried is None else stored(self.tried.unionByName(pairs), "jaccard-tried")
-        self.merge(links)
+        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
+        if not links.isEmpty():
+            self.merge(links)
 
     def merge(self, links: DataFrame) -> None:
         if self.components is None:
@@ -253,10 +260,12 @@ class Join:
         self.sizes = stored(self.members.groupBy("key").agg(F.count("*").alias("n")), "jaccard-sizes")
         weight = self.members.join(self.sizes, "key").groupBy("entry").agg(F.sum("n").alias("w"))
         weighed = self.members.join(weight, "entry")
-        centre = weighed.groupBy("key").agg(F.max(F.struct("w", "entry")).alias("c")).select("key", F.col("c.entry").alias("centre"))
+        centre = weighed.groupBy("key").agg(F.max(F.struct("w", "entry", "size")).alias("c"))
+        centre = centre.select("key", F.col("c.entry").alias("centre"), F.col("c.size").alias("n_b"))
         centre = stored(centre, "jaccard-centres")
-        met = self.members.join(centre, "key").where("entry <> centre").groupBy("entry", "centre").agg(F.count("*").alias("n"))
-        likely = self.likely(met.select(F.col("entry").alias("a"), F.col("centre").alias("b")))
+        met = self.members.join(centre, "key").where("entry <> centre AND 4 * least(size, n_b) >= 3 * greatest(size, n_b)")
+        met = met.groupBy("entry", "centre").agg(F.count("*").alias("n"), F.first("size").alias("n_a"), F.first("n_b").alias("n_b"))
+        likely = self.likely(met.select(F.col("entry").alias("a"), F.col("centre").alias("b"), "n_a", "n_b"))
         best = stored(met.join(likely.selectExpr("a as entry", "b as centre").unionByName(likely.selectExpr("b as entry", "a as centre")), ["entry", "centre"]), "jaccard-stars")
         first = best.groupBy("entry").agg(F.max(F.struct("n", "centre")).alias("c"))  # one of KEYS centres at most
         self.compare(first.select(F.least("entry", "c.centre").alias("a"), F.greatest("entry", "c.centre").alias("b")).distinct())
@@ -265,10 +274,10 @@ class Join:
         """Compare what is still open."""
         found = stored(self.open(self.members), "jaccard-open")
         few = found.where(F.col("n") <= small)
-        a, b = few.select("key", F.col("entry").alias("a"), F.col("comp").alias("x")), few.select("key", F.col("entry").alias("b"), F.col("comp").alias("y"))
+        a, b = few.select("key", F.col("entry").alias("a"), F.col("comp").alias("x"), F.col("size").alias("n_a")), few.select("key", F.col("entry").alias("b"), F.col("comp").alias("y"), F.col("size").alias("n_b"))
         self.compare(self.likely(a.join(b, "key").where("a < b and x <> y")))
         # members that have other ways to meet leave the large buckets
-        large = found.where(F.col("n") > small).select("key", "entry")
+        large = found.where(F.col("n") > small).select("key", "entry", "size")
         counts = self.members.join(self.sizes.where(F.col("n") > small).select("key"), "key").groupBy("entry").agg(F.count("*").alias("hot"))
         rich = counts.join(self.entries.select("entry", "n_keys"), "entry").where(HOT_SHARE * F.col("hot") > F.col("n_keys")).select("entry")
         rich = stored(rich, "jaccard-rich")
@@ -279,7 +288,7 @@ class Join:
 
         Buckets are cut into tiles; a task compares the sketches of two tiles and keeps the few pairs that pass.
         """
-        held = members.join(self.entries.select("entry", F.col("n").alias("size"), "bits"), "entry")
+        held = members.join(self.entries.select("entry", "bits"), "entry")
         tiles = F.ceil(F.col("n") / TILE).cast("int")
         held = held.withColumn("tile", F.pmod(F.xxhash64("entry", "key"), tiles).cast("int"))
         held = held.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
@@ -298,10 +307,35 @@ class Join:
                 if len(js):
                     differ = np.bitwise_count(bits[js] ^ bits[i]).sum(1, dtype=np.int64)
                     js = js[(7 * differ <= size[js] + size[i]) & (4 * np.minimum(size[js], size[i]) >= 3 * np.maximum(size[js], size[i]))]
-                    out.append(pd.DataFrame({"a": entry[i], "b": entry[js]}))
-            return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
+                    out.append(pd.DataFrame({"a": entry[i], "b": entry[js], "n_a": size[i], "n_b": size[js]}))
+            return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "n_a": [], "n_b": []})
+
+        return held.groupBy("key", "low", "high").applyInPandas(meet, "a long, b long, n_a long, n_b long")
+
 
-        return held.groupBy("key", "low", "high").applyInPandas(meet, "a long, b long")
+def sifted(documents: DataFrame, chosen: DataFrame) -> DataFrame:
+    """doc_id and text of the documents whose id may be among ``chosen`` (``__id``).
+
+    A bitmap of 2 ** ``SIEVE_BITS`` places, whatever the data, tells most other documents apart before their texts are
+    shuffled. It never loses one; the join that follows is exact.
+    """
+    place = F.pmod(F.xxhash64(F.col("__id")), F.lit(1 << SIEVE_BITS))
+    words = chosen.select(F.shiftright(place, 6).cast("int").alias("w"), place.bitwiseAND(F.lit(63)).cast("int").alias("b"))
+    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")).collect()
+    sieve = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
+    for r in words:
+        sieve[r["w"]] = r["bits"]
+    kind = documents.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = sieve.view(np.uint64)
+        for batch in batches:
+            at = batch.column("place").to_numpy()
+            keep = (table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            yield batch.select(["doc_id", "text"]).filter(pa.array(keep.astype(bool)))
+
+    places = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << SIEVE_BITS)).alias("place")
+    return documents.select("doc_id", "text", places).mapInArrow(run, f"doc_id {kind}, text string")
 
 
 def components(links: DataFrame) -> DataFrame:

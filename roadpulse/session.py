@@ -71,11 +71,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after counting: above ``max_rows`` the plan stays a shuffle join.
+MAX_BROADCAST_BYTES = 64 << 20
 
-    The count reads at most ``max_rows + 1`` rows.
+
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after measuring: above either limit the plan stays a shuffle join.
+
+    Rows and bytes (of the rows as text) are summed in one aggregation, partition by partition.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    held = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if held["n"] <= max_rows and held["bytes"] <= max_bytes else df

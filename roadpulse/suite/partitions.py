@@ -222,8 +222,7 @@ def _redo(spark, sf):
     return density.redo(tiles(spark, sf, 0.05, 4), lines(spark, sf), 5.0, 0.02, 3, views.GRID, 6)
 
 
-@query("den08_redo", "jams", f"""
-{_katana(0.05, 4)},
+_REDO = """
 k2(depth, x0, y0, x1, y1, jams) as (
   SELECT 0, x0, y0, x1, y1, jams FROM final WHERE share / 0.01 > 5.0
   UNION ALL
@@ -234,7 +233,11 @@ k2(depth, x0, y0, x1, y1, jams) as (
     CASE WHEN y1 - y0 >= x1 - x0 THEN y0 + (b + 1) * (y1 - y0) / 2 ELSE y1 END AS hy1
     FROM k2, tot, (VALUES (0), (1)) AS s(b) WHERE round(jams / total, 4) > 0.02 AND depth < 3) h
   LEFT JOIN lines l ON l.x >= hx0 AND l.x < hx1 AND l.y >= hy0 AND l.y < hy1
-  GROUP BY ALL)
+  GROUP BY ALL)"""
+
+
+@query("den08_redo", "jams", f"""
+{_katana(0.05, 4)}, {_REDO}
 SELECT x0, y0, x1, y1, jams, round(share, 6) AS share_jams FROM final WHERE share / 0.01 <= 5.0
 UNION ALL SELECT x0, y0, x1, y1, jams, round(jams / total, 6) FROM k2, tot WHERE round(jams / total, 4) <= 0.02 OR depth = 3""")
 def _(spark, sf):
@@ -244,18 +247,16 @@ def _(spark, sf):
 
 
 @query("jn16_latest_split", "jams", f"""
-{_katana(0.05, 4)}, a as (SELECT * FROM final), b as (SELECT f.x0, f.y0, f.x1, f.y1, f.jams FROM final f WHERE share / 0.01 > 5.0)
-SELECT (SELECT count(*) FROM a) AS first_tiles, (SELECT count(*) FROM b) AS again, (SELECT sum(jams)::bigint FROM a) AS jams, true AS deepest""")
+{_katana(0.05, 4)}, {_REDO},
+f as (SELECT x0, y0, x1, y1, jams FROM final WHERE share / 0.01 <= 5.0
+  UNION ALL SELECT x0, y0, x1, y1, jams FROM k2, tot WHERE round(jams / total, 4) <= 0.02 OR depth = 3)
+SELECT 'POLYGON ((' || x0 || ' ' || y0 || ', ' || x1 || ' ' || y0 || ', ' || x1 || ' ' || y1 || ', ' || x0 || ' ' || y1 || ', '
+  || x0 || ' ' || y0 || '))' AS polygon_final, jams FROM f""")
 def _(spark, sf):
     first = tiles(spark, sf, 0.05, 4).select(F.col("geo_id").alias("polygon_1"), "jams")
     second = _redo(spark, sf).where("polygon_1 <> geo_id").select("polygon_1", F.col("geo_id").alias("polygon_2"), F.col("jams").alias("jams_2"))
     out = density.latest_split([first, second], ["polygon_1", "polygon_2"])
-    deepest = F.col("polygon_final") == F.coalesce("polygon_2", "polygon_1")
-    return out.agg(
-        F.countDistinct("polygon_1").alias("first_tiles"),
-        F.countDistinct(F.when(F.col("polygon_2").isNotNull(), F.col("polygon_1"))).alias("again"),
-        F.sum(F.coalesce("jams_2", "jams")).alias("jams"), F.every(deepest).alias("deepest"),
-    )
+    return out.select("polygon_final", F.coalesce("jams_2", "jams").alias("jams"))
 
 
 # Next-fit as a row-by-row recursion.
@@ -333,9 +334,9 @@ def _(spark, sf):
 
 
 @query("den11_prune", "jams jam_regions", """
-SELECT event_id, met AS region_slug FROM jam_regions""")
+SELECT event_id, met AS region_slug, true AS pruned FROM jam_regions""")
 def _(spark, sf):
-    """Reading only the pruned partitions loses no jam of any region (longest reach of a line: 1.2)."""
+    """Reading only the pruned partitions loses no jam of any region (longest reach of a line: 1.2), and leaves some out."""
     from roadpulse.operators import spatial
 
     meta = views.meta(spark, sf)
@@ -350,4 +351,6 @@ def _(spark, sf):
     found = spatial.join_polygons(
         kept.withColumnRenamed("region_slug", "wanted"), meta, grid=views.GRID, resolution=6, distinct_on=["event_id", "wanted"]
     )
-    return found.where("wanted = region_slug").select("event_id", "region_slug")
+    read = ids.agg(F.count(F.lit(1))).scalar()
+    every = meta.agg(F.count(F.lit(1))).scalar() * boxes.agg(F.countDistinct("group")).scalar()
+    return found.where("wanted = region_slug").select("event_id", "region_slug", (read < every).alias("pruned"))

@@ -1,7 +1,7 @@
 """The test tables seen as a congestion feed, in Spark and as oracle SQL.
 
 events -> jam reports (user = jam id, event type = region, value = length, a three-point line from
-integer arithmetic on the event id); region/nation/supplier -> region metadata; orders -> long
+integer arithmetic on the event id, shared by many reports); region/nation/supplier -> region metadata; orders -> long
 daily series per region.
 """
 
@@ -32,9 +32,11 @@ def jams(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     i = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("int")
-    x0, y0 = (i * 37) % 1000, (i * 91) % 1000
-    x1, y1 = x0 + (i % 7 - 3) * 13, y0 + (i % 5 - 2) * 17
-    x2, y2 = x1 + (i % 11 - 5) * 7, y1 + (i % 3 - 1) * 29
+    # a line is reported about 13 times; one line has a third of all reports
+    n = F.when(i % 3 == 0, F.lit(7).cast("bigint")).otherwise(F.call_function("div", i, F.lit(20)))
+    x0, y0 = (n * 37) % 1000, (n * 91) % 1000
+    x1, y1 = x0 + (n % 7 - 3) * 13, y0 + (n % 5 - 2) * 17
+    x2, y2 = x1 + (n % 11 - 5) * 7, y1 + (n % 3 - 1) * 29
     pairs = [F.concat_ws(" ", _hundredths(a), _hundredths(b)) for a, b in ((x0, y0), (x1, y1), (x2, y2))]
     line = F.concat(F.lit("LINESTRING ("), F.concat_ws(", ", *pairs), F.lit(")"))
     return events.select(
@@ -156,12 +158,12 @@ CTES: dict[str, tuple[str, str]] = {
     "ints": (
         "",
         """SELECT event_id, user_id, event_type, ts, value, json_extract_string(props, '$.k')::int AS k,
-        (event_id * 37) % 1000 AS a0, (event_id * 91) % 1000 AS b0,
-        (event_id * 37) % 1000 + (event_id % 7 - 3) * 13 AS a1,
-        (event_id * 91) % 1000 + (event_id % 5 - 2) * 17 AS b1,
-        (event_id * 37) % 1000 + (event_id % 7 - 3) * 13 + (event_id % 11 - 5) * 7 AS a2,
-        (event_id * 91) % 1000 + (event_id % 5 - 2) * 17 + (event_id % 3 - 1) * 29 AS b2
-        FROM events""",
+        (n * 37) % 1000 AS a0, (n * 91) % 1000 AS b0,
+        (n * 37) % 1000 + (n % 7 - 3) * 13 AS a1,
+        (n * 91) % 1000 + (n % 5 - 2) * 17 AS b1,
+        (n * 37) % 1000 + (n % 7 - 3) * 13 + (n % 11 - 5) * 7 AS a2,
+        (n * 91) % 1000 + (n % 5 - 2) * 17 + (n % 3 - 1) * 29 AS b2
+        FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN 7 ELSE event_id // 20 END AS n FROM events)""",
     ),
     "jams": (
         "ints",

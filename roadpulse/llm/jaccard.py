@@ -362,7 +362,7 @@ def join(documents: DataFrame, k: int = SHINGLE, keys: int = KEYS, small: int =
     state.finish(small)
     rows = state.rows.select("doc_id", "n", "entry")
     grouped = state.labelled(rows.where("entry is not null"))
-    least = grouped.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    least = stored(grouped.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "jaccard-least")
     linked = grouped.join(least, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = rows.where("entry is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)

@@ -4,8 +4,9 @@ A streaming parser of the standard library turns a page into lines, one per bloc
 holds and the tags met since the line before. Text of elements that never hold an article (menus, headers, footers,
 sidebars, forms, adverts, notices, reader comments, scripts) gives lines of ratio zero. The ratios are smoothed by a
 Gaussian, so that a short paragraph between long ones is lifted, and clustered by a threshold (half of the mean smoothed
-ratio). Runs of lines over the threshold are the content regions; a region inside an ``article`` or ``main`` element
-grows to all of that element. If a page marks an article but nothing passes the threshold, the article is taken.
+ratio). Runs of lines over the threshold are the content regions, wherever they stand; a region inside an ``article`` or
+``main`` element grows to all of that element, and regions outside it stay. Teasers and related boxes written as
+``article`` do not grow: their lines count by their own ratios. If nothing passes the threshold, the articles are taken.
 
 Null, empty and broken html never fails: open elements end with the page, and end tags without a start are passed over.
 Pages without content give an empty text. Nothing is cut or capped.
@@ -36,6 +37,8 @@ INLINE = frozenset(
     )
 )
 WHOLE = frozenset(("article", "main"))
+#: leading words in class or id of articles that only point at others
+POINTER = re.compile(r"(?:^|\s)(?:teaser|related|promo\w*|sponsor\w*|advert\w*|recommend\w*)(?:$|[\s_-])", re.I)
 #: words in class, id or role of elements beside the article
 BESIDE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|sidebar\w*|side-bar|footer\w*|masthead|"
@@ -48,7 +51,10 @@ SHARE = 0.5
 
 
 class Lines(HTMLParser):
-    """Lines of a page: (text, tags before it, beside the article, number of its article element or 0)."""
+    """Lines of a page: (text, tags before it, beside the article, number of its article element or 0).
+
+    The number of an article that does not grow is negative.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -89,7 +95,10 @@ class Lines(HTMLParser):
                     break
         if tag in WHOLE and not self.beside:
             self.wholes += 1
-            self.whole = self.whole or self.wholes
+            if tag == "article" and any(value and name in ("class", "id") and POINTER.search(value) for name, value in attrs):
+                self.whole = -self.wholes
+            else:
+                self.whole = self.whole or self.wholes
 
     def _implied(self, tag: str) -> None:
         """A paragraph or list item ends where the next one begins."""
@@ -135,11 +144,10 @@ def content(lines: list[tuple[str, int, bool, int]], sigma: float = SIGMA, share
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     smooth = np.convolve(np.pad(ratio, reach), kernel / kernel.sum(), "valid")
     chosen = (smooth > share * smooth.mean()) & ~beside
-    marked = article > 0
-    if marked.any():
-        named = np.unique(article[chosen & marked])
-        chosen = np.isin(article, named if len(named) else np.unique(article[marked])) & marked & ~beside
-    return chosen
+    if not chosen.any():
+        return (article != 0) & ~beside
+    grown = np.unique(article[chosen & (article > 0)])
+    return chosen | np.isin(article, grown) & ~beside
 
 
 def main_text(html: str | None) -> str:

@@ -115,6 +115,26 @@ def test_page_text(wrap):
     assert html.main_text(PAGE % (wrap % body)) == expected
 
 
+TEASER = "<article class='%s'><h3><a href='/x'>Next</a></h3><p><a href='/x'>More</a></p></article>"
+
+
+@pytest.mark.parametrize("kind", ["teaser", "related", "box"])
+def test_body_beside_small_articles(kind):
+    body = [f"Paragraph {k} of the body has a good many words, as the text of a page has." for k in range(12)]
+    page = "<div class='text'>%s</div><ul>%s</ul>%s" % ("".join(f"<p>{p}</p>" for p in body), "<li><a>x</a></li>" * 8, TEASER % kind * 3)
+    got = html.main_text(PAGE % page)
+    assert got.startswith(" ".join(body)) and "More" not in got  # the smoothing may lift a line next to the body
+    # a body in two places: the part outside the article stays, the short line inside it too
+    page = "<div>%s</div><article>%s<p>Short.</p></article>" % tuple("".join(f"<p>{p}</p>" for p in part) for part in (body[:6], body[6:]))
+    assert html.main_text(PAGE % page) == " ".join(body) + " Short."
+
+
+def test_threshold_decides_beside_an_article():
+    lines = [("a" * 200, 2, False, 0), *[("b", 9, False, 0)] * 8, *[("c" * 200, 2, False, 1), ("d", 9, False, 1)] * 2]
+    assert html.content(lines).tolist()[0] and not html.content(lines)[4:6].any()
+    assert not html.content(lines, share=1e9)[:9].any() and html.content(lines, share=1e9)[9:].all()
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE % "<article><p>Short.</p></article>"), (2, None, None), (3, "u", ""), (3, "u", "<p>bare text<p"), (None, "u", "no tags"),
             (5, "u", "<article><p>cut off in the <b>mid"), (6, "u", "</div></p><![bad<!--"), (7, "u", "<p>" + "w " * 40000)]

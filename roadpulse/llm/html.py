@@ -9,7 +9,7 @@ ratio). Runs of lines over the threshold are the content regions, wherever they
 ``article`` do not grow: their lines count by their own ratios. If nothing passes the threshold, the articles are taken.
 
 Null, empty and broken html never fails: open elements end with the page, and end tags without a start are passed over.
-Pages without content give an empty text. Nothing is cut or capped.
+A ``<![`` section is a comment up to the next ``>``, as in HTML5, whatever its name. Pages without content give an empty text. Nothing is cut or capped.
 """
 
 from __future__ import annotations
@@ -46,6 +46,8 @@ BESIDE = re.compile(
     r"replies|widget\w*|toolbar|pagination|pager|complementary|contentinfo|navigation)(?:$|[\s_-])",
     re.I,
 )
+#: decimal references that int() refuses for their length
+LONG_REFERENCE = re.compile(r"&#([0-9]{1000,})")
 SIGMA = 1.5
 SHARE = 0.5
 
@@ -130,6 +132,14 @@ class Lines(HTMLParser):
         if tag not in VOID and self.stack and self.stack[-1][0] == tag:
             self._close(len(self.stack) - 1)
 
+    def parse_html_declaration(self, i: int) -> int:
+        """The library raises at unknown sections and looks for the end of known ones anywhere behind."""
+        if self.rawdata.startswith("<![", i):
+            foreign = any(name in ("svg", "math") for name, *_ in self.stack)
+            end = self.rawdata.find("]]>", i) if foreign and self.rawdata.startswith("<![CDATA[", i) else -1
+            return end + 3 if end >= 0 else self.parse_bogus_comment(i)
+        return super().parse_html_declaration(i)
+
     def handle_data(self, data: str) -> None:
         if not self.hidden:
             self.text.append(data)
@@ -155,11 +165,9 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     parser = Lines()
-    try:
-        parser.feed(html)
-        parser.close()
-    except (AssertionError, ValueError):
-        pass  # a declaration that the parser can't read; what stands before it counts
+    # beyond the last code point both are the replacement character
+    parser.feed(LONG_REFERENCE.sub(lambda m: "&#" + (m[1].lstrip("0")[:8] or "0"), html))
+    parser.close()
     parser.line()
     if not parser.lines:
         return ""

@@ -135,6 +135,18 @@ def test_threshold_decides_beside_an_article():
     assert not html.content(lines, share=1e9)[:9].any() and html.content(lines, share=1e9)[9:].all()
 
 
+@pytest.mark.parametrize(
+    "odd", ["<![foo[x]]>", "<![ CDATA[x]]>", "<![x>", "<![>", "<![CDATA[x]]>", "<![if !IE]>", "<![endif]-->", "<svg><![CDATA[<p>]]></svg>"]
+)
+def test_text_behind_sections(odd):
+    assert html.main_text(f"<p>one</p>{odd}<p>two</p>") == "one two"
+    assert html.main_text(f"<article><p>one</p><p>{odd}two</p>") == "one two"
+
+
+def test_text_behind_long_references():
+    assert html.main_text(f"<p title='&#{'9' * 5000};'>one &#{'9' * 5000}; &#{'0' * 5000}65;</p><p>two</p>") == "one \ufffd A two"
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE % "<article><p>Short.</p></article>"), (2, None, None), (3, "u", ""), (3, "u", "<p>bare text<p"), (None, "u", "no tags"),
             (5, "u", "<article><p>cut off in the <b>mid"), (6, "u", "</div></p><![bad<!--"), (7, "u", "<p>" + "w " * 40000)]

@@ -10,16 +10,17 @@ the threshold, 75 % by default; in whole numbers, if 7 times the symmetric diffe
   linkable pair meets in one band. The largest symmetric difference d of a linkable pair in a band gives its d + 1 blocks,
   of which by the pigeonhole principle one at least is equal in both documents.
 * **Join.** Equal blocks that are not empty are the join keys. A document has ``KEYS`` keys in a band at most: the first
-  ``KEYS`` blocks if there are more, the blocks of several independent sketches if there are fewer. A linked pair agrees
-  in at least a third of the blocks on average, so the chance that it agrees in none of three quarters of the keys is
-  about 2e-7 at the very threshold and vanishes above it; ``keys`` lowers it further.
+  ``KEYS`` blocks if there are more, the blocks of several independent sketches if there are fewer. The lowest bit of a
+  key tells the two bands of a document apart. A linked pair agrees in at least a third of the blocks on average, so the
+  chance that it agrees in none of 48 keys that are not empty is about 1e-9 at the very threshold, where both sets have
+  the largest size of the band, and vanishes above it; ``keys`` lowers it further.
 * **Verification.** Sizes, then bit sketches, then whole texts are compared. Members of a bucket are first compared with
   the member that shares most; links give components, and only pairs of different components are compared further: all of
   them in buckets of ``SMALL`` members at most. Larger (hot) buckets come from passages that many texts share, or from
-  large groups of near copies. A document with three quarters of its keys outside hot buckets meets its partners there
-  and leaves them. The others, made up of hot content, are compared bucket by bucket: their sketches in tiles, each pair
-  of tiles a task of bounded size that gives out only the pairs whose sketches allow a link. No bucket is expanded into
-  its pairs, and no pair of different components with equal hot keys only is passed over.
+  large groups of near copies. A document leaves the hot buckets of a band only if its other keys of that band are more
+  than the blocks in which it can differ from any partner, so that it surely meets each of them there. All others, and so
+  all large sets, are compared bucket by bucket: their sketches in tiles, each pair of tiles a task of bounded size that
+  gives out only the pairs whose sketches allow a link. Hotness of a key loses no pair that shares it.
 
 Equal sets are one entry throughout (by a 64-bit hash of the set), so copies cost nothing. Components are found by
 label propagation over written tables; nothing of the size of the data is collected.
@@ -45,9 +46,8 @@ from roadpulse.llm.words import Words, mixed
 SHINGLE = 5
 KEYS = 48
 BITS = 1024
-#: Buckets of more members are compared by tiles of sketches, and only for members with more than one in
-#: ``HOT_SHARE`` of their keys in such buckets.
-SMALL, HOT_SHARE, TILE = 24, 4, 256
+#: Buckets of more members are compared by tiles of sketches.
+SMALL, TILE = 24, 256
 SIEVE_BITS = 22
 _MASK = (1 << 64) - 1
 _BLOCK = 0x8EBC6AF09C88C6E3
@@ -109,7 +109,8 @@ def block_keys(row: np.ndarray, h: np.ndarray, size: np.ndarray, keys: int) -> t
                 r = slot // keys
                 place = ((band[r] + shift) * 65536 + slot % keys).astype(np.uint64)
                 rows.append(r)
-                found.append(mixed(parity ^ mixed(place)))
+                side = ((band[r] + shift) & 1).astype(np.uint64)
+                found.append(mixed(parity ^ mixed(place)) & ~np.uint64(1) | side)
             repeat += 1
     empty = np.empty(0, np.int64)
     return (np.concatenate(rows), np.concatenate(found)) if rows else (empty, empty.astype(np.uint64))
@@ -139,6 +140,22 @@ def sketched(documents: DataFrame, k: int = SHINGLE, keys: int = KEYS) -> DataFr
     return documents.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def side(key: Column) -> Column:
+    """Whether the band of a key is odd; the two bands of a document differ in it."""
+    return key.bitwiseAND(F.lit(1)).cast("int")
+
+
+def differing(n: Column, odd: Column, keys: int) -> Column:
+    """In how many keys of its band of this side, at most, a set of size n differs from a set it links with."""
+    own = F.length(F.bin(n)) - 1
+    band = own + F.when(own % 2 == odd, 0).otherwise(1)
+    largest = F.pow(F.lit(2), band + 1).cast("long") - 1
+    blocks = F.floor(2 * largest / 7) + 1
+    most = F.floor((n + F.least(largest, F.floor(4 * n / 3))) / 7)
+    sketches = F.floor(F.lit(keys) / blocks)
+    return sketches * F.least(most, blocks) + F.least(most, F.lit(keys) - sketches * blocks)
+
+
 def linkable(difference: Column, n: Column, m: Column) -> Column:
     """Whether sets of sizes n and m with this symmetric difference have a similarity of 75 % at least."""
     return 7 * difference <= n + m
@@ -148,10 +165,10 @@ class Join:
     """The state of one join: entries, their shared keys, texts, pairs compared and components so far."""
 
     def __init__(self, documents: DataFrame, k: int, keys: int):
-        self.documents, self.k = documents, k
+        self.documents, self.k, self.keys = documents, k, keys
         self.rows = stored(sketched(documents, k, keys), "jaccard-rows")
         held = self.rows.where("entry is not null")
-        self.entries = stored(held.groupBy("entry").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id"), F.max(F.size("keys")).alias("n_keys")), "jaccard-entries")
+        self.entries = stored(held.groupBy("entry").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id"), F.max(F.size("keys")).alias("n_keys"), F.max(F.size(F.filter("keys", lambda x: side(x) == 0))).alias("n_even")), "jaccard-entries")
         keyed = held.select(F.explode("keys").alias("key"), "entry", "n")
         shared = keyed.groupBy("key").agg(F.min("entry").alias("low"), F.max("entry").alias("high")).where("low <> high")
         # written first, so that Spark can split a hot key in the join of plain exchanges
@@ -276,12 +293,14 @@ class Join:
         few = found.where(F.col("n") <= small)
         a, b = few.select("key", F.col("entry").alias("a"), F.col("comp").alias("x"), F.col("size").alias("n_a")), few.select("key", F.col("entry").alias("b"), F.col("comp").alias("y"), F.col("size").alias("n_b"))
         self.compare(self.likely(a.join(b, "key").where("a < b and x <> y")))
-        # members that have other ways to meet leave the large buckets
-        large = found.where(F.col("n") > small).select("key", "entry", "size")
-        counts = self.members.join(self.sizes.where(F.col("n") > small).select("key"), "key").groupBy("entry").agg(F.count("*").alias("hot"))
-        rich = counts.join(self.entries.select("entry", "n_keys"), "entry").where(HOT_SHARE * F.col("hot") > F.col("n_keys")).select("entry")
+        # members that surely meet their partners elsewhere leave the large buckets of a band
+        large = found.where(F.col("n") > small).select("key", "entry", "size", side(F.col("key")).alias("side"))
+        hot = self.members.join(self.sizes.where(F.col("n") > small).select("key"), "key")
+        hot = hot.groupBy("entry", side(F.col("key")).alias("side")).agg(F.count("*").alias("hot"))
+        cold = F.when(F.col("side") == 0, F.col("n_even")).otherwise(F.col("n_keys") - F.col("n_even")) - F.col("hot")
+        rich = hot.join(self.entries, "entry").where(cold <= differing(F.col("n"), F.col("side"), self.keys)).select("entry", "side")
         rich = stored(rich, "jaccard-rich")
-        self.compare(self.likely(self.tiled(self.open(large.join(rich, "entry")))))
+        self.compare(self.likely(self.tiled(self.open(large.join(rich, ["entry", "side"]).select("key", "entry", "size")))))
 
     def tiled(self, members: DataFrame) -> DataFrame:
         """Pairs (a, b) of different components that share a bucket and whose sizes and sketches allow a link.

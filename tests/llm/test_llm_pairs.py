@@ -55,6 +55,16 @@ def test_jaccard(documents, corpus, small, tile, monkeypatch):
     assert got == _components(corpus)
 
 
+def test_longer_relatives_of_a_hot_group(documents):
+    # each longer text links with one member only, that is hardly a bucket centre, and shares little but hot keys with it
+    base = [f"c{i}" for i in range(754)]
+    group = {k: base + [f"g{k}x{i}" for i in range(k % 18)] for k in range(300)}
+    rows = [(k, " ".join(w)) for k, w in group.items()]
+    rows += [(1000 + k, " ".join(w + [f"h{k}x{i}" for i in range(249)])) for k, w in group.items() if 3 <= k % 18 <= 5 and k < 125]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join(documents(rows)).collect()}
+    assert got == dict.fromkeys(got, 0)
+
+
 def test_jaccard_edges(documents):
     rows = [(7, "a b c d e"), (3, "A B C D E"), (3, "A B C D E"), (None, "a b c d e"), (5, None), (6, ""), (8, "a b"), (9, "a b"), (None, None)]
     got = sorted(map(tuple, jaccard.join(documents(rows)).collect()), key=repr)

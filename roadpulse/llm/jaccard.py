@@ -5,7 +5,8 @@ the threshold, 75 % by default; in whole numbers, if 7 times the symmetric diffe
 
 * **Sketches.** A parity sketch is a row of blocks; each shingle is hashed to one block and XORed into it. A shingle in
   only one of two sets changes one block, so the number of blocks that differ (the Hamming distance in blocks) is a lower
-  bound of the symmetric difference. A second sketch of 1,024 one-bit blocks serves as a filter before texts are compared.
+  bound of the symmetric difference. A second sketch of one-bit blocks, two for each shingle that the size band allows and
+  1,024 at least, serves as a filter before texts are compared. Halves XORed onto each other give the next smaller sketch.
 * **Size bands.** Band j holds sizes from 2**j. A document also enters the next band if a partner can be there, so every
   linkable pair meets in one band. The largest symmetric difference d of a linkable pair in a band gives its d + 1 blocks,
   of which by the pigeonhole principle one at least is equal in both documents.
@@ -116,6 +117,23 @@ def block_keys(row: np.ndarray, h: np.ndarray, size: np.ndarray, keys: int) -> t
     return (np.concatenate(rows), np.concatenate(found)) if rows else (empty, empty.astype(np.uint64))
 
 
+def sketch_bits(size: np.ndarray) -> np.ndarray:
+    """Bits of the filter sketch: they grow with the size band, so that large sets that differ do not fill them."""
+    return np.maximum(BITS, 4 << np.floor(np.log2(np.maximum(size, 1))).astype(np.int64))
+
+
+def folded(bits: np.ndarray, length: int) -> np.ndarray:
+    """A sketch as one of ``length`` words: position modulo a power of two keeps all parities."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, length), axis=0)
+
+
+def halved(bits: Column, other: Column) -> Column:
+    """``bits``, or its halves XORed if the sketch ``other`` is shorter. Linkable sets are one band apart at most."""
+    half = (F.size(bits) / 2).cast("int")
+    short = F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(bits) > F.size(other), short).otherwise(bits)
+
+
 def sketched(documents: DataFrame, k: int = SHINGLE, keys: int = KEYS) -> DataFrame:
     """doc_id, n (size of the set), entry (hash of the set, null if empty), bits (the one-bit sketch), keys."""
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -130,9 +148,11 @@ def sketched(documents: DataFrame, k: int = SHINGLE, keys: int = KEYS) -> DataFr
             n = batch.num_rows
             row, h = shingles(batch.column("text"), k)
             size = np.bincount(row, minlength=n)
-            bit = row * BITS + (mixed(h + _BIT) % np.uint64(BITS)).astype(np.int64)
-            parity = np.packbits(np.bincount(bit, minlength=n * BITS).astype(np.uint8) & 1).view(np.int64)
-            bits = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * (BITS // 64), pa.int32()), pa.array(parity))
+            width = sketch_bits(size)
+            begin = np.append(0, np.cumsum(width))
+            bit = begin[row] + (mixed(h + _BIT) % width[row].astype(np.uint64)).astype(np.int64)
+            parity = np.packbits(np.bincount(bit, minlength=begin[-1]).astype(np.uint8) & 1).view(np.int64)
+            bits = pa.ListArray.from_arrays(pa.array(begin // 64, pa.int32()), pa.array(parity))
             columns = [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(entries(row, h, size), mask=size == 0), bits, lists(*block_keys(row, h, size, keys), n)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "entry", "bits", "keys"])
 
@@ -192,7 +212,8 @@ class Join:
         e = self.entries.select("entry", "n", "bits")
         pairs = pairs.join(e.toDF("a", "n_a", "bits_a"), "a")
         pairs = pairs.join(e.toDF("b", "n_b", "bits_b"), "b")
-        differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, c: s + c)
+        a, b = F.col("bits_a"), F.col("bits_b")
+        differ = F.aggregate(F.zip_with(halved(a, b), halved(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, c: s + c)
         return pairs.where(linkable(differ, F.col("n_a"), F.col("n_b"))).select("a", "b")
 
     def with_texts(self, pairs: DataFrame) -> DataFrame:
@@ -314,7 +335,10 @@ class Join:
         held = held.select("key", "entry", "comp", "size", "bits", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
 
         def meet(rows: pd.DataFrame) -> pd.DataFrame:
-            bits = np.stack(rows["bits"].to_numpy()).view(np.uint64)
+            given = rows["bits"].to_numpy()
+            words = np.array([len(x) for x in given])
+            # members of one bucket are of one band or the one below it
+            sketches = {w: np.stack([folded(x, w) if len(x) >= w else np.zeros(w, np.int64) for x in given]).view(np.uint64) for w in set(words.tolist())}
             entry, comp, size = (rows[c].to_numpy() for c in ("entry", "comp", "size"))
             one, two = rows["low"].iat[0], rows["high"].iat[0]
             left, right = np.flatnonzero(rows["tile"] == one), np.flatnonzero(rows["tile"] == two)
@@ -323,10 +347,13 @@ class Join:
                 js = right[(comp[right] != comp[i]) & (entry[right] != entry[i])]
                 if one == two:
                     js = js[js > i]
-                if len(js):
-                    differ = np.bitwise_count(bits[js] ^ bits[i]).sum(1, dtype=np.int64)
-                    js = js[(7 * differ <= size[js] + size[i]) & (4 * np.minimum(size[js], size[i]) >= 3 * np.maximum(size[js], size[i]))]
-                    out.append(pd.DataFrame({"a": entry[i], "b": entry[js], "n_a": size[i], "n_b": size[js]}))
+                js = js[4 * np.minimum(size[js], size[i]) >= 3 * np.maximum(size[js], size[i])]
+                for w in set(np.minimum(words[js], words[i]).tolist()):
+                    ks = js[np.minimum(words[js], words[i]) == w]
+                    bits = sketches[w]
+                    differ = np.bitwise_count(bits[ks] ^ bits[i]).sum(1, dtype=np.int64)
+                    ks = ks[7 * differ <= size[ks] + size[i]]
+                    out.append(pd.DataFrame({"a": entry[i], "b": entry[ks], "n_a": size[i], "n_b": size[ks]}))
             return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "n_a": [], "n_b": []})
 
         return held.groupBy("key", "low", "high").applyInPandas(meet, "a long, b long, n_a long, n_b long")

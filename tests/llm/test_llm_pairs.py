@@ -86,6 +86,30 @@ def test_blocks_bound_the_difference():
         assert np.bincount(rows).max() <= 2 * jaccard.KEYS
 
 
+def test_filter_sketches_of_large_sets(documents, prose):
+    passage = prose(300, 1)
+    texts = [f"{passage} {prose(n, 40 + n, 10**6)}" for n in (2600, 2700, 4000)]
+    texts.append(" ".join(texts[2].split()[:3300]))  # one band below its partner
+    rows = jaccard.sketched(documents(list(enumerate(texts)))).collect()
+    bits = {r["doc_id"]: np.array(r["bits"]) for r in rows}
+    size = {r["doc_id"]: r["n"] for r in rows}
+
+    def differ(a, b):
+        w = min(len(bits[a]), len(bits[b]))
+        return int(np.bitwise_count((jaccard.folded(bits[a], w) ^ jaccard.folded(bits[b], w)).view(np.uint64)).sum())
+
+    assert 7 * differ(0, 1) > size[0] + size[1]
+    a, b = texts[2].split(), texts[3].split()
+    assert differ(2, 3) <= len({tuple(a[i : i + 5]) for i in range(len(a) - 4)} ^ {tuple(b[i : i + 5]) for i in range(len(b) - 4)})
+
+
+def test_large_sets_of_two_bands(documents, prose):
+    long = prose(4300, 7, 10**6).split()
+    rows = [(k, " ".join(long[: 3400 + 300 * k])) for k in range(4)] + [(9, prose(4000, 8, 10**6))]
+    assert {tuple(r) for r in jaccard.join(documents(rows)).collect()} == _components(rows)
+    assert {tuple(r) for r in jaccard.join(documents(rows), small=1).collect()} == _components(rows)
+
+
 def _unrepeated(rows, length=20):
     first, out = {}, set()
     for i, t in sorted(rows):

@@ -114,6 +114,17 @@ def test_oracle(spark, name):
     assert check.compare(QUERIES[name](spark, SF), check.connect(SF).sql(ORACLES[name])) == ""
 
 
+def test_pipeline_keeps_clean_rows_without_id(spark, documents, prose):
+    a, b, c, d = (prose(80, 7000 + k) for k in range(4))
+    rows = [*((k, prose(60, 7100 + k)) for k in range(30)), (None, a), (None, b), (None, "too short"), (None, None)]
+    got = corpus_pipeline.good(spark, documents(rows), SF)
+    assert sorted(r["text"] for r in got.where("doc_id IS NULL").collect()) == sorted([a, b]) and got.count() == 32
+    rows = [(10, a), (9, a), (None, a), (None, b), (None, b), (None, b + " more"), (None, c), (5, d), (None, None), (None, None)]
+    got = [tuple(r) for r in corpus_pipeline.different(spark, documents(rows), SF).select("doc_id", "text").collect()]
+    assert sum(t is None for _, t in got) == 2 and {(9, a), (None, c), (5, d)} <= set(got) and len(got) == 6
+    assert sum(i is None and t in (b, b + " more") for i, t in got) == 1
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     begin = docs

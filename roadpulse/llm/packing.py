@@ -65,7 +65,8 @@ class Coder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        #: added tokens are found before words are; texts that hold one are encoded whole
+        self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
         #: ids of words with a space in front; keys never begin with white space
         self.table: dict[str, bytes] = {}
         #: ids of words without a space in front
@@ -127,6 +128,9 @@ class Coder:
             self.bare.clear()
         split, new = [], set()
         for text in texts:
+            if any(a in text for a in self.added):
+                split.append((text, [], []))
+                continue
             head, *rest = text.split(" ")
             found = [table.get(w) for w in rest]
             if None in found:

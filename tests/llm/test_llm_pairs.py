@@ -148,6 +148,20 @@ def test_substrings_edges(documents, prose):
     assert substrings.digests(documents([])).count() == 0
 
 
+def test_rows_that_share_an_id_lose_only_their_own_words(documents, prose):
+    w, v, y = prose(60, 51), prose(60, 52), prose(90, 53)
+    rows = [(1, w), (7, w), (7, v), (None, "z z"), (None, y), (9, y), (9, y + " end"), (20, v), (20, v)]
+    docs = documents(rows, extra=True).withColumns({"marks": F.lit("?"), "__marks": F.lit("?"), "__id": F.lit("?"), "doc": F.lit("?"), "number": F.lit(0)})
+    got = sorted(((r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in substrings.digests(docs).collect()))
+    assert got == sorted([(1, 60, 0), (7, 60, 60), (7, 60, 0), (0, 2, 0), (0, 90, 0), (9, 90, 90), (9, 91, 90), (20, 60, 60), (20, 60, 60)])
+    clean = substrings.cleaned(docs)
+    assert clean.columns == docs.columns
+    assert sorted(((r["doc_id"] or 0, r["text"]) for r in clean.collect())) == sorted([(1, w), (7, ""), (7, v), (0, "z z"), (0, y), (9, ""), (9, "end"), (20, ""), (20, "")])
+    # of two equal rows of one id that repeat nothing, one keeps its words
+    got = sorted(r["n_removed"] for r in substrings.digests(documents([(4, v), (4, v), (None, w), (None, w), (None, w)])).collect())
+    assert got == [0, 0, 60, 60, 60]
+
+
 @pytest.fixture(scope="module")
 def vectors():
     r = np.random.default_rng(4)

@@ -47,12 +47,11 @@ def _ids(text):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(BPE)
-    model.encode_special_tokens = True
     return [*model.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def test_packing(spark, documents, prose):
-    texts = [*ODD, *[prose(30 + 7 * k, k) for k in range(60)], prose(5000, 99), prose(30, 0)]
+    texts = [*ODD, "a <|endoftext|> b", "x<|endoftext|>", *[prose(30 + 7 * k, k) for k in range(60)], prose(5000, 99), prose(30, 0)]
     rows = list(enumerate(texts)) + [(None, "no id"), (3, "id again")]
     got = packing.pack(packing.pieces(documents(rows, extra=True), BPE)).collect()
     by = {}
@@ -129,6 +128,47 @@ def test_body_beside_small_articles(kind):
     assert html.main_text(PAGE % page) == " ".join(body) + " Short."
 
 
+BESIDE = (
+    "<div class='sidebar'><p>Most read on this site today: a long list of other pieces.</p></div>",
+    "<aside><article><p>A small box beside the text with one sentence of its own.</p></article></aside>",
+    "<ol class='comment-list'>" + "<li><article class='comment'><p>A reader writes a rather long remark about this piece.</p></article></li>" * 9 + "</ol>",
+    "<form action='/subscribe'><p>Leave your address to get a letter with news each week.</p><input><button>Go</button></form>",
+)
+WRAPPERS = (
+    "<form id=aspnetForm>%s</form>", "<div class='page no-sidebar'>%s</div>", "<div class='layout has-sidebar'>%s</div>", "<div class='post comments-open'>%s</div>",
+    "<div class='sidebar-layout menu-page'>%s</div>", "<div aria-hidden='true'>%s</div>", "<form><div class='widget'>%s</div></form>",
+)
+
+
+@pytest.mark.parametrize("element", ["article", "main", "div"])
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("beside", [(), *((b,) for b in BESIDE), BESIDE])
+def test_wrappers_of_the_page(wrapper, element, beside):
+    body = [f"Paragraph {k} of the article says a good many things, in words enough for the ratio of text to tags to be high." for k in range(3)]
+    page = f"<{element}>{''.join(f'<p>{p}</p>' for p in body)}</{element}>" + "".join(beside)
+    assert html.main_text(PAGE % (wrapper % page)) == " ".join(body)
+
+
+def _plain_ratios(lines, sigma=1.5, share=0.5):
+    """The rule written out: ratios, Gaussian weights by distance up to the reach, threshold at a share of the mean."""
+    ratio = [0 if beside else len(text) / tags for text, tags, beside, _ in lines]
+    reach = round(3 * sigma)
+    weight = {d: np.exp(-d * d / (2 * sigma * sigma)) for d in range(-reach, reach + 1)}
+    smooth = [sum(w * ratio[i + d] for d, w in weight.items() if 0 <= i + d < len(ratio)) / sum(weight.values()) for i in range(len(ratio))]
+    high = [s > share * np.mean(smooth) and not line[2] for s, line in zip(smooth, lines, strict=True)]
+    if not any(high):
+        return [line[3] != 0 and not line[2] for line in lines]
+    grown = {line[3] for h, line in zip(high, lines, strict=True) if h and line[3] > 0}
+    return [h or line[3] in grown and not line[2] for h, line in zip(high, lines, strict=True)]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_ratio_rule(seed):
+    r = random.Random(seed)
+    lines = [("x" * r.choice([3, 40, 300]), r.randint(1, 12), r.random() < 0.2, r.choice([0, 0, 1, -2])) for _ in range(r.randint(1, 60))]
+    assert html.content(lines).tolist() == _plain_ratios(lines)
+
+
 def test_threshold_decides_beside_an_article():
     lines = [("a" * 200, 2, False, 0), *[("b", 9, False, 0)] * 8, *[("c" * 200, 2, False, 1), ("d", 9, False, 1)] * 2]
     assert html.content(lines).tolist()[0] and not html.content(lines)[4:6].any()

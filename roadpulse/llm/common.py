@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 LOCAL_FOLDER = "/tmp/checkpoints"
 #: Rows handed to Python at once; long texts make wide rows, so the number is small.
 BATCH_ROWS = 1000
+#: Bytes handed to Python at once, unless one row alone is larger.
+BATCH_BYTES = 4 << 20
 #: Bytes of text worked on at once inside a task, unless one text alone is longer.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
+#: Entries of a table of words that a worker keeps from one task to the next.
+KEPT_ENTRIES = 60_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -24,6 +29,7 @@ def prepare(spark: SparkSession) -> SparkSession:
         ("spark.sql.session.timeZone", "UTC"),
         ("spark.sql.adaptive.enabled", "true"),
         ("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)),
+        ("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)),
     ):
         spark.conf.set(key, value)
     return spark
@@ -51,6 +57,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def trimmed(table: dict) -> dict:
+    """The first entries of a table of words: those met first are mostly those met often."""
+    return dict(islice(table.items(), KEPT_ENTRIES))
+
+
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array, nulls as empty texts; offsets start at 0 and have one entry more than rows."""
     if isinstance(texts, pa.ChunkedArray):

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import slices, stored
+from roadpulse.llm.common import slices, stored, trimmed
 
 CAPACITY = 2048
 BLOCK_ITEMS = 2048
@@ -42,7 +42,7 @@ GENERATIONS = 6
 POPULATION = 4
 #: Bins filled less than this are opened again in the second round; so many blocks give one new block.
 REOPEN_BELOW, BLOCKS_JOINED = 0.97, 16
-TABLE_ENTRIES = 1_200_000
+TABLE_ENTRIES = 250_000
 LONGEST_KEPT = 48
 END_ID = 0
 
@@ -119,13 +119,17 @@ class Coder:
         for w, parts in lined.items():
             self.table[w] = feed.join([self.table[parts[0]], *[self.bare[x] for x in parts[1:]]])
 
+    def rest(self) -> None:
+        """Forget most words, so that a worker does not hold them between tasks."""
+        self.table, self.bare = trimmed(self.table), {}
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        table = self.table
-        if len(table) > TABLE_ENTRIES:
-            table.clear()
+        if len(self.table) > TABLE_ENTRIES:
+            self.rest()
         if len(self.bare) > TABLE_ENTRIES // 8:
             self.bare.clear()
+        table = self.table
         split, new = [], set()
         for text in texts:
             if any(a in text for a in self.added):
@@ -185,6 +189,7 @@ def pieces(
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        code.rest()
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return documents.select("doc_id", "text").mapInArrow(run, schema)

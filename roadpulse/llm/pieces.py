@@ -22,10 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from roadpulse.llm.common import slices
+from roadpulse.llm.common import slices, trimmed
 
 MARK = "▁"
-TABLE_ENTRIES = 500_000
+TABLE_ENTRIES = 250_000
 LONGEST_KEPT = 48
 _coders: dict[str, Coder] = {}
 
@@ -54,11 +54,15 @@ class Coder:
         whole = self.model.decode(self.model.encode(" a  b\t ① ")) == " a  b\t ① "
         return not crossing and plain and whole and MARK in pieces
 
+    def rest(self) -> None:
+        """Forget most chunks, so that a worker does not hold them between tasks."""
+        self.table = trimmed(self.table)
+        self.other = {c: t for c, t in self.other.items() if c in self.table}
+
     def segment(self, chunks: list[str]) -> None:
         """Add chunks to the table. A chunk lacks its first marker, which the model puts in front itself."""
         if len(self.table) + len(chunks) > TABLE_ENTRIES:
-            self.table.clear()
-            self.other.clear()
+            self.rest()
         ids = [i or [self.mark] for i in self.model.encode(chunks, num_threads=1)]
         # decode() drops a space at the start of a text only, so an ordinary piece stands in front
         decoded = self.model.decode([[self.plain, *i] for i in ids])
@@ -83,6 +87,7 @@ class Coder:
             if len(table) + len(new) > TABLE_ENTRIES:
                 new.update(dict.fromkeys(c for chunks in split if chunks for c in chunks))
             self.segment(list(new))
+        table = self.table
         out = []
         for text, chunks in zip(texts, split, strict=True):
             if chunks is None:
@@ -128,6 +133,7 @@ def encode(documents: DataFrame, model_path: str, id_column: str = "doc_id", tex
                  pa.array([d for _, d in pairs], pa.string())],
                 ["id", "ids", "decoded"],
             )
+        code.rest()
 
     given = documents.select(documents[id_column].alias("id"), documents[text_column].alias("text"))
     return given.mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_column)
@@ -146,6 +152,7 @@ def digests(documents: DataFrame, model_path: str, id_column: str = "doc_id", te
                  pa.array([hashlib.sha256(i).hexdigest() for i, _ in pairs]), pa.array([hashlib.sha256(d.encode()).hexdigest() for _, d in pairs])],
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        code.rest()
 
     given = documents.select(documents[id_column].alias("id"), documents[text_column].alias("text"))
     out = given.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -3,12 +3,13 @@
 The statistics of a text are turned into a vector (mean word length, shares of symbols, capitals, repeated lines and
 repeated words, transformed). For each language and source a minimum-covariance-determinant estimate of centre and
 scatter is computed by concentration steps: start from medians and quartiles, then again and again take the
-``CORE`` share of rows nearest by Mahalanobis distance and their mean and covariance. Rows far from the centre are
-rejected. A quality text is not an outlier on the good side: only the upward part of a distance in the shares counts.
+``CORE`` share of rows nearest by Mahalanobis distance and their mean and covariance, until the core stays as it is. Every
+language and source has an estimate of its own, drawn towards that of its language by as much as ``PRIOR`` rows weigh: one
+of few rows has nearly the estimate of the language, one of many its own, and nothing depends on passing a size. Rows far
+from the centre are rejected.
 
 All steps are DataFrame aggregations; the nearest rows are found from exact counts of distance steps, so no group is
-ever in one place and no row leaves Spark. Sources with fewer than ``LEAST_ROWS`` rows are estimated together, by
-language. Scatter has a floor (``FLOOR``), so constant statistics (no symbols at all) do not make every change an outlier.
+ever in one place and no row leaves Spark. Scatter has a floor (``FLOOR``), so constant statistics (no symbols at all) do not make every change an outlier.
 
 Null and empty texts have no word and fail the base rules. A null language or source counts as an empty one. Repeated
 rows get the same verdict. An empty table gives an empty result.
@@ -29,14 +30,14 @@ LEAST_WORDS, MOST_REPEATED, WINDOW = 20, 30, 8
 #: fixed values: white space between words, symbols
 BLANK, SYMBOLS = r"[ \x09-\x0D]+", "#*$%&|<>"
 CORE = 0.75
-STEPS = 3
-LEAST_ROWS = 200
+#: Concentration steps end when no core changes; counts of distance steps can make a core swing, so there is an end.
+STEPS = 20
+#: Rows that the estimate of the language weighs.
+PRIOR = 200
 #: Rows beyond this quantile of the chi-squared distribution are rejected.
 QUANTILE = 0.99999
 #: Least standard deviation of each entry of the vector.
 FLOOR = (0.12, 0.4, 0.03, 0.09, 0.08)
-#: Entries of which only the upward deviation is bad.
-UPWARD = (False, True, True, True, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -144,13 +145,11 @@ def chi_quantile(share: float, k: int) -> float:
     return low
 
 
-def distance(upward: bool = False) -> Column:
+def distance() -> Column:
     """Squared Mahalanobis distance of x0.. from m0.. by the factor l00, l10, l11, ... of the scatter."""
     z: list[Column] = []
     for i in range(P):
         d = F.col(f"x{i}") - F.col(f"m{i}")
-        if upward and UPWARD[i]:
-            d = F.greatest(d, F.lit(0.0))
         for j in range(i):
             d = d - F.col(f"l{i}{j}") * z[j]
         z.append(d / F.col(f"l{i}{i}"))
@@ -169,11 +168,11 @@ def factored(rows: DataFrame) -> DataFrame:
     return rows.select("lang", "pool", *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i in range(P) for j in range(i + 1)])
 
 
-def estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFrame:
+def estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS, moments_only: bool = False) -> DataFrame:
     """Centre and factored scatter of every ``lang`` and ``pool`` of rows x0, x1, ..., and ``gid``, a hash of both.
 
     Rows join on the hash and are grouped by the names: so every grouping combines its rows before a shuffle of its own,
-    and Spark may split a hot group in the join.
+    and Spark may split a hot group in the join. With ``moments_only``, the size of the core, centre and scatter as they are.
     """
     group = ["lang", "pool"]
     gid = F.xxhash64(*group).alias("gid")
@@ -193,6 +192,7 @@ def estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFr
     # rows of the core lie nearer than the rest, so their scatter is too small by this factor
     near = chi_quantile(core, P)
     widen = core / chi_squared(near, P + 2)
+    before = None
     for _ in range(steps):
         # distances in steps of a 16th of an octave: the counts of steps give the core exactly, ties included
         far = rows.join(model.drop(*group), "gid").withColumn("far", F.floor(16 * F.log2(distance() + 1e-6)).cast("int"))
@@ -208,27 +208,49 @@ def estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFr
         inside = far.join(reached, "gid").where("far <= limit")
         pairs = [(i, j) for i in range(P) for j in range(i + 1)]
         moments = inside.groupBy(*group).agg(
-            *[F.avg(f"x{i}").alias(f"m{i}") for i in range(P)], *[F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}{j}") for i, j in pairs]
+            F.count("*").alias("n"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(P)], *[F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}{j}") for i, j in pairs]
         )
         scatter = [
             (widen * F.col(f"c{i}{j}") + (F.lit(FLOOR[i] ** 2) if i == j else F.lit(0.0))).alias(f"s{i}{j}") for i, j in pairs
         ]
-        model = stored(factored(moments.select(*group, *[f"m{i}" for i in range(P)], *scatter)).select("*", gid), "rules-model")
-    return model
+        held = [F.col("n"), *[F.col(f"m{i}") for i in range(P)], *[F.col(f"s{i}{j}") for i, j in pairs]]
+        found = stored(moments.select(*group, "n", *[f"m{i}" for i in range(P)], *scatter), "rules-moments")
+        model = stored(factored(found).select("*", gid), "rules-model")
+        # sums of the same rows may differ in the last places
+        state = F.sum(F.xxhash64(*group, *[F.round(c, 9) for c in held]).cast("decimal(38)"))
+        state = found.agg(state.alias("h")).first()["h"]
+        if state == before:
+            break
+        before = state
+    return model if not moments_only else found
+
+
+def drawn(own: DataFrame, whole: DataFrame, core: float = CORE) -> DataFrame:
+    """Estimates of every ``pool`` drawn towards those of its language, the latter weighing as ``PRIOR`` rows."""
+    share = (F.col("n") / core) / (F.col("n") / core + PRIOR)
+    pairs = [(i, j) for i in range(P) for j in range(i + 1)]
+    names = [f"m{i}" for i in range(P)] + [f"s{i}{j}" for i, j in pairs]
+    both = own.join(whole.select(F.col("lang").alias("l"), *[F.col(c).alias(f"w_{c}") for c in names]), F.col("lang") == F.col("l"))
+    # where the centres differ, a mixture of both is wider by that
+    gap = {(i, j): share * (1 - share) * (F.col(f"m{i}") - F.col(f"w_m{i}")) * (F.col(f"m{j}") - F.col(f"w_m{j}")) for i, j in pairs}
+    mixed = {c: share * F.col(c) + (1 - share) * F.col(f"w_{c}") for c in names}
+    mixed |= {f"s{i}{j}": mixed[f"s{i}{j}"] + gap[i, j] for i, j in pairs}
+    return both.select("lang", "pool", *[v.alias(c) for c, v in mixed.items()])
 
 
 def judge(documents: DataFrame) -> DataFrame:
     """Statistics, ``base_failed`` and ``kept`` of every document."""
     rows = measured(documents).select("*", *[x.cast("double").alias(f"x{i}") for i, x in enumerate(vector())])
-    rows = stored(rows, "rules-rows")
-    sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    pool = F.when(F.col("n") >= LEAST_ROWS, F.concat(F.lit("="), "source")).otherwise("").alias("pool")
-    rows = rows.join(stored(sizes.select("lang", "source", pool), "rules-pools"), ["lang", "source"])
-    model = estimates(rows.where("n_words > 0").select("lang", "pool", *[f"x{i}" for i in range(P)]))
+    rows = stored(rows.withColumn("pool", F.concat(F.lit("="), "source")), "rules-rows")
+    # both estimates at once: every row is in the pool of its source and, without a name, in that of its language
+    pools = F.explode(F.array("pool", F.lit(""))).alias("pool")
+    found = estimates(rows.where("n_words > 0").select("lang", pools, *[f"x{i}" for i in range(P)]), moments_only=True)
+    model = factored(drawn(found.where("pool <> ''"), found.where("pool = ''")))
+    model = stored(model.select("*", F.xxhash64("lang", "pool").alias("gid")), "rules-model")
     limit = chi_quantile(QUANTILE, P)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     judged = rows.withColumn("gid", F.xxhash64("lang", "pool")).join(model.drop("lang", "pool"), "gid", "left").withColumn("base_failed", failed)
-    near = F.coalesce(distance(upward=True) <= limit, F.lit(False))
+    near = F.coalesce(distance() <= limit, F.lit(False))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & near).alias("kept"),

@@ -10,6 +10,8 @@ import numpy as np
 
 _ODD, _STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _MASK = (1 << 64) - 1
+#: Longer tables of powers, for very long texts, are made anew each time and not kept.
+_KEPT_POWERS = 1 << 19
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 SPACE = np.zeros(256, bool)
@@ -29,7 +31,9 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             p = np.full(size, b, np.uint64)
             p[0] = 1
             out.append(np.multiply.accumulate(p))
-        held = _tables[base] = (out[0], out[1])
+        held = (out[0], out[1])
+        if size <= _KEPT_POWERS:
+            _tables[base] = held
     return held
 
 

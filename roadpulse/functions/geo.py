@@ -196,11 +196,18 @@ def clip_length(path: Column, box: Column) -> Column:
     )
 
 
+def signed_area(ring: Column) -> Column:
+    """Area of a closed ring, negative if it runs clockwise."""
+    return F.aggregate(edges(ring), F.lit(0.0), lambda acc, e: acc + (e["x1"] * e["y2"] - e["x2"] * e["y1"])) / 2
+
+
 def _ring_area(ring: Column) -> Column:
-    twice = F.aggregate(
-        edges(ring), F.lit(0.0), lambda acc, e: acc + (e["x1"] * e["y2"] - e["x2"] * e["y1"])
-    )
-    return F.abs(twice) / 2
+    return F.abs(signed_area(ring))
+
+
+def oriented(rings: Column) -> Column:
+    """Rings of a member, the shell counter-clockwise and holes clockwise."""
+    return F.transform(rings, lambda r, i: F.when((signed_area(r) >= 0) == (i == 0), r).otherwise(F.reverse(r)))
 
 
 def part_area(rings: Column) -> Column:
@@ -373,46 +380,152 @@ def split_box(box: Column) -> Column:
     return let(box, halves)
 
 
-def _clip_side(ring: Column, axis: str, bound: Column, keep_low: bool) -> Column:
-    """Part of a closed ring on one side of an axis-parallel line."""
+def _chains(ring: Column, axis: str, bound: Column, keep_low: bool) -> Column:
+    """Parts of a closed ring on one side of an axis-parallel line, as ``array<struct<points,a,b>>``.
+
+    A chain begins and ends on the line, at the places ``a`` and ``b`` along it. Vertices on the line are on neither side, so
+    edges along it are left to the linking and leave no bridges. A ring that does not cross the line has no chains.
+    """
     other = "y" if axis == "x" else "x"
 
-    def kept(v: Column) -> Column:
-        return v <= bound if keep_low else v >= bound
-
-    def step(e: Column) -> Column:
-        a, b = e[f"{axis}1"], e[f"{axis}2"]
-        c, d = e[f"{other}1"], e[f"{other}2"]
-        cut = c + (d - c) * (bound - a) / F.nullif(b - a, F.lit(0.0))
-        values = {axis: bound, other: cut}
-        crossing = F.struct(values["x"].alias("x"), values["y"].alias("y"))
-        end = F.struct(e["x2"].alias("x"), e["y2"].alias("y"))
-        return (
-            F.when(kept(a) & kept(b), F.array(end))
-            .when(kept(a), F.array(crossing))
-            .when(kept(b), F.array(crossing, end))
-            .otherwise(F.slice(F.array(end), 1, 0))
+    def kept(p: Column) -> Column:
+        return p[axis] < bound if keep_low else p[axis] > bound
+
+    def of(r: Column) -> Column:
+        n = F.size(r) - 1
+
+        def crossing(i: Column) -> Column:
+            p, q = F.get(r, i), F.get(r, i + 1)
+            along = p[other] + (q[other] - p[other]) * (bound - p[axis]) / (q[axis] - p[axis])
+            values = {axis: bound, other: along}
+            return F.struct(values["x"].alias("x"), values["y"].alias("y"))
+
+        def linked(flags: Column) -> Column:
+            places = F.sequence(F.lit(0), n - 1)
+            enters = F.filter(places, lambda i: ~F.get(flags, i) & F.get(flags, i + 1))
+            leaves = F.filter(places, lambda i: F.get(flags, i) & ~F.get(flags, i + 1))
+
+            def build(t: Column) -> Column:
+                enters, leaves = t["enters"], t["leaves"]
+                # they alternate; the way out behind the k-th way in may lie beyond the end of the ring
+                behind = F.when(F.get(leaves, F.lit(0)) < F.get(enters, F.lit(0)), 1).otherwise(0)
+                rest = F.slice(r, F.lit(1), n)
+
+                def chain(i: Column, k: Column) -> Column:
+                    out = F.coalesce(F.get(leaves, k + behind), F.get(leaves, F.lit(0)) + n)
+                    ends = F.struct(crossing(i).alias("a"), crossing(out % n).alias("b"), out.alias("out"))
+                    return let(
+                        ends,
+                        lambda e: F.struct(
+                            F.concat(F.array(e["a"]), F.slice(t["twice"], i + 2, e["out"] - i), F.array(e["b"])).alias("points"),
+                            e["a"][other].alias("a"),
+                            e["b"][other].alias("b"),
+                        ),
+                    )
+
+                return F.transform(enters, chain)
+
+            rest = F.slice(r, F.lit(1), n)
+            return let(F.struct(enters.alias("enters"), leaves.alias("leaves"), F.concat(rest, rest).alias("twice")), build)
+
+        return let(F.transform(r, kept), linked)
+
+    return let(close_ring(ring), of)
+
+
+def _linked(chains: Column) -> Column:
+    """Closed rings of chains: the end of each is joined to the chain that begins at the other end of its gap on the line.
+
+    In order along the line, ends and beginnings bound the inside in pairs. Chains of one ring find the least number among
+    them by pointer doubling; the ring is then read off from there.
+    """
+
+    def of(c: Column) -> Column:
+        m = F.size(c)
+        marks = F.array_sort(
+            F.concat(
+                F.transform(c, lambda e, i: F.struct(e["a"].alias("t"), i.alias("id"), F.lit(0).alias("end"))),
+                F.transform(c, lambda e, i: F.struct(e["b"].alias("t"), i.alias("id"), F.lit(1).alias("end"))),
+            )
         )
 
-    return let(
-        F.flatten(F.transform(edges(ring), step)),
-        lambda out: F.when(F.size(out) == 0, out).otherwise(F.concat(out, F.slice(out, 1, 1))),
-    )
+        def mates(s: Column) -> Column:
+            pairs = F.transform(s, lambda e, k: F.struct(e["id"].alias("id"), e["end"].alias("end"), F.get(s, k + 1 - 2 * (k % 2)).alias("mate")))
+            ends = F.array_sort(F.filter(pairs, lambda e: e["end"] == 1))
+            return F.transform(ends, lambda e: F.when(e["mate"]["end"] == 0, e["mate"]["id"]).otherwise(e["id"]))
+
+        def rings(after: Column) -> Column:
+            start = F.struct(F.sequence(F.lit(0), m - 1).alias("least"), after.alias("next"))
+            rounds = F.sequence(F.lit(0), F.ceil(F.log2(m.cast("double"))).cast("int"))
+
+            def double(acc: Column, _: Column) -> Column:
+                return F.struct(
+                    F.zip_with(acc["least"], acc["next"], lambda v, j: F.least(v, F.get(acc["least"], j))).alias("least"),
+                    F.transform(acc["next"], lambda j: F.get(acc["next"], j)).alias("next"),
+                )
+
+            def read(root: Column) -> Column:
+                begin = F.struct(F.get(c, root)["points"].alias("points"), F.get(after, root).alias("at"))
+
+                def step(acc: Column, _: Column) -> Column:
+                    more = F.struct(F.concat(acc["points"], F.get(c, acc["at"])["points"]).alias("points"), F.get(after, acc["at"]).alias("at"))
+                    return F.when(acc["at"] == root, acc).otherwise(more)
+
+                return F.aggregate(F.sequence(F.lit(1), m), begin, step, lambda acc: acc["points"])
+
+            least = F.aggregate(rounds, start, double, lambda acc: acc["least"])
+            roots = let(least, lambda v: F.filter(v, lambda x, i: x == i))
+            return F.transform(roots, read)
+
+        return let(let(marks, mates), rings)
+
+    return let(chains, of)
 
 
-def clip_polygon(parts: Column, box: Column) -> Column:
-    """Polygon cut to a box; a concave ring may keep bridges of zero width (its area stays right)."""
+def tidy(ring: Column) -> Column:
+    """A closed ring without repeated points."""
 
-    def clip(b: Column) -> Column:
-        sides = [("x", b["x0"], False), ("x", b["x1"], True), ("y", b["y0"], False), ("y", b["y1"], True)]
+    def of(r: Column) -> Column:
+        return F.filter(r, lambda p, i: (i == 0) | (p != F.get(r, F.greatest(i - 1, F.lit(0)))))
 
-        def ring(points: Column) -> Column:
-            return reduce(lambda r, s: _clip_side(r, *s), sides, points)
+    return let(close_ring(ring), of)
 
-        cut = F.transform(parts, lambda rs: F.filter(F.transform(rs, ring), lambda r: F.size(r) >= 4))
-        return F.filter(cut, lambda rs: F.size(rs) > 0)
 
-    return let(box, clip)
+def _half(rings: Column, axis: str, bound: Column, keep_low: bool) -> Column:
+    """Member polygons of one member on one side of an axis-parallel line."""
+
+    def of(t: Column) -> Column:
+        first = F.get(F.get(t["rings"], F.lit(0)), F.lit(0))[axis]
+        within = first < bound if keep_low else first > bound
+        none = F.slice(F.array(t["rings"]), 1, 0)
+        whole = F.when(within, F.array(t["rings"])).otherwise(none)
+
+        def side(r: Column) -> Column:
+            return F.forall(r, lambda p: p[axis] < bound if keep_low else p[axis] > bound)
+
+        holes = F.filter(F.slice(t["rings"], F.lit(2), F.size(t["rings"])), side)
+        shells = F.filter(F.transform(_linked(t["chains"]), tidy), lambda r: F.size(r) >= 4)
+
+        def member(s: Column) -> Column:
+            def own(es: Column) -> Column:
+                return F.filter(holes, lambda h: point_inside(F.get(h, F.lit(0))["x"], F.get(h, F.lit(0))["y"], es))
+
+            return F.concat(F.array(s), let(edges(s), own))
+
+        return F.when(F.size(t["chains"]) == 0, whole).otherwise(F.transform(shells, member))
+
+    chains = F.flatten(F.transform(rings, lambda r: _chains(r, axis, bound, keep_low)))
+    return let(F.struct(rings.alias("rings"), chains.alias("chains")), of)
+
+
+def clip_side(parts: Column, axis: str, bound: Column, keep_low: bool) -> Column:
+    """Polygon cut along the line ``axis = bound``; a concave ring gives as many members as it falls into.
+
+    Rings that cross the line become chains, chains are linked into rings along the line, and holes that do not cross it
+    go to the new shell around them. Pieces without area are left out. Four sides make a box: ``spatial.clip_boxes``.
+    """
+    cut = let(parts, lambda held: F.flatten(F.transform(F.transform(held, oriented), lambda rings: _half(rings, axis, bound, keep_low))))
+    return F.filter(cut, lambda rings: part_area(rings) > 0)
 
 
 # -- predicates ---------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
-from roadpulse.operators import ranks, spatial
+from roadpulse.operators import ranks, spatial, territory
 from roadpulse.operators.spatial import Lattice, Quad, cell_id, line_cells
 from roadpulse.session import broadcast_if_small, cut
 
@@ -265,10 +265,7 @@ def katana_area(shapes: DataFrame, max_km2: float, max_depth: int = 250, key: st
         finished.append(sized.where(~large) if depth < max_depth else sized)
         if depth == max_depth or sized.where(large).isEmpty():
             break
-        box = geo.bbox(geo.polygon_points(F.col("parts")))
-        halves = sized.where(large).select(key, "parts", F.explode(geo.split_box(box)).alias("half"))
-        pieces = halves.select(key, geo.clip_polygon(F.col("parts"), F.col("half")).alias("parts"))
-        work = pieces.where(F.size("parts") > 0)
+        work = territory.halves(sized.where(large).select(key, "parts")).select(key, "parts")
     out = finished[0]
     for level in finished[1:]:
         out = out.unionByName(level)

@@ -240,6 +240,14 @@ def inside_by_cell(x: Column, y: Column, cx: Column, cy: Column, centre: Column,
     return F.aggregate(edges, centre, lambda state, e: state != flips(e))
 
 
+def clip_boxes(df: DataFrame, parts: str, box: Column) -> DataFrame:
+    """``df`` with the polygon column ``parts`` cut to a box ``struct<x0,y0,x1,y1>`` of its row, a side at a time."""
+    out = df.withColumn("_box", box)
+    for axis, side, keep_low in (("x", "x0", False), ("x", "x1", True), ("y", "y0", False), ("y", "y1", True)):
+        out = out.withColumn(parts, geo.clip_side(F.col(parts), axis, F.col("_box")[side], keep_low))
+    return out.drop("_box")
+
+
 def join_polygons(
     lines: DataFrame,
     regions: DataFrame,

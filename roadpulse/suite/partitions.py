@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
-from roadpulse.operators import density, stats
+from roadpulse.operators import density, stats, territory
 from roadpulse.session import cut
 from roadpulse.suite import views
 from roadpulse.suite.registry import query, rounded
@@ -92,6 +92,84 @@ def _(spark, sf):
         "lines", "jams", "share_jams"))
 
 
+# Two territories with right angles: a concave one with a hole that the cuts run through, and one of two members.
+TERRITORY = {
+    "bay": "POLYGON ((0 0, 7 0, 7 3, 3 3, 3 6, 7 6, 7 10, 0 10, 0 0), (0.5 4, 2 4, 2 5.25, 0.5 5.25, 0.5 4))",
+    "isles": "MULTIPOLYGON (((7.5 0, 10 0, 10 4, 7.5 4, 7.5 0)), ((8 5, 10 5, 10 10, 8 10, 8 5)))",
+}
+#: The same as boxes that touch each other.
+_BOXES = {
+    "bay": [(0, 0, 7, 3), (0, 3, 3, 4), (0, 4, 0.5, 5.25), (2, 4, 3, 5.25), (0, 5.25, 3, 6), (0, 6, 7, 10)],
+    "isles": [(7.5, 0, 10, 4), (8, 5, 10, 10)],
+}
+
+
+def _territory_sql(weight, dense, depth):
+    """All halves of all pieces as lists of boxes, each counted on its own against every line; then the first not too dense."""
+    roots = ", ".join(
+        f"('{k}', [{', '.join('{' + ', '.join(f"'{n}': {v}::double" for n, v in zip(('a', 'b', 'c', 'd'), box)) + '}' for box in boxes)}])" for k, boxes in _BOXES.items()
+    )
+    ends = {n: f"list_{f}(list_transform(q, lambda r: r.{n}))" for n, f in (("a", "min"), ("b", "min"), ("c", "max"), ("d", "max"))}
+    interval = {
+        axis: (
+            f"CASE WHEN p{axis} = q{axis} THEN (CASE WHEN p{axis} BETWEEN r.{lo} AND r.{hi} THEN 0 ELSE 2 END) ELSE least((r.{lo} - p{axis}) / (q{axis} - p{axis}), (r.{hi} - p{axis}) / (q{axis} - p{axis})) END",
+            f"CASE WHEN p{axis} = q{axis} THEN 1 ELSE greatest((r.{lo} - p{axis}) / (q{axis} - p{axis}), (r.{hi} - p{axis}) / (q{axis} - p{axis})) END",
+        )
+        for axis, lo, hi in (("x", "a", "c"), ("y", "b", "d"))
+    }
+    meets = f"greatest(0, {interval['x'][0]}, {interval['y'][0]}) <= least(1, {interval['x'][1]}, {interval['y'][1]})"
+    return f"""
+with recursive {LINES},
+seg as (SELECT line, px, py, qx, qy FROM pieces GROUP BY ALL),
+measured as (SELECT line_wkt, count_lines, sum(sqrt((qx - px) ** 2 + (qy - py) ** 2)) AS len FROM lines JOIN seg ON line = line_wkt GROUP BY ALL),
+tot as (SELECT sum(count_lines) AS total FROM lines),
+tree(root, piece, depth, q) as (
+  SELECT root, '', 0, q FROM (VALUES {roots}) AS t(root, q)
+  UNION ALL
+  SELECT root, piece || b, depth + 1, list_filter(list_transform(q, lambda r: CASE WHEN tall
+      THEN {{'a': r.a, 'b': CASE WHEN b = 0 THEN r.b ELSE greatest(r.b, my) END, 'c': r.c, 'd': CASE WHEN b = 0 THEN least(r.d, my) ELSE r.d END}}
+      ELSE {{'a': CASE WHEN b = 0 THEN r.a ELSE greatest(r.a, mx) END, 'b': r.b, 'c': CASE WHEN b = 0 THEN least(r.c, mx) ELSE r.c END, 'd': r.d}} END),
+    lambda r: r.c > r.a AND r.d > r.b)
+  FROM (SELECT *, y1 - y0 >= x1 - x0 AS tall, x0 + (x1 - x0) / 2 AS mx, y0 + (y1 - y0) / 2 AS my
+    FROM (SELECT *, {ends['a']} AS x0, {ends['b']} AS y0, {ends['c']} AS x1, {ends['d']} AS y1 FROM tree WHERE depth < {depth} AND len(q) > 0)), (VALUES (0), (1)) AS s(b)),
+node as (SELECT * FROM tree WHERE len(q) > 0),
+met as (SELECT DISTINCT root, piece, line FROM (SELECT root, piece, unnest(q) AS r FROM node), seg WHERE {meets}),
+sums as (SELECT root, piece, sum({weight}) AS value, count(*) AS n FROM met JOIN measured ON line_wkt = line GROUP BY 1, 2),
+judged as (SELECT node.*, coalesce(value, 0) AS value, coalesce(n, 0) AS n, {dense.format(v="coalesce(value, 0)")} AS dense
+  FROM node LEFT JOIN sums USING (root, piece), tot)
+SELECT root, piece, depth::int AS depth, round({ends['a']}, 6) AS x0, round({ends['b']}, 6) AS y0, round({ends['c']}, 6) AS x1, round({ends['d']}, 6) AS y1,
+  round(list_sum(list_transform(q, lambda r: (r.c - r.a) * (r.d - r.b))), 6) AS area, n::bigint AS lines, round(value, 6)::double AS value
+FROM judged j WHERE (NOT dense OR depth = {depth})
+  AND NOT EXISTS (SELECT 1 FROM judged u WHERE u.root = j.root AND u.depth < j.depth AND starts_with(j.piece, u.piece) AND NOT u.dense)"""
+
+
+def _territory(spark, sf, weight, dense, depth, **options):
+    roots = spark.createDataFrame(list(TERRITORY.items()), "root string, wkt string")
+    found = territory.split(roots, lines(spark, sf), weight, dense, depth, grid=views.GRID, **options)
+    parts = found.withColumn("parts", geo.parse_polygon(F.col("geo_id"))).withColumn("b", geo.bbox(geo.polygon_points(F.col("parts"))))
+    whole = parts.groupBy("root", "piece", "depth", "lines", "value").agg(
+        F.min("b.x0").alias("x0"), F.min("b.y0").alias("y0"), F.max("b.x1").alias("x1"), F.max("b.y1").alias("y1"), F.sum(geo.area(F.col("parts"))).alias("area")
+    )
+    return rounded(whole.withColumn("value", F.col("value").cast("double")))
+
+
+@query("den05_territory", "jams pieces", _territory_sql("count_lines", "round({v} / total, 4) > 0.05", 5))
+def _(spark, sf):
+    total = lines(spark, sf).agg(F.sum("count_lines")).scalar()
+    return _territory(spark, sf, F.col("count_lines"), lambda v: F.round(v / total, 4) > 0.05, 5)
+
+
+@query("den05_lines_two_stage", "jams pieces", _territory_sql("1", "{v} > 90", 5))
+def _(spark, sf):
+    """At most ninety lines a piece; pieces that clearly hold more are cut by the sums of coarse cells."""
+    return _territory(spark, sf, F.lit(1), lambda v: v > 90, 5, window=40.0, resolution=8)
+
+
+@query("den05_length", "jams pieces", _territory_sql("len", "{v} > 60", 5))
+def _(spark, sf):
+    return _territory(spark, sf, geo.line_length(geo.parse_line(F.col("line_wkt"))), lambda v: v > 60, 5)
+
+
 @query("den01_line_counts", "jams", f"""
 SELECT line AS line_wkt, count(*) AS count_lines FROM jams WHERE datetime BETWEEN '20240105' AND '20240120' GROUP BY 1""")
 def _(spark, sf):

@@ -216,12 +216,9 @@ def _(spark, sf):
     jams = _triangles(spark, sf).select(F.col("event_id").cast("string").alias("id"), "parts")
     far = 100.0
     quarters = [(-far, -far, 4.9, 5.2), (4.9, -far, far, 5.2), (-far, 5.2, 4.9, far), (4.9, 5.2, far, far)]
-    areas = [
-        geo.area(geo.clip_polygon(F.col("parts"), F.struct(*[F.lit(v).alias(k) for k, v in zip(("x0", "y0", "x1", "y1"), q)])))
-        for q in quarters
-    ]
-    total = areas[0] + areas[1] + areas[2] + areas[3]
-    return rounded(jams.unionByName(shapes).select("id", total.alias("area")))
+    every = jams.unionByName(shapes).withColumn("q", F.explode(F.array(*[F.array(*map(F.lit, q)) for q in quarters])))
+    cut = spatial.clip_boxes(every, "parts", F.struct(*[F.col("q")[i].alias(k) for i, k in enumerate(("x0", "y0", "x1", "y1"))]))
+    return rounded(cut.groupBy("id").agg(F.sum(geo.area(F.col("parts"))).alias("area")))
 
 
 def _zones(spark, sf):

@@ -3,10 +3,11 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
-from roadpulse.operators import density, grid, spatial
+from roadpulse.operators import density, grid, spatial, territory
 from roadpulse.operators.spatial import Quad
 from roadpulse.plans import regions
 
@@ -133,11 +134,95 @@ def test_clip_polygon_pieces_add_up(spark):
     ring = star(7, 5, 5, 1.5, 4.7)
     text = "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in ring) + "))"
     df = spark.createDataFrame([(text,)], "t string").select(geo.parse_polygon(F.col("t")).alias("p"))
-    box = geo.bbox(geo.polygon_points(F.col("p")))
-    halves = df.select("p", F.explode(geo.split_box(box)).alias("h")).select(geo.area(geo.clip_polygon(F.col("p"), F.col("h"))).alias("a"))
+    halves = territory.halves(df.withColumnRenamed("p", "parts")).select(geo.area(F.col("parts")).alias("a"))
     assert math.isclose(sum(r["a"] for r in halves.collect()), df.select(geo.area(F.col("p"))).first()[0], rel_tol=1e-9)
 
 
+def _pixels(inside, box, n):
+    """Pixel centres of a shape inside a box, and how many pieces they form (pixels that share a corner are one)."""
+    x0, y0, x1, y1 = box
+    on = {(i, j) for i in range(n) for j in range(n) if inside(x0 + (i + 0.5) * (x1 - x0) / n, y0 + (j + 0.5) * (y1 - y0) / n)}
+    left, pieces = set(on), 0
+    while left:
+        size, todo = 0, [left.pop()]
+        while todo:
+            i, j = todo.pop()
+            size += 1
+            for near in ((i + a, j + b) for a in (-1, 0, 1) for b in (-1, 0, 1)):
+                if near in left:
+                    left.remove(near)
+                    todo.append(near)
+        pieces += size > 4  # the tip of a spike may fall apart into pixels
+    return len(on) * (x1 - x0) * (y1 - y0) / n / n, pieces
+
+
+def _even_odd(rings):
+    def inside(x, y):
+        hits = 0
+        for ring in rings:
+            for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+                hits += (ay > y) != (by > y) and x < ax + (bx - ax) * (y - ay) / (by - ay)
+        return hits % 2 == 1
+
+    return inside
+
+
+def _rings_text(rings):
+    return ", ".join("(" + ", ".join(f"{x!r} {y!r}" for x, y in r) + ")" for r in rings)
+
+
+def test_clip_gives_the_pieces_a_pixel_count_finds(spark):
+    comb = [(0.0, 0.0), (10.0, 0.0), (10.0, 2.0), (2.0, 2.0), (2.0, 4.0), (10.0, 4.0), (10.0, 6.0), (2.0, 6.0), (2.0, 8.0), (10.0, 8.0), (10.0, 10.0), (0.0, 10.0), (0.0, 0.0)]
+    hole = [(4.0, 4.4), (8.0, 4.4), (8.0, 5.6), (4.0, 5.6), (4.0, 4.4)]
+    shapes = [[comb], [comb, hole], [comb[::-1], hole], *([star(k, 5.0, 5.0, 2.6, 5.0)] for k in range(5, 15)), [star(9, 5.0, 5.0, 3.0, 5.0), star(5, 5.0, 5.0, 0.6, 1.2)]]
+    boxes = [(-1.0, -1.0, 11.0, 11.0), (3.0, 0.0, 12.0, 10.0), (5.0, 1.0, 7.0, 9.0), (1.0, 3.0, 6.0, 5.0), (0.3, 0.2, 4.7, 9.6), (20.0, 0.0, 30.0, 10.0)]
+    rows = [(k, f"POLYGON ({_rings_text(s)})", *b) for k, s in enumerate(shapes) for b in boxes]
+    df = spark.createDataFrame(rows, "k int, t string, x0 double, y0 double, x1 double, y1 double").withColumn("parts", geo.parse_polygon(F.col("t")))
+    cut = spatial.clip_boxes(df, "parts", F.struct("x0", "y0", "x1", "y1")).select("*", geo.area(F.col("parts")).alias("a"), F.size("parts").alias("n"), geo.valid(F.col("parts")).alias("ok"))
+    for r in cut.collect():
+        box = (r["x0"], r["y0"], r["x1"], r["y1"])
+        area, pieces = _pixels(_even_odd(shapes[r["k"]]), box, 120)
+        assert abs(r["a"] - area) < 0.02 * (box[2] - box[0]) * (box[3] - box[1]), (r["k"], box)
+        assert r["n"] == pieces and (r["ok"] or not r["n"]), (r["k"], box)
+
+
+def _recursion(rings, lines, most, depth):
+    """Boxes of the final pieces of a shape, by pixels of 1/8 that the shape with right angles covers whole."""
+    inside, n = _even_odd(rings), 80
+    every = {(i, j) for i in range(n) for j in range(n) if inside((i + 0.5) / 8, (j + 0.5) / 8)}
+
+    def cut(held, d):
+        xs, ys = [i for i, _ in held], [j for _, j in held]
+        x0, y0, x1, y1 = min(xs) / 8, min(ys) / 8, (max(xs) + 1) / 8, (max(ys) + 1) / 8
+        count = sum((int(x * 8), int(y * 8)) in held for x, y in lines)
+        if count <= most or d == depth:
+            return [(d, x0, y0, x1, y1, count, len(held) / 64)]
+        out = []
+        for low in (True, False):
+            half = {(i, j) for i, j in held if ((j + 0.5) / 8 < (y0 + y1) / 2 if y1 - y0 >= x1 - x0 else (i + 0.5) / 8 < (x0 + x1) / 2) == low}
+            out += cut(half, d + 1) if half else []
+        return out
+
+    return sorted(cut(every, 0))
+
+
+@pytest.mark.parametrize("window", [None, 1000.0])
+def test_territory_with_a_hole(spark, window):
+    r = random.Random(4)
+    shell = [(0.0, 0.0), (8.0, 0.0), (8.0, 2.0), (2.0, 2.0), (2.0, 6.0), (8.0, 6.0), (8.0, 8.0), (0.0, 8.0), (0.0, 0.0)]
+    hole = [(0.5, 3.0), (1.5, 3.0), (1.5, 5.0), (0.5, 5.0), (0.5, 3.0)]
+    points = [(r.uniform(0, 9), r.choice([r.uniform(0, 2), r.uniform(0, 9)])) for _ in range(300)]
+    lines = spark.createDataFrame([(f"LINESTRING ({x!r} {y!r}, {x!r} {y!r})",) for x, y in points], "line_wkt string")
+    roots = spark.createDataFrame([("a", f"POLYGON ({_rings_text([shell, hole])})"), ("empty", "POLYGON ((40 40, 41 40, 41 41, 40 40))")], "root string, wkt string")
+    found = territory.split(roots, lines, F.lit(1), lambda v: v > 12, 4, window, Quad(0.0, 0.0, 64.0), 5)
+    parts = found.withColumn("parts", geo.parse_polygon(F.col("geo_id"))).withColumn("b", geo.bbox(geo.polygon_points(F.col("parts"))))
+    whole = parts.groupBy("root", "piece", "depth", "lines").agg(*[f(f"b.{c}").alias(c) for c, f in (("x0", F.min), ("y0", F.min), ("x1", F.max), ("y1", F.max))], F.sum(geo.area(F.col("parts"))).alias("a"))
+    got = sorted(tuple(x[c] for c in ("depth", "x0", "y0", "x1", "y1", "lines", "a")) for x in whole.where("root = 'a'").collect())
+    assert got == _recursion([shell, hole], points, 12, 4)
+    assert [(x["depth"], x["lines"]) for x in found.where("root = 'empty'").collect()] == [(0, 0)]
+    assert parts.where(~geo.valid(F.col("parts"))).count() == 0
+
+
 def test_shrink_to_text(spark):
     ring = star(60, 5, 5, 4.0, 4.7)
     text = "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in ring) + "))"

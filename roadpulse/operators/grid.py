@@ -91,46 +91,53 @@ def city_cells(
     )
 
 
-def assign_coarse(segments: DataFrame, cells: DataFrame, grid: Quad, resolution: int, line: str = "line", key: str = "region_slug") -> DataFrame:
+def shares(rows: DataFrame, grid: Quad, resolution: int, line: str = "line") -> DataFrame:
+    """line, ix, iy, ``share``: what part of each distinct line lies in each cell it runs through; parts add up to 1.
+
+    The one table that every allocation of the same lines is made of: a report, an hour or a day of a line needs no
+    geometry any more. A line of no length has all of itself in the cell that holds it.
+    """
+    pieces = edge_cells(_pieces(rows.select(line).distinct()), "_e", grid, resolution)
+    part = F.col("_due") * geo.box_share(F.col("_e"), *grid.box(F.col("ix"), F.col("iy"), resolution))
+    return pieces.withColumn("_part", part).where("_part > 0").groupBy(line, "ix", "iy").agg(F.sum("_part").alias("share"))
+
+
+def assign_coarse(
+    segments: DataFrame, cells: DataFrame, grid: Quad, resolution: int, line: str = "line", key: str = "region_slug",
+    parts: DataFrame | None = None, finer: int = 0,
+) -> DataFrame:
     """Segments paired with the coarse cells of their region they run through.
 
-    The cells a line touches come from arithmetic inside the row, so this is an equi-join on cell
-    id; a segment crossing k cells gives k rows.
+    The cells of a distinct line come from arithmetic, or from ``parts``, its ``shares`` in cells ``finer`` levels down;
+    they join segments by line, an exchange in which Spark splits hot lines. A segment crossing k cells gives k rows.
     """
-    touched = segments.withColumn("_c", F.explode(line_cells(geo.parse_line(F.col(line)), grid, resolution)))
-    ids = touched.withColumn("id_parent", cell_id(resolution, F.col("_c")["ix"], F.col("_c")["iy"])).drop("_c")
+    if parts is None:
+        found = segments.select(line).distinct().withColumn("_c", F.explode(line_cells(geo.parse_line(F.col(line)), grid, resolution)))
+        ids = found.select(line, cell_id(resolution, F.col("_c")["ix"], F.col("_c")["iy"]).alias("id_parent"))
+    else:
+        ids = parts.select(line, cell_id(resolution, F.shiftright("ix", finer), F.shiftright("iy", finer)).alias("id_parent")).distinct()
     known = cells.where(F.col("resolution") == resolution).select(key, F.col("id").alias("id_parent")).distinct()
-    return ids.join(broadcast_if_small(known, MAX_CELLS), [key, "id_parent"])
+    return segments.join(ids, line).join(broadcast_if_small(known, MAX_CELLS), [key, "id_parent"])
 
 
-def _pieces(rows: DataFrame, line: str, value: str) -> DataFrame:
-    """One row per straight piece, with the value due to a full share of it."""
+def _pieces(lines: DataFrame, line: str = "line") -> DataFrame:
+    """One row per straight piece of a line, with the share of the line it is due in full."""
     path = geo.parse_line(F.col(line))
-    measured = rows.withColumn("_edges", geo.edges(path)).withColumn("_length", geo.line_length(path))
+    measured = lines.withColumn("_edges", geo.edges(path)).withColumn("_length", geo.line_length(path))
     pieces = measured.withColumn("_n", F.size("_edges")).withColumn("_e", F.explode("_edges")).drop("_edges")
     due = F.when(F.col("_length") > 0, geo.segment_length(F.col("_e")) / F.nullif("_length", F.lit(0.0))).otherwise(1 / F.col("_n"))
-    return pieces.withColumn("_due", F.col(value) * due).drop("_n", "_length")
+    return pieces.withColumn("_due", due).drop("_n", "_length")
 
 
 def allocate(
     coarse: DataFrame, cells: DataFrame, grid: Quad, resolution: int, line: str = "line", key: str = "region_slug",
-    value: str = "tci", time: Sequence[str] = TIME,
+    value: str = "tci", time: Sequence[str] = TIME, parts: DataFrame | None = None,
 ) -> DataFrame:
-    """Value per fine cell: sum of value x length inside / length of line.
-
-    A line of no length gives its value to the cell that holds it.
-    """
-    pieces = edge_cells(_pieces(coarse.select(key, "id_parent", line, value, *time), line, value), "_e", grid, resolution)
-    ix, iy = F.col("ix"), F.col("iy")
-    share = geo.box_share(F.col("_e"), *grid.box(ix, iy, resolution))
-    fine = cell_id(resolution, ix, iy)
+    """Value per fine cell: sum of value x share of the line inside. ``parts`` has the ``shares``, if they are known."""
+    table = shares(coarse, grid, resolution, line) if parts is None else parts
+    placed = coarse.select(key, "id_parent", line, value, *time).join(table, line).withColumn("grid_id", cell_id(resolution, F.col("ix"), F.col("iy")))
     parent = F.get(F.split("id_parent", "-"), F.lit(0)).cast("int")
-    placed = (
-        pieces.withColumn("_v", F.col("_due") * share)
-        .where(F.col("_v") > 0)
-        .withColumn("grid_id", fine)
-        .where(F.col("id_parent") == _parent_of(fine, parent))
-    )
+    placed = placed.withColumn("_v", F.col(value) * F.col("share")).where(F.col("_v") > 0).where(F.col("id_parent") == _parent_of(F.col("grid_id"), parent))
     known = cells.where(F.col("resolution") == resolution).select(key, F.col("id").alias("grid_id")).distinct()
     inside = placed.join(broadcast_if_small(known, MAX_CELLS), [key, "grid_id"], "left_semi")
     return inside.groupBy(key, "grid_id", *time).agg(F.sum("_v").alias(value))
@@ -144,11 +151,10 @@ def _parent_of(cell: Column, resolution: Column) -> Column:
     return F.concat_ws("-", resolution.cast("string"), right(ix).cast("string"), right(iy).cast("string"))
 
 
-def allocate_cities(
-    coarse: DataFrame, cells: DataFrame, grid: Quad, tile_resolution: int, line: str = "line", key: str = "region_slug",
-    value: str = "tci", time: Sequence[str] = TIME,
+def city_shares(
+    rows: DataFrame, cells: DataFrame, grid: Quad, tile_resolution: int, line: str = "line", key: str = "region_slug"
 ) -> DataFrame:
-    """Value per convex city under the same coarse cell, by length inside the hull.
+    """line, region, id, id_parent, ``share``: what part of each distinct line lies in each city under each coarse cell.
 
     Hulls are keyed by small tiles, so lines meet only the cities of the tiles they cross. In a
     tile wholly inside a hull the piece counts fully; elsewhere it is cut by the hull's edges.
@@ -160,17 +166,28 @@ def allocate_cities(
         polygon_index(shapes, grid, tile_resolution, [key, "id"], "wkt")
         .select(key, "id", "ix", "iy", (F.size("edges") == 0).alias("_full"))
         .join(hulls, [key, "id"])
-        .join(cities.select(key, "id", "id_parent"), [key, "id"])
     )
-    pieces = edge_cells(_pieces(coarse.select(key, "id_parent", line, value, *time), line, value), "_e", grid, tile_resolution)
+    pieces = edge_cells(_pieces(rows.select(line).distinct(), line), "_e", grid, tile_resolution)
     e = F.col("_e")
     box = grid.box(F.col("ix"), F.col("iy"), tile_resolution)
     part = geo.box_share(e, *box)
     inside = F.when(F.col("_full"), F.lit(1.0)).otherwise(geo.convex_share(_cut_to_box(e, box), F.col("_hull")))
     index = broadcast_if_small(index, MAX_CELLS)
-    placed = pieces.withColumn("_part", part).where("_part > 0").join(index, [key, "id_parent", "ix", "iy"])
+    placed = pieces.withColumn("_part", part).where("_part > 0").join(index, ["ix", "iy"])
+    found = placed.withColumn("_part", F.col("_due") * F.col("_part") * inside).where("_part > 0")
+    found = found.groupBy(line, key, "id").agg(F.sum("_part").alias("share"))
+    return found.join(broadcast_if_small(cities.select(key, "id", "id_parent"), MAX_CELLS), [key, "id"])
+
+
+def allocate_cities(
+    coarse: DataFrame, cells: DataFrame, grid: Quad, tile_resolution: int, line: str = "line", key: str = "region_slug",
+    value: str = "tci", time: Sequence[str] = TIME, parts: DataFrame | None = None,
+) -> DataFrame:
+    """Value per convex city under the same coarse cell, by length inside the hull; ``parts`` has the ``city_shares``."""
+    table = city_shares(coarse, cells, grid, tile_resolution, line, key) if parts is None else parts
+    placed = coarse.select(key, "id_parent", line, value, *time).join(table, [line, key, "id_parent"])
     return (
-        placed.withColumn("_v", F.col("_due") * F.col("_part") * inside)
+        placed.withColumn("_v", F.col(value) * F.col("share"))
         .where("_v > 0")
         .groupBy(key, F.col("id").alias("grid_id"), *time)
         .agg(F.sum("_v").alias(value))
@@ -191,5 +208,5 @@ def _cut_to_box(e: Column, box: Sequence[Column]) -> Column:
 
 
 __all__ = [
-    "allocate", "allocate_cities", "assign_coarse", "batch", "city_cells", "cover", "parent_id", "region_resolutions",
+    "allocate", "allocate_cities", "assign_coarse", "batch", "city_cells", "city_shares", "cover", "parent_id", "region_resolutions", "shares",
 ]

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
+from roadpulse.session import cut
 
 BROADCAST_EDGES = 500_000
 SALTS = 32
@@ -248,7 +249,7 @@ def clip_boxes(df: DataFrame, parts: str, box: Column) -> DataFrame:
     return out.drop("_box")
 
 
-def join_polygons(
+def line_polygons(
     lines: DataFrame,
     regions: DataFrame,
     line: str = "line",
@@ -256,33 +257,33 @@ def join_polygons(
     wkt: str = "region_shapefile_wkt",
     grid: Quad = Quad(),
     resolution: int = 12,
-    distinct_on: Sequence[str] | None = None,
     max_edges: int = BROADCAST_EDGES,
 ) -> DataFrame:
-    """Rows of ``lines`` paired with every polygon their line meets.
+    """Distinct pairs of a distinct line and a polygon it meets.
 
-    A row is carried once per cell near its line (one or two for a jam). It meets a polygon if its
-    first vertex is inside, tested in that vertex's cell, or if it crosses a ring edge, found in a
-    cell both pass. A row may be paired with one polygon through several cells: ``distinct_on``
-    names the columns that identify a row and removes those copies; leave it out only if a later
-    step (the slot dedup) removes them anyway.
+    A line is carried once per cell near it (one or two for a jam). It meets a polygon if its first vertex is inside,
+    tested in that vertex's cell, or if it crosses a ring edge, found in a cell both pass.
 
-    The polygon side is broadcast while its edge total is at most ``max_edges``; above that both
-    sides shuffle by cell, hot cells being spread over salts.
+    The cells of the polygons are written once; they are broadcast while their edge total is at most ``max_edges``; above
+    that both sides shuffle by cell, hot cells being spread over salts.
     """
-    columns = lines.columns
-    index = polygon_index(regions, grid, resolution, key, wkt)
+    index = cut(polygon_index(regions, grid, resolution, key, wkt))
     held = index.agg(F.sum(F.size("edges") + 1).alias("n")).first()["n"] or 0
-    pieces = lines.withColumn("_edges", geo.edges(geo.parse_line(F.col(line)))).withColumn(
-        "_c", F.explode(near_cells(F.col("_edges"), grid, resolution))
-    )
-    pieces = pieces.withColumn("ix", F.col("_c.ix")).withColumn("iy", F.col("_c.iy")).drop("_c")
+    found = lines.select(line).distinct().withColumn("_edges", geo.edges(geo.parse_line(F.col(line))))
+    box = geo.bbox(F.flatten(F.transform("_edges", lambda e: F.array(*[F.struct(e[f"x{k}"].alias("x"), e[f"y{k}"].alias("y")) for k in (1, 2)]))))
+    # most lines stay inside one cell: plain comparisons find it, and only the others are walked cell by cell
+    ends = found.withColumn("_b", box)
+    left, right = grid.ix(F.col("_b.x0"), resolution), grid.ix(F.col("_b.x1"), resolution)
+    low, high = grid.iy(F.col("_b.y0"), resolution), grid.iy(F.col("_b.y1"), resolution)
+    single = F.array(F.struct(left.alias("ix"), low.alias("iy")))
+    cells = F.when((left == right) & (low == high), single).otherwise(near_cells(F.col("_edges"), grid, resolution))
+    pieces = ends.withColumn("_c", F.explode(cells)).select(line, "_edges", "_c.ix", "_c.iy")
     on = ["ix", "iy"]
     if held <= max_edges:
         index = F.broadcast(index)
     else:
         salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-        pieces = pieces.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)))
+        pieces = pieces.withColumn("_salt", F.pmod(F.xxhash64(line), F.lit(SALTS)))
         index = index.withColumn("_salt", F.explode(salts))
         on = [*on, "_salt"]
     ix, iy, first = F.col("ix"), F.col("iy"), F.get("_edges", F.lit(0))
@@ -293,10 +294,19 @@ def join_polygons(
     crossing = (F.size("edges") > 0) & F.exists(
         "_edges", lambda s: F.exists("edges", lambda r: geo.segments_meet(s, r))
     )
-    found = pieces.join(index, on).where((own & within) | crossing).select(*columns, key)
-    if distinct_on is None:
-        return found
-    return found.dropDuplicates([*distinct_on, key])
+    return pieces.join(index, on).where((own & within) | crossing).select(line, key).distinct()
+
+
+def join_polygons(
+    rows: DataFrame, regions: DataFrame, line: str = "line", key: str = "region_slug", pairs: DataFrame | None = None, **options
+) -> DataFrame:
+    """Rows paired with every polygon their line meets, each pair once.
+
+    A feed repeats its lines, one of them perhaps in a third of all rows: each is tested once, or not at all if ``pairs``
+    has its polygons already (``lines.dictionary``). The join back is by line, an exchange in which Spark splits hot lines.
+    """
+    known = line_polygons(rows, regions, line, key, **options) if pairs is None else pairs
+    return rows.join(known, line)
 
 
 def candidates(
@@ -309,17 +319,6 @@ def candidates(
     return near.select(row, "_c.ix", "_c.iy").join(index, ["ix", "iy"]).select(row, key).distinct()
 
 
-def assign_by_line(jams: DataFrame, regions: DataFrame, line: str = "line", key: str = "region_slug", **options) -> DataFrame:
-    """Spatial join done once per distinct polyline, then joined back to the rows.
-
-    The feed repeats polylines (about 23 reports each), so this trades one shuffle by line for
-    testing each polyline once.
-    """
-    lines = jams.select(line).distinct()
-    pairs = join_polygons(lines, regions, line, key, distinct_on=[line], **options)
-    return jams.join(pairs, line)
-
-
 def first_match(pairs: DataFrame, row: Sequence[str], choice: str) -> DataFrame:
     """Keep the smallest ``choice`` per row."""
     return pairs.groupBy(*row).agg(F.min(choice).alias(choice))
@@ -338,7 +337,7 @@ def point_join(
 ) -> DataFrame:
     """Points paired with the polygons that hold them (even-odd)."""
     columns = points.columns
-    index = polygon_index(polygons, grid, resolution, key, wkt)
+    index = cut(polygon_index(polygons, grid, resolution, key, wkt))
     held = index.agg(F.sum(F.size("edges") + 1).alias("n")).first()["n"] or 0
     if held <= max_edges:
         index = F.broadcast(index)

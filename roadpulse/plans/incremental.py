@@ -13,6 +13,7 @@ from roadpulse.functions.timefn import monday_week, ymd
 from roadpulse.operators import filters, spatial, tci
 from roadpulse.operators.sampling import weeks_per_month
 from roadpulse.operators.spatial import Quad
+from roadpulse.plans import lines
 from roadpulse.session import broadcast_if_small, cut
 from roadpulse.sources import calendars, io
 
@@ -65,15 +66,17 @@ def select_regions(
 
 def segment_hours(
     jams: DataFrame, regions: DataFrame, pairs: DataFrame | None = None, ts: str = "ts", minutes: int = 5, grid: Quad = Quad(),
-    resolution: int = 12, rules: Sequence[str] = filters.QUALITY,
+    resolution: int = 12, rules: Sequence[str] = filters.QUALITY, lines_path: str | None = None,
 ) -> DataFrame:
     """Raw jams to hourly intensity per region: quality, regions by shape, dedup, hourly sums.
 
-    ``pairs`` restricts to (region, date). The slot dedup also drops the copies a jam gets from
-    meeting a shape in several cells, so the spatial join needs no distinct of its own.
+    ``pairs`` restricts to (region, date). With ``lines_path``, the regions of a line come from the table of lines kept
+    there, and only lines that it does not know are tested and entered.
     """
     good = filters.quality(jams, rules)
-    matched = spatial.join_polygons(good, regions, grid=grid, resolution=resolution)
+    options = {"grid": grid, "resolution": resolution}
+    known = lines.update(jams.sparkSession, lines_path, good, regions, **options) if lines_path else None
+    matched = spatial.join_polygons(good, regions, pairs=known, **options)
     if pairs is not None:
         wanted = broadcast_if_small(pairs.select(KEY, F.col("date").alias("_date")), MAX_PAIRS)
         on = (matched[KEY] == wanted[KEY]) & (F.to_date(matched[ts]) == wanted["_date"])

@@ -71,7 +71,7 @@ def length_by_region(
 ) -> DataFrame:
     """Road length per region over accepted classes; a road counts in each region it meets."""
     accepted = roads.where(F.col("road_class").isin(list(classes)))
-    pairs = spatial.join_polygons(accepted, regions, grid=grid, resolution=resolution, distinct_on=row)
+    pairs = spatial.join_polygons(accepted, regions, grid=grid, resolution=resolution).dropDuplicates([*row, "region_slug"])
     return pairs.groupBy("region_slug").agg(F.sum("length").alias("osm_length"))
 
 

@@ -65,7 +65,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Two fills, the second over a longer interval, give the table of one full run."""
     path, meta, jams = new_path(spark, "fill"), views.meta(spark, sf), _jams(spark, sf)
-    options = {"grid": views.GRID, "resolution": 6}
+    options = {"grid": views.GRID, "resolution": 6, "lines_path": new_path(spark, "lines")}
     for last in ("2024-01-12", "2024-01-31"):
         incremental.fill(spark, jams, meta, incremental.dates(spark, "2024-01-01", last), path, **options)
     columns = ["region_slug", "year", "month", "day", "hour", "dow", "line", "tci"]

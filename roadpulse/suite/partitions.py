@@ -427,7 +427,7 @@ def _(spark, sf):
     raw = density.partition_raw(views.jams(spark, sf).select("event_id", "line"), grouped, views.GRID, 6)
     kept = raw.join(ids, "geo_partition_id")
     found = spatial.join_polygons(
-        kept.withColumnRenamed("region_slug", "wanted"), meta, grid=views.GRID, resolution=6, distinct_on=["event_id", "wanted"]
+        kept.withColumnRenamed("region_slug", "wanted"), meta, grid=views.GRID, resolution=6
     )
     read = ids.agg(F.count(F.lit(1))).scalar()
     every = meta.agg(F.count(F.lit(1))).scalar() * boxes.agg(F.countDistinct("group")).scalar()

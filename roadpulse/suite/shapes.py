@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from roadpulse.functions import geo
 from roadpulse.operators import filters, grid, spatial, stats
 from roadpulse.plans import index, regions
-from roadpulse.session import cut
+from roadpulse.plans import lines as dictionary
+from roadpulse.session import cut, new_path
 from roadpulse.suite import views
 from roadpulse.suite.registry import query, rounded, texts
 
@@ -265,25 +266,25 @@ def _lines(spark, sf):
 
 @query("jn06_join_regions", "jam_regions", "SELECT event_id, met AS region_slug FROM jam_regions")
 def _(spark, sf):
-    df = spatial.join_polygons(
-        _lines(spark, sf), views.meta(spark, sf), grid=views.GRID, resolution=6, distinct_on=["event_id"]
-    )
+    df = spatial.join_polygons(_lines(spark, sf), views.meta(spark, sf), grid=views.GRID, resolution=6)
     return df.select("event_id", "region_slug")
 
 
 @query("jn06_join_regions_shuffled", "jam_regions", "SELECT event_id, met AS region_slug FROM jam_regions")
 def _(spark, sf):
     """The path taken when the shapes are too large to broadcast."""
-    df = spatial.join_polygons(
-        _lines(spark, sf), views.meta(spark, sf), grid=views.GRID, resolution=6, distinct_on=["event_id"], max_edges=0
-    )
+    df = spatial.join_polygons(_lines(spark, sf), views.meta(spark, sf), grid=views.GRID, resolution=6, max_edges=0)
     return df.select("event_id", "region_slug")
 
 
 @query("jn06_assign_by_line", "jam_regions", "SELECT event_id, met AS region_slug FROM jam_regions")
 def _(spark, sf):
-    df = spatial.assign_by_line(_lines(spark, sf), views.meta(spark, sf), grid=views.GRID, resolution=6)
-    return df.select("event_id", "region_slug")
+    """Through the stored table of lines: half of the feed first, then all of it, which tests only the rest."""
+    path, rows, meta = new_path(spark, "lines"), _lines(spark, sf), views.meta(spark, sf)
+    options = {"grid": views.GRID, "resolution": 6}
+    dictionary.update(spark, path, rows.where("event_id % 2 = 0"), meta, **options)
+    known = dictionary.update(spark, path, rows, meta, **options)
+    return spatial.join_polygons(rows, meta, pairs=known).select("event_id", "region_slug")
 
 
 _CELLS = """
@@ -411,10 +412,17 @@ def _cells(spark, sf):
     return cut(grid.region_resolutions(views.meta(spark, sf), 5, 6, grid=views.GRID))
 
 
-def _grid_tci(spark, sf, hours=None, cells=None):
+def _parts(hours):
+    """The share table of the lines, written out as in production since every allocation is made of it."""
+    return cut(grid.shares(hours, views.GRID, 6))
+
+
+def _grid_tci(spark, sf, hours=None, cells=None, parts=None):
     cells = _cells(spark, sf) if cells is None else cells
-    coarse = grid.assign_coarse(views.hours(spark, sf) if hours is None else hours, cells, views.GRID, 5)
-    return grid.allocate(coarse, cells, views.GRID, 6)
+    hours = views.hours(spark, sf) if hours is None else hours
+    parts = _parts(hours) if parts is None else parts
+    coarse = grid.assign_coarse(hours, cells, views.GRID, 5, parts=parts, finer=1)
+    return grid.allocate(coarse, cells, views.GRID, 6, parts=parts)
 
 
 _ALLOC = f"""
@@ -481,7 +489,8 @@ gd as (SELECT * FROM alloc WHERE make_date(year, month, day) >= DATE '2024-01-08
 def _split(spark, sf):
     hours, cells = views.hours(spark, sf), _cells(spark, sf)
     base = filters.between_dates(hours, views.BASE_START, views.BASE_END)
-    return _grid_tci(spark, sf, filters.on_or_after(hours, views.START), cells), _grid_tci(spark, sf, base, cells)
+    parts = _parts(hours)
+    return _grid_tci(spark, sf, filters.on_or_after(hours, views.START), cells, parts), _grid_tci(spark, sf, base, cells, parts)
 
 
 @query("idx05_cities_daily", "pieces hours shape_edges", f"""

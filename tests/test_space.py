@@ -114,8 +114,8 @@ def test_join_is_the_same_when_shapes_are_not_broadcast(spark, rows):
     hot = {f"h{i}": "LINESTRING (8.1 8.1, 8.2 8.2)" for i in range(300)}  # one cell with most rows
     rest = {f"r{i}": f"LINESTRING ({rng.uniform(0, 15)!r} {rng.uniform(0, 15)!r}, {rng.uniform(0, 15)!r} {rng.uniform(0, 15)!r})" for i in range(200)}
     df = lines(spark, {**hot, **rest})
-    one = spatial.join_polygons(df, shapes, grid=GRID, resolution=4, distinct_on=["id"])
-    two = spatial.join_polygons(df, shapes, grid=GRID, resolution=4, distinct_on=["id"], max_edges=0)
+    one = spatial.join_polygons(df, shapes, grid=GRID, resolution=4)
+    two = spatial.join_polygons(df, shapes, grid=GRID, resolution=4, max_edges=0)
     exact = df.where(geo.intersects(geo.parse_line(F.col("line")), geo.parse_polygon(F.lit(shapes.first()["region_shapefile_wkt"]))))
     assert rows(one, "id") == rows(two, "id") == rows(exact, "id")
 

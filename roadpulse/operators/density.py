@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
-from roadpulse.operators import ranks, spatial, territory
+from roadpulse.operators import outlines, ranks, spatial, territory
 from roadpulse.operators.spatial import Lattice, Quad, cell_id, line_cells
 from roadpulse.session import broadcast_if_small, cut
 
@@ -242,8 +242,10 @@ def katana(
     width = (F.col("x1") - F.col("x0")) / _pow2(_cuts(F.col("axes"), F.col("depth"), 0))
     height = (F.col("y1") - F.col("y0")) / _pow2(_cuts(F.col("axes"), F.col("depth"), 1))
     left, low = F.col("x0") + F.col("ix") * width, F.col("y0") + F.col("iy") * height
+    # the same sum that the next tile begins with, so that common sides are equal to the last bit
+    right, high = F.col("x0") + (F.col("ix") + 1) * width, F.col("y0") + (F.col("iy") + 1) * height
     tiles = found.select(
-        root, "depth", "ix", "iy", left.alias("bx0"), low.alias("by0"), (left + width).alias("bx1"), (low + height).alias("by1"),
+        root, "depth", "ix", "iy", left.alias("bx0"), low.alias("by0"), right.alias("bx1"), high.alias("by1"),
         "lines", "jams", "share_jams",
     )
     wkt = geo.polygon_to_wkt(geo.box_polygon(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1")))
@@ -401,12 +403,18 @@ def complement(cover: DataFrame, tiles: DataFrame, tile: str = "geo_id", group:
     return cover.join(tiles.select(tile), tile, "left_anti").withColumn("group", F.lit(group)).withColumn("share_jams", F.lit(0.0))
 
 
-def geo_partitions(dist: DataFrame, max_value: float = 0.016, cover: DataFrame | None = None) -> DataFrame:
-    """Packed groups with their shapes; with ``cover`` also the catch-all group."""
-    packed = pack(dist, max_value)
-    if cover is not None:
-        packed = packed.unionByName(complement(cover, dist).select("geo_id", "share_jams", "group"))
-    return multipolygon(packed)
+def geo_partitions(dist: DataFrame, max_value: float = 0.016, extent: DataFrame | None = None, other: str = "999") -> DataFrame:
+    """Packed groups of tiles (geo_id, share_jams and the box) as outlines, a row for each ring, with the group's share.
+
+    With ``extent`` (boxes that hold all tiles) what the tiles leave of it is the catch-all group ``other`` with share 0.
+    """
+    packed = cut(pack(dist, max_value).select("geo_id", "group").join(dist, "geo_id"))
+    shares = packed.groupBy("group").agg(F.sum("share_jams").alias("share_jams"))
+    found = outlines.outlines(packed.select("group", *outlines.BOX)).join(shares, "group")
+    if extent is None:
+        return found
+    rest = outlines.difference(extent, packed, other).withColumn("share_jams", F.lit(0.0))
+    return found.unionByName(rest)
 
 
 def partition_raw(jams: DataFrame, tiles: DataFrame, grid: Quad, resolution: int, line: str = "line", other: str = "999") -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
+from roadpulse.operators import ranks
 from roadpulse.operators.spatial import Quad, cell_id, centre_cells, edge_cells, line_cells, parent_id, polygon_index
 from roadpulse.session import broadcast_if_small
 
@@ -19,16 +20,10 @@ CITY_RESOLUTION = 10  # fixed value: the level recorded for whole-city cells
 def batch(df: DataFrame, size: int = 100, by: Sequence[str] = ("region_slug",), major: str = "ix", minor: str = "iy", name: str = "group") -> DataFrame:
     """0-based batches of ``size`` rows per group in (major, minor) order.
 
-    Rows are numbered inside (group, major) and shifted by the running counts of the majors, so a
-    region with most of the cells is not numbered in one task.
+    A region with most of the rows is numbered in many tasks (``ranks.running_total``), whatever its majors.
     """
-    counts = df.groupBy(*by, major).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*by).orderBy(major).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, major, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy(*by, major).orderBy(minor)) - 1
-    numbered = df.withColumn("_place", place).join(offsets, [*by, major])
-    group = F.floor((F.col("_before") + F.col("_place")) / F.lit(size)).cast("int")
-    return numbered.withColumn(name, group).drop("_place", "_before")
+    placed = ranks.running_total(df, [major, minor], name="_place", by=by)
+    return placed.withColumn(name, F.floor((F.col("_place") - 1) / F.lit(size)).cast("int")).drop("_place")
 
 
 def _cells(shapes: DataFrame, grid: Quad, resolution: int, keys: Sequence[str]) -> DataFrame:

@@ -89,18 +89,14 @@ def quantile_profile(df: DataFrame, key: str = "region_slug", value: str = "obse
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles, one row per column."""
-    out = None
-    for c in columns:
-        v = F.col(c).cast("double")
-        moments = df.agg(
-            F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")
-        )
-        quartiles = ranks.quantiles(df, c, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-        keyed = F.lit(c).alias("column")
-        row = moments.select(keyed, "*").join(quartiles.select(keyed, "*"), "column")
-        out = row if out is None else out.unionByName(row)
-    return out.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    """Count, mean, deviation, extremes and exact quartiles, one row per column, all columns in one pass."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
+    long = df.select(F.explode(pairs).alias("p")).select("p.column", "p.v")
+    moments = long.groupBy("column").agg(
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")
+    )
+    quartiles = ranks.grouped_quantiles(long, ["column"], "v", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return moments.join(quartiles, "column").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def trend(df: DataFrame, x: Column, y: Column, by: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
-from roadpulse.operators import density, stats, territory
+from roadpulse.operators import density, outlines, stats, territory
 from roadpulse.session import cut
 from roadpulse.suite import views
 from roadpulse.suite.registry import query, rounded
@@ -382,19 +382,68 @@ def _(spark, sf):
         F.col("bx0").alias("x0"), F.col("by0").alias("y0"), F.col("bx1").alias("x1"), F.col("by1").alias("y1"), "group", "share_jams")
 
 
+def _outline_sql(boxes: str) -> str:
+    """Area, length and corners of the border of each group of ``boxes`` (grp, x0, y0, x1, y1), by pairs of boxes and by
+    looking into the four directions around every corner of a box."""
+    seen = ", ".join(
+        f"bool_or(b.x0 < px {dx} 1e-6 AND px {dx} 1e-6 < b.x1 AND b.y0 < py {dy} 1e-6 AND py {dy} 1e-6 < b.y1) AS q{k}"
+        for k, (dx, dy) in enumerate((("+", "+"), ("-", "+"), ("-", "-"), ("+", "-")))
+    )
+    along = "greatest(0, least(a.{h}, b.{h}) - greatest(a.{l}, b.{l}))"
+    return f"""
+bx as ({boxes}),
+touch as (SELECT a.grp, sum(CASE WHEN a.x1 = b.x0 THEN {along.format(l='y0', h='y1')} ELSE 0 END + CASE WHEN a.y1 = b.y0 THEN {along.format(l='x0', h='x1')} ELSE 0 END) AS len
+  FROM bx a JOIN bx b ON a.grp = b.grp GROUP BY 1),
+pt as (SELECT DISTINCT grp, unnest([x0, x0, x1, x1]) AS px, unnest([y0, y1, y0, y1]) AS py FROM bx),
+q as (SELECT p.grp, px, py, {seen} FROM pt p JOIN bx b ON b.grp = p.grp AND px BETWEEN b.x0 AND b.x1 AND py BETWEEN b.y0 AND b.y1 GROUP BY 1, 2, 3),
+cn as (SELECT grp, sum(CASE WHEN q0::int + q1::int + q2::int + q3::int IN (1, 3) THEN 1 WHEN q0 = q2 AND q1 = q3 AND q0 <> q1 THEN 2 ELSE 0 END)::bigint AS corners
+  FROM q GROUP BY 1),
+ol as (SELECT bx.grp AS "group", round(sum((x1 - x0) * (y1 - y0)), 6) AS area, round(sum(2 * (x1 - x0 + y1 - y0)) - 2 * any_value(touch.len), 6) AS length,
+  any_value(corners) AS corners FROM bx JOIN touch ON touch.grp = bx.grp JOIN cn ON cn.grp = bx.grp GROUP BY 1)"""
+
+
+def _outlined(found):
+    """Area, length and corners from the texts of the rings."""
+    ring = F.get(F.get(geo.parse_polygon(F.col("wkt")), F.lit(0)), F.lit(0))
+    size = F.abs(geo.signed_area(ring)) * F.when(F.col("hole"), -1).otherwise(1)
+    return rounded(found.groupBy("group").agg(
+        F.sum(size).alias("area"), F.sum(geo.line_length(ring)).alias("length"), F.sum(F.size(ring) - 1).alias("corners")))
+
+
+def _boxed(spark, sf):
+    """The extent as a box to cut tiles out of."""
+    return extent(spark, sf).select(*[F.col(c).alias(f"b{c}") for c in ("x0", "y0", "x1", "y1")])
+
+
+@query("ag16_dissolve", "jams", f"""
+{_DIST}, {_PACK.format(m=0.016)},
+{_outline_sql("SELECT g.\"group\" AS grp, x0, y0, x1, y1 FROM grp g JOIN (SELECT DISTINCT geo_id, x0, y0, x1, y1 FROM (SELECT *, 'POLYGON ((' || x0 || ' ' || y0 || ', ' || x1 || ' ' || y0 || ', ' || x1 || ' ' || y1 || ', ' || x0 || ' ' || y1 || ', ' || x0 || ' ' || y0 || '))' AS geo_id FROM final)) t ON t.geo_id = g.geo_id")}
+SELECT * FROM ol""")
+def _(spark, sf):
+    """Groups of tiles as outlines: no side between two tiles of a group is left."""
+    return _outlined(outlines.outlines(_grouped(spark, sf)))
+
+
+@query("geo16_difference", "jams", f"""
+{_katana(0.01, 10)}, {_outline_sql("SELECT '999' AS grp, x0, y0, x1, y1 FROM final WHERE share < 0.008")}
+SELECT * FROM ol""")
+def _(spark, sf):
+    """The extent without its dense tiles."""
+    return _outlined(outlines.difference(_boxed(spark, sf), _dense(stored(spark, sf))))
+
+
 @query("den09_geo_partitions", "jams", f"""
-{_katana(0.01, 10)}
-SELECT round(sum(share) FILTER (share >= 0.008), 6) AS share, (count(*) FILTER (share < 0.008)) > 0 AS has_rest, count(*) AS tiles,
-  true AS within FROM final""")
+{_ASSIGN}, dist as (SELECT 'POLYGON ((' || x0 || ' ' || y0 || ', ' || x1 || ' ' || y0
+  || ', ' || x1 || ' ' || y1 || ', ' || x0 || ' ' || y1 || ', ' || x0 || ' ' || y0 || '))' AS geo_id, share, x0, y0, x1, y1 FROM final WHERE share >= 0.008),
+{_PACK.format(m=0.016)},
+sh as (SELECT "group", round(sum(share), 6) AS share_jams FROM grp GROUP BY 1),
+{_outline_sql("SELECT g.\"group\" AS grp, x0, y0, x1, y1 FROM grp g JOIN dist ON dist.geo_id = g.geo_id UNION ALL SELECT '999', x0, y0, x1, y1 FROM final WHERE share < 0.008")}
+SELECT ol.*, coalesce(share_jams, 0) AS share_jams FROM ol LEFT JOIN sh ON sh."group" = ol."group" """)
 def _(spark, sf):
-    """Shares add up, every tile is in one group, and no group of several tiles exceeds the limit."""
-    cover = stored(spark, sf)
-    parts = density.geo_partitions(_dense(cover), 0.016, cover)
-    members = F.size(F.split("geo_partition_wkt", r"\)\), \(\("))
-    return rounded(parts.agg(
-        F.sum("share_jams").alias("share"), F.some(F.col("group") == "999").alias("has_rest"),
-        F.sum(members).alias("tiles"), F.every((F.col("share_jams") <= 0.016 + 1e-12) | (members == 1)).alias("within"),
-    ))
+    """Dense tiles packed and drawn, and what they leave of the extent."""
+    parts = cut(density.geo_partitions(_dense(stored(spark, sf)), 0.016, _boxed(spark, sf)))
+    shares = parts.groupBy("group").agg(F.max("share_jams").alias("share_jams"))
+    return rounded(_outlined(parts).join(shares, "group"))
 
 
 def _grouped(spark, sf):

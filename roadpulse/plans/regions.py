@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geo, text
-from roadpulse.operators import filters, reshape, spatial, stats, tci
+from roadpulse.operators import filters, reshape, simplify, spatial, stats, tci
 from roadpulse.operators.spatial import Quad
+from roadpulse.session import cut
 from roadpulse.sources import calendars
 
 # Road classes that count, and the zone rename.
@@ -40,17 +41,17 @@ def import_shapes(
     """Named shapes joined to a census on upper-cased accent-free names, with constant columns.
 
     ``shapes`` has region_name and region_shapefile_wkt, ``population`` has region_name and
-    population; shapes whose text is longer than ``max_chars`` are simplified until they fit.
+    population; shapes whose text is longer than ``max_chars`` lose vertices until they fit, their neighbours the same ones.
     """
 
     def key(name: str) -> Column:
         return F.upper(text.strip_accents(F.trim(F.col(name))))
 
     census = population.select(key("region_name").alias("_key"), F.col("population").cast("string").alias("population"))
-    wkt = F.col("region_shapefile_wkt")
-    shorter = geo.shrink_to_text(geo.parse_polygon(wkt), max_chars + 1)
-    fitted = F.when(F.length(wkt) > max_chars, shorter).otherwise(wkt)
-    named = shapes.withColumn("_key", key("region_name")).withColumn("region_shapefile_wkt", fitted)
+    # rows get a number of their own, since names may repeat
+    rows = cut(shapes.withColumn("_row", F.monotonically_increasing_id()))
+    fitted = simplify.shrink(rows, max_chars + 1, key="_row")
+    named = rows.drop("region_shapefile_wkt").join(fitted, "_row").drop("_row").withColumn("_key", key("region_name"))
     out = named.join(census, "_key", "left").drop("_key")
     out = out.withColumns({name: F.lit(value) for name, value in constants.items()})
     return out.withColumn("region_slug", text.slug(F.col("region_name"), prefix or None))

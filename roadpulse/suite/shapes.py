@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
-from roadpulse.operators import filters, grid, spatial, stats
+from roadpulse.operators import filters, grid, simplify, spatial, stats
 from roadpulse.plans import index, regions
 from roadpulse.plans import lines as dictionary
 from roadpulse.session import cut, new_path
@@ -174,6 +174,34 @@ def _(spark, sf):
     return df.select("event_id", (F.length("t") < 62).alias("fits"), (F.col("t") == F.col("w")).alias("kept"))
 
 
+@query("geo12_shared_outline", "", """
+SELECT 5 * (max(p_partkey) + 1.0)::double AS area, 12::bigint AS unpaired, true AS fits, count(*) > 1000 AS thinned FROM part""")
+def _(spark, sf):
+    """Five strips with ragged common borders, shortened: edges inside still pair up, so the strips fill their frame."""
+    part = views.table(spark, sf, "part")
+    top = part.agg(F.max("p_partkey").cast("double") + 1).scalar()
+    inner = part.select(
+        F.col("p_partkey").cast("double").alias("y"), (F.col("p_partkey") % 4 + 1).alias("b"), ((F.col("p_size") - 25) / 200).cast("double").alias("off")
+    ).select("b", (F.col("b") + F.col("off")).alias("x"), "y")
+    ends = spark.range(6).select(F.col("id").alias("b"), F.col("id").cast("double").alias("x"), F.explode(F.array(F.lit(0.0), top)).alias("y"))
+    path = F.transform(F.array_sort(F.collect_list(F.struct("y", "x"))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+    borders = cut(inner.unionByName(ends).groupBy("b").agg(path.alias("path")))
+    left, right = borders.select("b", F.col("path").alias("up")), borders.select((F.col("b") - 1).alias("b"), F.col("path").alias("down"))
+    ring = geo.close_ring(F.concat("down", F.reverse("up")))
+    strips = left.join(right, "b").select(F.col("b").cast("string").alias("region_slug"), geo.polygon_to_wkt(F.array(F.array(ring))).alias("region_shapefile_wkt"))
+    short = cut(simplify.shrink(strips, 3000, 0.001))
+    parts = geo.parse_polygon(F.col("region_shapefile_wkt"))
+    edges = short.select(F.explode(geo.polygon_edges(parts)).alias("e")).select("e.*")
+    back = edges.select(F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
+    unpaired = edges.join(back, ["x1", "y1", "x2", "y2"], "left_anti").agg(F.count(F.lit(1)).alias("unpaired"))
+    sizes = short.agg(
+        F.sum(geo.area(parts)).alias("area"), F.every(F.length("region_shapefile_wkt") < 3000).alias("fits"), F.sum(geo.vertex_count(parts)).alias("n")
+    )
+    points = borders.agg(F.sum(F.size("path")).alias("points"))
+    both = sizes.join(F.broadcast(unpaired)).join(F.broadcast(points))  # one row each
+    return rounded(both.select("area", "unpaired", "fits", (F.col("n") < F.col("points")).alias("thinned")))
+
+
 @query("geo13_valid", "jams meta", """
 SELECT event_id::varchar AS id, x0 <> x2 OR y0 <> y2 AS valid, CASE WHEN x0 <> x2 OR y0 <> y2 THEN 4 ELSE 3 END AS vertices FROM jams
 UNION ALL SELECT region_slug, true, CASE WHEN region_slug IN ('signup', 'view') THEN 11 ELSE 6 END FROM meta

@@ -273,18 +273,17 @@ def shift_votes(
 ) -> DataFrame:
     """Level-shift flags summed over all windows and factors, per date inside the search range.
 
-    Each window's change and quartiles are computed once and compared with every factor.
+    Each window's change and quartiles are computed once and compared with every factor; the windows share the values
+    around a row.
     """
-    out = df.select(KEY, DATE, value, _c(c).alias("_c"))
+    out = features.double_rolling_medians(df.select(KEY, DATE, value, _c(c).alias("_c")), value, windows, [KEY], DATE, "_d")
+    out = out.withColumns({f"_d{n}": F.abs(f"_d{n}") for n in windows})
+    out = out.withColumns({f"_q{n}": F.percentile(f"_d{n}", [0.25, 0.75]).over(_region()) for n in windows})
     total = F.lit(0)
     for n in windows:
-        out = out.withColumn(f"_d{n}", F.abs(features.double_rolling_column(value, n, n, [KEY], DATE)))
-    for n in windows:
-        out = out.withColumn(f"_a{n}", F.percentile(f"_d{n}", 0.25).over(_region())).withColumn(
-            f"_b{n}", F.percentile(f"_d{n}", 0.75).over(_region())
-        )
+        low, high = F.get(f"_q{n}", F.lit(0)), F.get(f"_q{n}", F.lit(1))
         for f in factors:
-            limit = F.col(f"_b{n}") + (F.col(f"_b{n}") - F.col(f"_a{n}")) * F.round(F.col("_c") * f, 4)
+            limit = high + (high - low) * F.round(F.col("_c") * f, 4)
             total = total + F.coalesce((F.col(f"_d{n}") > limit).cast("int"), F.lit(0))
     inside = (F.col(DATE) > F.lit(search[0]).cast("date")) & (F.col(DATE) < F.lit(search[1]).cast("date"))
     return out.select(KEY, DATE, total.alias("shift_sum")).where(inside & (F.col("shift_sum") > 0))

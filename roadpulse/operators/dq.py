@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,14 +29,16 @@ def peek(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def tables_exist(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", n: int = 10) -> DataFrame:
-    """Whether each product can be read, and how many of its first n rows came back."""
-    found = []
-    for name, path in paths.items():
+    """Whether each product can be read, and how many of its first n rows came back: one union of aggregates."""
+
+    def probe(name: str, path: str) -> DataFrame:
         try:
-            found.append((name, True, spark.read.format(fmt).load(path).limit(n).count()))
+            first, readable = spark.read.format(fmt).load(path).select(F.lit(1).alias("_one")).limit(n), True
         except AnalysisException:
-            found.append((name, False, 0))
-    return spark.createDataFrame(found, "product string, readable boolean, n_rows int")
+            first, readable = spark.range(0).select(F.lit(1).alias("_one")), False
+        return first.agg(F.count("_one").cast("int").alias("n_rows")).select(F.lit(name).alias("product"), F.lit(readable).alias("readable"), "n_rows")
+
+    return reduce(DataFrame.unionByName, [probe(name, path) for name, path in paths.items()])
 
 
 def exact_duplicates(jams: DataFrame, date: str, ignore: Sequence[str] = ()) -> DataFrame:

@@ -76,6 +76,28 @@ def double_rolling_column(value: str, left: int, right: int, by: Sequence[str],
     return F.when(full, ahead - F.percentile(value, 0.5).over(before))
 
 
+def double_rolling_medians(df: DataFrame, value: str, windows: Sequence[int], by: Sequence[str], order: str, prefix: str) -> DataFrame:
+    """``double_rolling_column`` for several window lengths n at once, as columns ``prefix + n``.
+
+    The neighbours of a row are gathered once for the longest window; shorter ones are the nearest of them.
+    """
+    base, longest = Window.partitionBy(*by).orderBy(order), max(windows)
+    near = F.collect_list(F.struct(F.col(value).cast("double").alias("v")))
+    out = df.withColumn("_back", F.reverse(near.over(base.rowsBetween(-longest, -1))["v"])).withColumn(
+        "_ahead", near.over(base.rowsBetween(0, longest - 1))["v"]
+    )
+    sides = [(n, s) for n in windows for s in ("_back", "_ahead")]
+    out = out.withColumns({f"{s}{n}": F.sort_array(F.slice(s, 1, n)) for n, s in sides})
+
+    def median(values: Column, n: int) -> Column:
+        middle = F.get(values, F.lit(n // 2))
+        middle = middle if n % 2 else F.get(values, F.lit(n // 2 - 1)) * 0.5 + middle * 0.5
+        return F.when((F.size(values) == n) & F.get(values, F.lit(0)).isNotNull(), middle)
+
+    changes = {f"{prefix}{n}": median(F.col(f"_ahead{n}"), n) - median(F.col(f"_back{n}"), n) for n in windows}
+    return out.withColumns(changes).drop("_back", "_ahead", *[f"{s}{n}" for n, s in sides])
+
+
 def double_rolling(
     df: DataFrame, value: str, left: int, right: int, by: Sequence[str] = ("region_slug",), order: str = "date", name: str = "change"
 ) -> DataFrame:

@@ -58,8 +58,9 @@ def rebase(df: DataFrame, keys: Sequence[str], values: Sequence[str], window: tu
 def rescale(df: DataFrame, window: tuple[str, str], keys: Sequence[str] = ("region_slug", "measure"), date: str = "date") -> DataFrame:
     """Value in percent of minus the window mean, per region and measure."""
     inside = F.col(date).between(*[F.lit(d).cast("date") for d in window])
-    means = df.where(inside).groupBy(*keys).agg(F.avg("value").alias("mean_val"))
-    return df.join(means, list(keys), "left").withColumn(
+    # a series has one row a day; a window reads the input once, and the moving mean after it keeps its exchange
+    mean = F.avg(F.when(inside, F.col("value"))).over(Window.partitionBy(*keys))
+    return df.withColumn("mean_val", mean).withColumn(
         "value_rescaled", F.try_divide(-100 * F.col("value"), F.col("mean_val"))
     )
 

@@ -159,11 +159,11 @@ def near_cells(edges: Column, grid: Quad, resolution: int) -> Column:
     return F.transform(F.array_distinct(F.flatten(F.transform(edges, lambda e: crossed(e, grid, resolution)))), _cell)
 
 
-def centre_cells(polygons: DataFrame, grid: Quad, resolution: int, keys: Sequence[str], edges: str) -> DataFrame:
-    """Cells whose centre is inside a polygon, by scan lines.
+def centre_runs(polygons: DataFrame, grid: Quad, resolution: int, keys: Sequence[str], edges: str) -> DataFrame:
+    """Runs of cells in a row, ``start`` to ``stop``, whose centres are inside a polygon, by scan lines.
 
     Each edge is cut by the rows of cell centres it spans; per (polygon, row) the sorted crossings
-    bound the inside runs, which are expanded to cells. Cost: edges x rows spanned + cells found.
+    bound the inside runs. Cost: edges x rows spanned, whatever the area.
     """
     width = F.lit(grid.width(resolution))
     e = F.col("e")
@@ -189,11 +189,17 @@ def centre_cells(polygons: DataFrame, grid: Quad, resolution: int, keys: Sequenc
     )
     start = F.ceil((F.col("a") - F.lit(grid.x0)) / width - F.lit(0.5))
     stop = F.ceil((F.col("b") - F.lit(grid.x0)) / width - F.lit(0.5)) - 1
-    return (
-        runs.select(*keys, "iy", start.alias("start"), stop.alias("stop"))
-        .where("start <= stop")
-        .select(*keys, F.explode(F.sequence("start", "stop")).alias("ix"), "iy")
-    )
+    return runs.select(*keys, "iy", start.alias("start"), stop.alias("stop")).where("start <= stop")
+
+
+def centre_cells(polygons: DataFrame, grid: Quad, resolution: int, keys: Sequence[str], edges: str) -> DataFrame:
+    """Cells whose centre is inside a polygon: the runs, cell by cell."""
+    runs = centre_runs(polygons, grid, resolution, keys, edges)
+    return runs.select(*keys, F.explode(F.sequence("start", "stop")).alias("ix"), "iy")
+
+
+def _no_edges() -> Column:
+    return F.slice(F.array(F.struct(*[F.lit(0.0).alias(c) for c in ("x1", "y1", "x2", "y2")])), 1, 0)
 
 
 def polygon_index(
@@ -212,14 +218,62 @@ def polygon_index(
         .agg(F.collect_list("e").alias("edges"))
     )
     inside = centre_cells(shapes, grid, resolution, keys, "edges").withColumn("centre", F.lit(True))
-    none = F.slice(F.array(F.struct(*[F.lit(0.0).alias(c) for c in ("x1", "y1", "x2", "y2")])), 1, 0)
     return border.join(inside, [*keys, "ix", "iy"], "full").select(
         *keys,
         "ix",
         "iy",
         F.coalesce("centre", F.lit(False)).alias("centre"),
-        F.coalesce("edges", none).alias("edges"),
+        F.coalesce("edges", _no_edges()).alias("edges"),
+    )
+
+
+def _ancestor(i: Column, up: Column) -> Column:
+    return F.call_function("shiftright", i.cast("bigint"), up.cast("int"))
+
+
+def levelled_index(
+    regions: DataFrame,
+    grid: Quad,
+    resolution: int,
+    key: str | Sequence[str] = "region_slug",
+    wkt: str = "region_shapefile_wkt",
+) -> DataFrame:
+    """As ``polygon_index``, with the cells inside a polygon merged upwards: ``level``, ``ix``, ``iy``, ``centre``, ``edges``.
+
+    Cells that ring edges pass are at ``resolution``. The rest of a polygon is covered by the largest cells without an
+    edge: children of a cell that holds a piece of the border and do not themselves. They are found from the border
+    alone, so the index grows with the outline and not with the area.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    shapes = regions.select(*keys, geo.polygon_edges(geo.parse_polygon(F.col(wkt))).alias("edges"))
+    border = (
+        edge_cells(shapes.select(*keys, F.explode("edges").alias("e")), "e", grid, resolution)
+        .groupBy(*keys, "ix", "iy")
+        .agg(F.collect_list("e").alias("edges"))
+    )
+    up = F.lit(resolution) - F.col("level")
+    touched = (
+        border.select(*keys, "ix", "iy", F.explode(F.sequence(F.lit(0), F.lit(resolution))).alias("level"))
+        .select(*keys, "level", _ancestor(F.col("ix"), up).alias("ix"), _ancestor(F.col("iy"), up).alias("iy"))
+        .distinct()
     )
+    corners = F.array(*[F.struct((2 * F.col("ix") + a).alias("ix"), (2 * F.col("iy") + b).alias("iy")) for a in (0, 1) for b in (0, 1)])
+    children = touched.where(F.col("level") < resolution).select(*keys, (F.col("level") + 1).alias("level"), F.inline(corners))
+    # a polygon larger than the root cell has cells of level 0 without a parent
+    span = touched.where("level = 0").groupBy(*keys).agg(*[f(c).alias(f"{c}_{n}") for c in ("ix", "iy") for n, f in (("a", F.min), ("b", F.max))])
+    roots = span.select(*keys, F.lit(0).alias("level"), F.explode(F.sequence("ix_a", "ix_b")).alias("ix"), "iy_a", "iy_b").select(
+        *keys, "level", "ix", F.explode(F.sequence("iy_a", "iy_b")).alias("iy")
+    )
+    empty = children.unionByName(roots).join(touched, [*keys, "level", "ix", "iy"], "left_anti").withColumn("edges", _no_edges())
+    cells = border.select(*keys, F.lit(resolution).alias("level"), "ix", "iy", "edges").unionByName(empty)
+    # a cell without an edge is inside if any of its smallest cells is: the one in its corner is looked up in the runs
+    runs = centre_runs(shapes, grid, resolution, keys, "edges").groupBy(*keys, F.col("iy").alias("_y")).agg(
+        F.collect_list(F.struct("start", "stop")).alias("_runs")
+    )
+    x = F.call_function("shiftleft", F.col("ix"), up)
+    held = cells.withColumn("_y", F.call_function("shiftleft", F.col("iy"), up)).join(runs, [*keys, "_y"], "left")
+    inside = F.coalesce(F.exists("_runs", lambda r: x.between(r["start"], r["stop"])), F.lit(False))
+    return held.select(*keys, "level", "ix", "iy", inside.alias("centre"), "edges").where(F.col("centre") | (F.size("edges") > 0))
 
 
 def inside_by_cell(x: Column, y: Column, cx: Column, cy: Column, centre: Column, edges: Column) -> Column:
@@ -261,14 +315,16 @@ def line_polygons(
 ) -> DataFrame:
     """Distinct pairs of a distinct line and a polygon it meets.
 
-    A line is carried once per cell near it (one or two for a jam). It meets a polygon if its first vertex is inside,
-    tested in that vertex's cell, or if it crosses a ring edge, found in a cell both pass.
+    A line is carried once per cell near it (one or two for a jam) and once per coarser level in use. It meets a polygon
+    if its first vertex is inside, tested in that vertex's cell or found in a larger cell that is inside whole, or if it
+    crosses a ring edge, found in a cell both pass.
 
     The cells of the polygons are written once; they are broadcast while their edge total is at most ``max_edges``; above
     that both sides shuffle by cell, hot cells being spread over salts.
     """
-    index = cut(polygon_index(regions, grid, resolution, key, wkt))
-    held = index.agg(F.sum(F.size("edges") + 1).alias("n")).first()["n"] or 0
+    index = cut(levelled_index(regions, grid, resolution, key, wkt))
+    size = index.agg(F.sum(F.size("edges") + 1).alias("n"), F.collect_set("level").alias("levels")).first()
+    held, coarse = size["n"] or 0, sorted(set(size["levels"]) - {resolution})
     found = lines.select(line).distinct().withColumn("_edges", geo.edges(geo.parse_line(F.col(line))))
     box = geo.bbox(F.flatten(F.transform("_edges", lambda e: F.array(*[F.struct(e[f"x{k}"].alias("x"), e[f"y{k}"].alias("y")) for k in (1, 2)]))))
     # most lines stay inside one cell: plain comparisons find it, and only the others are walked cell by cell
@@ -277,8 +333,16 @@ def line_polygons(
     low, high = grid.iy(F.col("_b.y0"), resolution), grid.iy(F.col("_b.y1"), resolution)
     single = F.array(F.struct(left.alias("ix"), low.alias("iy")))
     cells = F.when((left == right) & (low == high), single).otherwise(near_cells(F.col("_edges"), grid, resolution))
-    pieces = ends.withColumn("_c", F.explode(cells)).select(line, "_edges", "_c.ix", "_c.iy")
-    on = ["ix", "iy"]
+    start = F.get("_edges", F.lit(0))
+    sx, sy = grid.ix(start["x1"], resolution), grid.iy(start["y1"], resolution)
+    fine = F.transform(cells, lambda c: F.struct(F.lit(resolution).alias("level"), c["ix"].alias("ix"), c["iy"].alias("iy")))
+    above = [
+        F.struct(F.lit(n).alias("level"), _ancestor(sx, F.lit(resolution - n)).alias("ix"), _ancestor(sy, F.lit(resolution - n)).alias("iy"))
+        for n in coarse
+    ]
+    looked = F.concat(fine, F.array(*above)) if above else fine
+    pieces = ends.select(line, "_edges", F.explode(looked).alias("_c")).select(line, "_edges", "_c.*")
+    on = ["level", "ix", "iy"]
     if held <= max_edges:
         index = F.broadcast(index)
     else:
@@ -289,7 +353,7 @@ def line_polygons(
     ix, iy, first = F.col("ix"), F.col("iy"), F.get("_edges", F.lit(0))
     x, y = first["x1"], first["y1"]
     x0, y0, x1, y1 = grid.box(ix, iy, resolution)
-    own = (grid.ix(x, resolution) == ix) & (grid.iy(y, resolution) == iy)
+    own = (F.col("level") < resolution) | ((grid.ix(x, resolution) == ix) & (grid.iy(y, resolution) == iy))
     within = inside_by_cell(x, y, (x0 + x1) / 2, (y0 + y1) / 2, F.col("centre"), F.col("edges"))
     crossing = (F.size("edges") > 0) & F.exists(
         "_edges", lambda s: F.exists("edges", lambda r: geo.segments_meet(s, r))
@@ -335,14 +399,19 @@ def point_join(
     resolution: int = 8,
     max_edges: int = BROADCAST_EDGES,
 ) -> DataFrame:
-    """Points paired with the polygons that hold them (even-odd)."""
+    """Points paired with the polygons that hold them (even-odd); above ``max_edges`` rows of a hot cell are spread over salts."""
     columns = points.columns
     index = cut(polygon_index(polygons, grid, resolution, key, wkt))
     held = index.agg(F.sum(F.size("edges") + 1).alias("n")).first()["n"] or 0
+    placed = points.withColumn("ix", grid.ix(F.col(x), resolution)).withColumn("iy", grid.iy(F.col(y), resolution))
+    on = ["ix", "iy"]
     if held <= max_edges:
         index = F.broadcast(index)
-    placed = points.withColumn("ix", grid.ix(F.col(x), resolution)).withColumn("iy", grid.iy(F.col(y), resolution))
+    else:
+        placed = placed.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)))
+        index = index.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+        on = [*on, "_salt"]
     x0, y0, x1, y1 = grid.box(F.col("ix"), F.col("iy"), resolution)
     within = inside_by_cell(F.col(x), F.col(y), (x0 + x1) / 2, (y0 + y1) / 2, F.col("centre"), F.col("edges"))
-    return placed.join(index, ["ix", "iy"]).where(within).select(*columns, key)
+    return placed.join(index, on).where(within).select(*columns, key)
 

@@ -60,9 +60,14 @@ def weekly_index(
     start: str | None = START,
     exceptions: Sequence[str] = (),
     as_of: str | None = None,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
-    """Weekly intensity against the sum of the baseline week."""
-    days = calendars.join_weeks(daily, calendars.weeks(daily, start))
+    """Weekly intensity against the sum of the baseline week.
+
+    Weeks are counted over the days with reports. ``dates`` (year, month, day, dow; repeats do no harm) names them from a
+    cheaper table, such as the partitions of the raw feed; without it they are taken from ``daily``, which is then read twice.
+    """
+    days = calendars.join_weeks(daily, calendars.weeks(daily if dates is None else dates, start))
     obs = tci.week_observed(days, ["region_slug", "week_number", "week_number_obs"])
     ratios = _change(tci.with_baseline(obs, tci.baseline_total(base), ["region_slug"]), "tcp")
     regions = filters.approved(labels(meta), "weekly_approved", exceptions)

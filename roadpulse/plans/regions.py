@@ -160,14 +160,20 @@ def analysis_daily(
     pairs = spatial.join_polygons(good, local, grid=grid, resolution=resolution)
     codes = local.select("region_slug", F.col("feed_code").alias("_code"))
     pairs = pairs.join(codes, "region_slug").where(F.col("country") == F.col("_code")).drop("_code")
+
+    def asked(date: Column) -> Column:
+        """Days that count for the region of the row."""
+        keep = ~F.col("region_slug").isin(list(sampled)) & date.between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+        for slug, days in sampled.items():
+            keep = keep | ((F.col("region_slug") == slug) & F.date_format(date, "yyyyMMdd").isin(list(days)))
+        return keep
+
+    daily = tci.analysis_daily(tci.dedup_slot(pairs.where(asked(F.to_date(ts))), ts=ts, minutes=minutes), ts)
     if wide:
-        every = F.array(*[F.lit(s) for s in wide])
-        pairs = pairs.unionByName(good.withColumn("region_slug", F.explode(every)))
-    date = F.to_date(ts)
-    keep = ~F.col("region_slug").isin(list(sampled)) & date.between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    for slug, days in sampled.items():
-        keep = keep | ((F.col("region_slug") == slug) & F.date_format(date, "yyyyMMdd").isin(list(days)))
-    daily = tci.analysis_daily(tci.dedup_slot(pairs.where(keep), ts=ts, minutes=minutes), ts)
+        # slots lie inside days, so the whole feed is deduplicated and summed once and its days are given to every wide region
+        whole = tci.analysis_daily(tci.dedup_slot(good, ts=ts, minutes=minutes, within=()), ts, within=())
+        given = whole.select(F.explode(F.array(*[F.lit(s) for s in wide])).alias("region_slug"), "*")
+        daily = daily.unionByName(given.where(asked(F.make_date("year", "month", "day"))))
     return calendars.pad_calendar(daily, calendar, sampled=list(sampled))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from roadpulse.functions import timefn
+from roadpulse.operators import filters
 from roadpulse.plans import index
 from roadpulse.suite import views
 from roadpulse.suite.registry import query, rounded, texts
@@ -54,8 +56,10 @@ FROM d JOIN h ON d.region_slug = h.region_slug JOIN meta m ON d.region_slug = m.
 WHERE weekly_approved OR m.region_slug IN ('error')
 """)
 def _(spark, sf):
+    # a day keeps a report through the slot dedup, so its days are those of the feed
+    dates = filters.quality(views.feed(spark, sf)).select(*timefn.parts(F.col("ts")))
     df = index.weekly_index(
-        views.daily(spark, sf), views.base(spark, sf), views.meta(spark, sf), views.START, exceptions=["error"]
+        views.daily(spark, sf), views.base(spark, sf), views.meta(spark, sf), views.START, exceptions=["error"], dates=dates
     )
     return rounded(df.drop("last_updated_utc"))
 

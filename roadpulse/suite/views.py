@@ -1,7 +1,8 @@
 """The test tables seen as a congestion feed, in Spark and as oracle SQL.
 
 events -> jam reports (user = jam id, event type = region, value = length, a three-point line from
-integer arithmetic on the event id, shared by many reports); region/nation/supplier -> region metadata; orders -> long
+integer arithmetic on the event id, shared by many reports); a third of the events is reported again at once or
+two minutes later, mostly in the same feed slot; region/nation/supplier -> region metadata; orders -> long
 daily series per region.
 """
 
@@ -29,8 +30,16 @@ def _hundredths(col: Column) -> Column:
 
 
 def jams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    again = F.when(F.col("event_id") % 3 == 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    events = table(spark, sf_dir, "events").withColumn("again", F.explode(again))
     i = F.col("event_id")
+    # the second report: at the same time and equal, at the same time and half as long, or later and half as long
+    later = F.col("again") & ~(i % 9).isin(1, 4)
+    half = F.col("again") & (i % 9 != 4)
+    events = events.withColumns({
+        "ts": F.when(later, F.col("ts") + F.expr("INTERVAL 2 MINUTES")).otherwise(F.col("ts")),
+        "value": F.when(half, F.col("value") / 2).otherwise(F.col("value")),
+    })
     k = F.get_json_object("props", "$.k").cast("int")
     # a line is reported about 13 times; one line has a third of all reports
     n = F.when(i % 3 == 0, F.lit(7).cast("bigint")).otherwise(F.call_function("div", i, F.lit(20)))
@@ -40,7 +49,7 @@ def jams(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = [F.concat_ws(" ", _hundredths(a), _hundredths(b)) for a, b in ((x0, y0), (x1, y1), (x2, y2))]
     line = F.concat(F.lit("LINESTRING ("), F.concat_ws(", ", *pairs), F.lit(")"))
     return events.select(
-        "event_id",
+        F.when(F.col("again"), -1 - i).otherwise(i).alias("event_id"),
         F.col("user_id").cast("string").alias("uuid"),
         F.col("event_type").alias("region_slug"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("retrievaltime"),
@@ -157,19 +166,22 @@ def analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 CTES: dict[str, tuple[str, str]] = {
     "ints": (
         "",
-        """SELECT event_id, user_id, event_type, ts, value, json_extract_string(props, '$.k')::int AS k,
+        """SELECT CASE WHEN again THEN -1 - event_id ELSE event_id END AS event_id, event_id AS origin, user_id, event_type,
+        CASE WHEN again AND event_id % 9 NOT IN (1, 4) THEN ts + INTERVAL 2 MINUTE ELSE ts END AS ts,
+        CASE WHEN again AND event_id % 9 <> 4 THEN value / 2 ELSE value END AS value, json_extract_string(props, '$.k')::int AS k,
         (n * 37) % 1000 AS a0, (n * 91) % 1000 AS b0,
         (n * 37) % 1000 + (n % 7 - 3) * 13 AS a1,
         (n * 91) % 1000 + (n % 5 - 2) * 17 AS b1,
         (n * 37) % 1000 + (n % 7 - 3) * 13 + (n % 11 - 5) * 7 AS a2,
         (n * 91) % 1000 + (n % 5 - 2) * 17 + (n % 3 - 1) * 29 AS b2
-        FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN 7 ELSE event_id // 20 END AS n FROM events)""",
+        FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN 7 ELSE event_id // 20 END AS n FROM (
+          SELECT *, false AS again FROM events UNION ALL SELECT *, true FROM events WHERE event_id % 3 = 1))""",
     ),
     "jams": (
         "ints",
         """SELECT event_id, user_id::varchar AS uuid, event_type AS region_slug, date_trunc('second', ts) AS ts,
         value AS length, value / 10 AS speed, k % 6 AS level,
-        CASE WHEN k < 10 THEN 'block-' || event_id END AS blockingalertuuid,
+        CASE WHEN k < 10 THEN 'block-' || origin END AS blockingalertuuid,
         strftime(ts, '%Y%m%d') AS datetime,
         'LINESTRING (' || (a0 / 100.0)::decimal(12,2) || ' ' || (b0 / 100.0)::decimal(12,2) || ', '
         || (a1 / 100.0)::decimal(12,2) || ' ' || (b1 / 100.0)::decimal(12,2) || ', '

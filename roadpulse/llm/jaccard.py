@@ -14,7 +14,8 @@ the threshold, 75 % by default; in whole numbers, if 7 times the symmetric diffe
   ``KEYS`` blocks if there are more, the blocks of several independent sketches if there are fewer. The lowest bit of a
   key tells the two bands of a document apart. A linked pair agrees in at least a third of the blocks on average, so the
   chance that it agrees in none of 48 keys that are not empty is about 1e-9 at the very threshold, where both sets have
-  the largest size of the band, and vanishes above it; ``keys`` lowers it further.
+  the largest size of the band, and vanishes above it; ``keys`` lowers it further, and ``keys=None`` takes all d + 1 blocks
+  of every set (``KEYS`` keys at least): some hundred keys for a set of a thousand shingles.
 * **Verification.** Sizes, then bit sketches, then whole texts are compared. Members of a bucket are first compared with
   the member that shares most; links give components, and only pairs of different components are compared further: all of
   them in buckets of ``SMALL`` members at most. Larger (hot) buckets come from passages that many texts share, or from
@@ -79,36 +80,38 @@ def entries(row: np.ndarray, h: np.ndarray, size: np.ndarray) -> np.ndarray:
     return mixed(total + size.astype(np.uint64) * _SET).view(np.int64)
 
 
-def block_keys(row: np.ndarray, h: np.ndarray, size: np.ndarray, keys: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of the blocks in which a document may meet a partner."""
+def block_keys(row: np.ndarray, h: np.ndarray, size: np.ndarray, keys: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the blocks in which a document may meet a partner; without ``keys``, of all blocks."""
     rows, found = [], []
     band = np.floor(np.log2(np.maximum(size, 1))).astype(np.int64)
     for shift in (0, 1):
         largest = 2 ** (band + shift + 1) - 1
         allowed = 2 * largest // 7  # symmetric difference of a linkable pair in this band
         blocks = allowed + 1
+        most = np.maximum(blocks, KEYS) if keys is None else np.full(len(size), keys)
+        begins = np.append(0, np.cumsum(most))
         enters = (size > 0) & (allowed > 0)
         if shift:
             enters &= size * 4 // 3 >= 2 ** (band + 1)
         repeat = 0
         while True:
-            use = enters & (blocks * repeat < keys)
+            use = enters & (blocks * repeat < most)
             if not use.any():
                 break
             take = use[row]
             r, hs = row[take], h[take]
             at = repeat * blocks[r] + (mixed(hs + np.uint64((_BLOCK * (2 * repeat + 1)) & _MASK)) % blocks[r].astype(np.uint64)).astype(np.int64)
-            take = at < keys
+            take = at < most[r]
             r, hs, at = r[take], hs[take], at[take]
-            slot = r * keys + at
+            slot = begins[r] + at
             order = np.argsort(slot, kind="stable")
             slot = slot[order]
             begin = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else np.empty(0, np.int64)
             if len(begin):
                 parity = np.bitwise_xor.reduceat(mixed(hs[order] + _KEY), begin)
                 slot = slot[begin]
-                r = slot // keys
-                place = ((band[r] + shift) * 65536 + slot % keys).astype(np.uint64)
+                r = np.searchsorted(begins, slot, side="right") - 1
+                place = ((band[r] + shift) * 65536 + slot - begins[r]).astype(np.uint64)
                 rows.append(r)
                 side = ((band[r] + shift) & 1).astype(np.uint64)
                 found.append(mixed(parity ^ mixed(place)) & ~np.uint64(1) | side)
@@ -134,7 +137,7 @@ def halved(bits: Column, other: Column) -> Column:
     return F.when(F.size(bits) > F.size(other), short).otherwise(bits)
 
 
-def sketched(documents: DataFrame, k: int = SHINGLE, keys: int = KEYS) -> DataFrame:
+def sketched(documents: DataFrame, k: int = SHINGLE, keys: int | None = KEYS) -> DataFrame:
     """doc_id, n (size of the set), entry (hash of the set, null if empty), bits (the one-bit sketch), keys."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
@@ -165,15 +168,16 @@ def side(key: Column) -> Column:
     return key.bitwiseAND(F.lit(1)).cast("int")
 
 
-def differing(n: Column, odd: Column, keys: int) -> Column:
+def differing(n: Column, odd: Column, keys: int | None) -> Column:
     """In how many keys of its band of this side, at most, a set of size n differs from a set it links with."""
     own = F.length(F.bin(n)) - 1
     band = own + F.when(own % 2 == odd, 0).otherwise(1)
     largest = F.pow(F.lit(2), band + 1).cast("long") - 1
     blocks = F.floor(2 * largest / 7) + 1
     most = F.floor((n + F.least(largest, F.floor(4 * n / 3))) / 7)
-    sketches = F.floor(F.lit(keys) / blocks)
-    return sketches * F.least(most, blocks) + F.least(most, F.lit(keys) - sketches * blocks)
+    used = F.greatest(blocks, F.lit(KEYS)) if keys is None else F.lit(keys)
+    sketches = F.floor(used / blocks)
+    return sketches * F.least(most, blocks) + F.least(most, used - sketches * blocks)
 
 
 def linkable(difference: Column, n: Column, m: Column) -> Column:
@@ -184,7 +188,7 @@ def linkable(difference: Column, n: Column, m: Column) -> Column:
 class Join:
     """The state of one join: entries, their shared keys, texts, pairs compared and components so far."""
 
-    def __init__(self, documents: DataFrame, k: int, keys: int):
+    def __init__(self, documents: DataFrame, k: int, keys: int | None):
         self.documents, self.k, self.keys = documents, k, keys
         self.rows = stored(sketched(documents, k, keys), "jaccard-rows")
         held = self.rows.where("entry is not null")
@@ -401,7 +405,7 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def join(documents: DataFrame, k: int = SHINGLE, keys: int = KEYS, small: int = SMALL) -> DataFrame:
+def join(documents: DataFrame, k: int = SHINGLE, keys: int | None = KEYS, small: int = SMALL) -> DataFrame:
     """doc_id, ``n_shingles`` and ``component_id``, the smallest doc_id reachable by links, of every document."""
     state = Join(documents, k, keys)
     state.centred()

@@ -55,6 +55,25 @@ def test_jaccard(documents, corpus, small, tile, monkeypatch):
     assert got == _components(corpus)
 
 
+def test_jaccard_with_all_blocks(documents, corpus):
+    got = {tuple(r) for r in jaccard.join(documents(corpus, extra=True), keys=None).collect()}
+    assert got == _components(corpus)
+
+
+def test_all_blocks_are_keys():
+    r = np.random.default_rng(5)
+    size = np.array([3, 40, 130, 900, 0, 6000])
+    row = np.repeat(np.arange(len(size)), size)
+    h = r.integers(0, 1 << 63, len(row), dtype=np.uint64)
+    some, every = (jaccard.block_keys(row, h, size, keys) for keys in (jaccard.KEYS, None))
+    for i, n in enumerate(size):
+        a, b = ({*found[1][found[0] == i].tolist()} for found in (some, every))
+        blocks = 2 * (2 ** int(n).bit_length() - 1) // 7 + 1 if n else 0
+        # empty blocks are no keys: in the higher of two bands up to a sixth of them
+        assert a <= b and (a == b or len(b) >= 0.75 * blocks)
+    assert len(every[0]) > 10 * len(some[0])
+
+
 def test_longer_relatives_of_a_hot_group(documents):
     # each longer text links with one member only, that is hardly a bucket centre, and shares little but hot keys with it
     base = [f"c{i}" for i in range(754)]

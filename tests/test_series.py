@@ -2,11 +2,13 @@
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.operators import clean, features, sampling
+from roadpulse.plans import regions
 from roadpulse.sources import calendars
 
 START = dt.date(2020, 3, 9)
@@ -21,6 +23,19 @@ def weekly_wave(n, level=1000.0):
     return [level + 60 * math.sin(2 * math.pi * i / 7) + 3 * ((i * 37) % 11) for i in range(n)]
 
 
+def test_nested_medians_equal_the_single_ones(spark):
+    rng = random.Random(4)
+    rows = [(k, f"2020-{1 + d // 28:02d}-{1 + d % 28:02d}", None if rng.random() < 0.03 else round(rng.uniform(0, 50), 2)) for k in ("a", "b") for d in range(90)]
+    rows += [("c", "2020-01-01", 1.0)]
+    df = spark.createDataFrame(rows, "region_slug string, date string, v double").withColumn("date", F.to_date("date"))
+    out = features.double_rolling_medians(df, "v", (1, 3, 14, 15), ["region_slug"], "date", "m")
+    for n in (1, 3, 14, 15):
+        out = out.withColumn(f"w{n}", features.double_rolling_column("v", n, n, ["region_slug"], "date"))
+    got = out.collect()
+    assert all(r[f"m{n}"] == r[f"w{n}"] for r in got for n in (1, 3, 14, 15))
+    assert sum(r["m15"] is not None for r in got) > 20 and out.columns[:3] == df.columns
+
+
 def test_spike_is_voted_and_filled(spark):
     values = weekly_wave(200)
     values[60] = 6000.0
@@ -138,3 +153,19 @@ def test_accents_are_removed_by_decomposition(spark):
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = [r[0] for r in df.select(text.strip_accents(F.col("n"))).collect()]
     assert got == ["Erd Gyor", "Brnany Ymir", "Sao Joao", "ete", "Straße", "Angstrom", "Ελλαδα"]
+
+
+def test_wide_regions_get_the_sums_of_the_whole_feed(spark):
+    shape = "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))"
+    dim = spark.createDataFrame([("local", "F0", shape), ("wide1", "F1", shape), ("wide2", "F2", shape)], "region_slug string, feed_code string, region_shapefile_wkt string")
+    far, near = "LINESTRING (5 5, 6 6)", "LINESTRING (0.2 0.2, 0.4 0.4)"
+    rows = [
+        ("u1", "2020-01-02 10:01:00", 3.0, near, "F0"), ("u1", "2020-01-02 10:02:00", 5.0, near, "F0"), ("u1", "2020-01-02 10:06:00", 7.0, far, "F9"),
+        ("u2", "2020-01-03 10:01:00", 11.0, far, "F0"), ("u2", "2021-01-03 10:01:00", 13.0, near, "F0"),
+    ]
+    jams = spark.createDataFrame(rows, "uuid string, ts string, length double, line string, country string").select(
+        "uuid", F.col("ts").cast("timestamp").alias("ts"), "length", "line", "country", F.lit(1.0).alias("speed"), F.lit(None).cast("string").alias("blockingalertuuid"))
+    days = calendars.year_table(spark.createDataFrame([(2020,)], "year int"))
+    out = regions.analysis_daily(jams, dim, days, "2020-01-01", "2020-12-31", {"wide2": ["20200103", "20210103"]}, wide=["wide1", "wide2"])
+    got = {(r["region_slug"], r["month"], r["day"]): r["sum_length"] for r in out.where("sum_length > 0 AND year IS NOT NULL").collect()}
+    assert got == {("local", 1, 2): 3.0, ("wide1", 1, 2): 10.0, ("wide1", 1, 3): 11.0, ("wide2", 1, 3): 11.0}

@@ -107,6 +107,51 @@ def test_point_join_equals_brute_force(spark):
     assert {(r["i"], r["zone"]) for r in got.collect()} == want
 
 
+def test_points_join_the_same_when_shapes_are_not_broadcast(spark):
+    shapes = spark.createDataFrame([("a", "POLYGON ((1 1, 9 2, 7 9, 4 5, 1 1))"), ("b", "POLYGON ((3 0, 12 0, 12 12, 3 0))")], "zone string, zone_wkt string")
+    rng = random.Random(8)
+    pts = [(i, 4.5, 3.5) for i in range(300)] + [(1000 + i, rng.uniform(0, 16), rng.uniform(0, 16)) for i in range(600)]
+    df = spark.createDataFrame(pts, "i int, x double, y double")
+    one, two = ({(r["i"], r["zone"]) for r in spatial.point_join(df, shapes, "x", "y", "zone", "zone_wkt", GRID, 4, max_edges=m).collect()} for m in (10**6, 0))
+    assert one == two and len(one) > 300
+
+
+def _covered(index, resolution):
+    """(polygon, fine cell) -> centre flag of an index with levels, and the number of times a fine cell is covered."""
+    flags, times = {}, {}
+    for r in index.collect():
+        up = resolution - r["level"]
+        for ix in range(r["ix"] << up, (r["ix"] + 1) << up):
+            for iy in range(r["iy"] << up, (r["iy"] + 1) << up):
+                flags[r["region_slug"], ix, iy] = (r["centre"], sorted(tuple(e) for e in r["edges"]))
+                times[r["region_slug"], ix, iy] = times.get((r["region_slug"], ix, iy), 0) + 1
+    return flags, times
+
+
+def test_levelled_index_covers_the_cells_of_the_flat_one(spark):
+    shapes = {
+        "star": "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in star(7, 8, 8, 2, 7)) + "))",
+        "holed": "POLYGON ((0.3 0.4, 15.2 0.3, 15.6 15.5, 0.2 15.1, 0.3 0.4), (5 5, 11 5.5, 10.5 11, 5 5))",
+        "beyond": "POLYGON ((-20.5 -21, 50.2 -20, 49 52, -19 50.5, -20.5 -21))",  # larger than the root cell
+        "tiny": "POLYGON ((3.1 3.1, 3.2 3.1, 3.2 3.2, 3.1 3.1))",
+    }
+    df = spark.createDataFrame(list(shapes.items()), "region_slug string, region_shapefile_wkt string")
+    flat = {(r["region_slug"], r["ix"], r["iy"]): (r["centre"], sorted(tuple(e) for e in r["edges"])) for r in spatial.polygon_index(df, GRID, 5).collect()}
+    flags, times = _covered(spatial.levelled_index(df, GRID, 5), 5)
+    assert flags == flat and set(times.values()) == {1}
+
+
+def test_levelled_index_grows_with_the_border(spark):
+    ring = [(-55 + 9 * math.cos(2 * math.pi * k / 60), -12 + 9 * math.sin(2 * math.pi * k / 60)) for k in range(60)]
+    text = "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in [*ring, ring[0]]) + "))"
+    df = spark.createDataFrame([("a", text)], "region_slug string, region_shapefile_wkt string")
+    count = [F.count_if(F.size("edges") > 0), F.count(F.lit(1))]
+    (b12, n12), (b14, n14) = (spatial.levelled_index(df, spatial.Quad(), level).agg(*count).first() for level in (12, 14))
+    # about one inner cell for each cell of the border; the area has some 500,000 cells at the finer level
+    assert 3000 < b14 and n14 < 2.1 * b14 and n12 < 2.1 * b12
+    assert n14 < 4.5 * n12
+
+
 def test_join_is_the_same_when_shapes_are_not_broadcast(spark, rows):
     rng = random.Random(5)
     ring = star(8, 8, 8, 2, 7)

@@ -70,10 +70,12 @@ def _(spark, sf):
 @query("geo04_intersects", "jam_regions", """
 SELECT event_id, met AS region_slug FROM jam_regions""")
 def _(spark, sf):
-    lines, meta = views.jams(spark, sf).select("event_id", "line"), views.meta(spark, sf)
+    """Each distinct line is tested once and joined back to its reports."""
+    rows, meta = views.jams(spark, sf).select("event_id", "line").where("event_id IS NOT NULL"), views.meta(spark, sf)
     shapes = meta.select("region_slug", geo.parse_polygon(F.col("region_shapefile_wkt")).alias("parts"))
-    pairs = spatial.candidates(lines, meta, "event_id", grid=views.GRID, resolution=5).join(lines, "event_id").join(shapes, "region_slug")
-    return pairs.where(geo.intersects(geo.parse_line(F.col("line")), F.col("parts"))).select("event_id", "region_slug")
+    near = spatial.candidates(rows.select("line").distinct(), meta, "line", grid=views.GRID, resolution=5).join(shapes, "region_slug")
+    met = near.where(geo.intersects(geo.parse_line(F.col("line")), F.col("parts"))).select("line", "region_slug")
+    return spatial.join_polygons(rows, meta, pairs=met).select("event_id", "region_slug")
 
 
 @query("geo05_line_length", "jams", """

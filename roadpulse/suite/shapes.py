@@ -240,16 +240,24 @@ SELECT event_id::varchar AS id, round(abs({_TRI}) / 2, 6) AS area FROM jams
 UNION ALL SELECT region_slug, CASE WHEN region_slug = 'signup' THEN 11.7 + 0.64 WHEN region_slug = 'view' THEN 11.7 - 0.6 ELSE 11.7 END
 FROM (SELECT DISTINCT region_slug FROM shape_edges)""")
 def _(spark, sf):
-    """Areas of the four quadrants about (4.9, 5.2) add up to the whole."""
+    """Areas of the four quadrants about (4.9, 5.2) add up to the whole. Each distinct line is cut once."""
     shapes = views.meta(spark, sf).select(
         F.col("region_slug").alias("id"), geo.parse_polygon(F.col("region_shapefile_wkt")).alias("parts")
     )
-    jams = _triangles(spark, sf).select(F.col("event_id").cast("string").alias("id"), "parts")
+    rows = views.jams(spark, sf).select(F.col("event_id").cast("string").alias("id"), "line")
+    lines = rows.select("line").distinct().withColumn("parts", F.array(F.array(geo.close_ring(geo.parse_line(F.col("line"))))))
+    areas = _quartered(lines, "line").withColumnRenamed("line", "_line")
+    reports = rows.join(areas, F.col("line").eqNullSafe(F.col("_line"))).select("id", "area")
+    return rounded(reports.unionByName(_quartered(shapes, "id")).groupBy("id").agg(F.sum("area").alias("area")))
+
+
+def _quartered(shapes, key):
+    """Sum of the areas of the quadrants of all shapes of a key."""
     far = 100.0
     quarters = [(-far, -far, 4.9, 5.2), (4.9, -far, far, 5.2), (-far, 5.2, 4.9, far), (4.9, 5.2, far, far)]
-    every = jams.unionByName(shapes).withColumn("q", F.explode(F.array(*[F.array(*map(F.lit, q)) for q in quarters])))
+    every = shapes.withColumn("q", F.explode(F.array(*[F.array(*map(F.lit, q)) for q in quarters])))
     cut = spatial.clip_boxes(every, "parts", F.struct(*[F.col("q")[i].alias(k) for i, k in enumerate(("x0", "y0", "x1", "y1"))]))
-    return rounded(cut.groupBy("id").agg(F.sum(geo.area(F.col("parts"))).alias("area")))
+    return cut.groupBy(key).agg(F.sum(geo.area(F.col("parts"))).alias("area"))
 
 
 def _zones(spark, sf):

@@ -37,3 +37,17 @@ def test_geo04_tests_each_line_once(spark, tables, monkeypatch):
     assert sorted(found.collect()) == sorted(plain.select("event_id", "region_slug").collect()) != []
     distinct = rows.where("event_id IS NOT NULL").select("line").distinct().count()
     assert rows.count() > 100 and given[0].count() == distinct
+
+
+def test_geo15_cuts_each_line_once(spark, tables, monkeypatch):
+    given = recorded(monkeypatch, "clip_boxes")
+    found = registry.queries()["geo15_clip_polygon"](spark, tables).collect()
+    rows = views.jams(spark, tables).selectExpr("string(event_id) AS id", "line")
+    whole = {}
+    triangle = F.array(F.array(geo.close_ring(geo.parse_line(rows.line))))
+    for r in rows.withColumn("a", geo.area(triangle)).collect():
+        whole[r.id] = whole.get(r.id, 0.0) + (r.a or 0.0)
+    assert {r.id: r.area for r in found if r.id in whole} == {k: pytest.approx(v, abs=1e-6) for k, v in whole.items()}
+    assert whole["40"] > 0 and len(found) == len(whole) + 5
+    distinct = rows.select("line").distinct().count()
+    assert rows.count() > 100 and sum(df.count() for df in given) == 4 * (distinct + 5)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
-from roadpulse.operators import spatial
+from roadpulse.operators import spatial, territory
 from roadpulse.suite import registry, views
 
 
@@ -51,3 +51,17 @@ def test_geo15_cuts_each_line_once(spark, tables, monkeypatch):
     assert whole["40"] > 0 and len(found) == len(whole) + 5
     distinct = rows.select("line").distinct().count()
     assert rows.count() > 100 and sum(df.count() for df in given) == 4 * (distinct + 5)
+
+
+def test_territory_split_asks_its_verdict_once_a_level(spark):
+    """A condition with a subquery gives the pieces of one with a number and is not left in the plan of the result."""
+    roots = spark.createDataFrame([("a", "POLYGON ((0 0, 8 0, 8 8, 0 8, 0 0))")], "root string, wkt string")
+    lines = [(f"LINESTRING ({k % 8 / 2} {k // 8 / 2}, {k % 8 / 2 + 0.1} {k // 8 / 2})", k % 3 + 1) for k in range(64)]
+    lines = spark.createDataFrame(lines, "line_wkt string, count_lines long")
+    total = lines.agg(F.sum("count_lines")).scalar()
+    grid = spatial.Quad(0.0, 0.0, 16.0)
+    found = territory.split(roots, lines, F.col("count_lines"), lambda v: v / total > 0.2, 4, grid=grid, resolution=3)
+    assert "scalar-subquery" not in found._jdf.queryExecution().optimizedPlan().toString()
+    number = lines.agg(F.sum("count_lines")).first()[0]
+    plain = territory.split(roots, lines, F.col("count_lines"), lambda v: v / number > 0.2, 4, grid=grid, resolution=3)
+    assert sorted(found.collect()) == sorted(plain.collect()) != []

@@ -42,13 +42,17 @@ GENERATIONS = 6
 POPULATION = 4
 #: Bins filled less than this are opened again in the second round; so many blocks give one new block.
 REOPEN_BELOW, BLOCKS_JOINED = 0.97, 16
-TABLE_ENTRIES = 250_000
+TABLE_ENTRIES = 600_000
 LONGEST_KEPT = 48
+#: Words encoded at once if they are not of letters alone; longer texts cost the tokenizer more for each word.
+TOGETHER = 100
 END_ID = 0
 
 #: A space before a character that is no white space always starts a new pre-token, whatever stands before it.
 _CUT = re.compile(r" (?=\S)")
 _BLANK = re.compile(r"\s")
+#: Latin letters: a run of them, with or without a space in front, is one pre-token.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 _coders: dict[str, Coder] = {}
 
 
@@ -56,15 +60,21 @@ class Coder:
     """Byte-level BPE ids with a table from each distinct spaced word to its ids.
 
     Pre-tokens never cross a cut, so the ids of a text are those of its words in order. Nor do they cross a single line
-    feed between other characters, or the border of letters and a full stop or comma. New words are encoded many at a
-    time, one a line, as a line feed before a space is a token of its own.
+    feed between other characters, or the border of letters and a full stop or comma. New words of Latin letters are one
+    pre-token each and go straight to the merges of the model; others are encoded many at a time, one a line, as a line
+    feed before a space is a token of its own.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(path)
+        self.merges = self.model.model.tokenize
+        #: how the model spells a space and letters beyond ASCII, byte by byte
+        spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.front = spelt(" ")[0][0]
+        self.spelling = {c: spelt(chr(c))[0][0] for c in range(0xC0, 0x250)}
         #: added tokens are found before words are; texts that hold one are encoded whole
         self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
         #: ids of words with a space in front; keys never begin with white space
@@ -79,8 +89,15 @@ class Coder:
 
     def _encode(self, words: list[str], space: str, table: dict[str, bytes]) -> None:
         """Words without white space, into ``table``."""
-        for k in range(0, len(words), 500):
-            part = words[k : k + 500]
+        front, others = self.front if space else "", []
+        for w in words:
+            if _LETTERS.fullmatch(w):
+                spelt = w if w.isascii() else w.translate(self.spelling)
+                table[w] = array("I", [t.id for t in self.merges(front + spelt)]).tobytes()
+            else:
+                others.append(w)
+        for k in range(0, len(others), TOGETHER):
+            part = others[k : k + TOGETHER]
             ids = np.asarray(self._plain("\n".join([space + w for w in part])), "<u4")
             cuts = np.flatnonzero(ids == self.feed[0])
             if len(self.feed) == 1 and len(cuts) == len(part) - 1:
@@ -96,7 +113,7 @@ class Coder:
         marked = [w for w in words if w[-1] in ".," and w[:-1].isalpha()]
         new = words.difference(marked)
         new.update(w[:-1] for w in marked if w[:-1] not in table)
-        self._encode(sorted(new), space, table)
+        self._encode(list(new), space, table)
         for w in marked:
             table[w] = table[w[:-1]] + self.marks[w[-1]]
 
@@ -104,7 +121,7 @@ class Coder:
         """Add words to the table. They do not begin with white space."""
         simple, lined = set(), {}
         for w in words:
-            if not _BLANK.search(w):
+            if w.isalpha() or not _BLANK.search(w):
                 simple.add(w)
                 continue
             parts = w.split("\n")
@@ -133,23 +150,25 @@ class Coder:
         split, new = [], set()
         for text in texts:
             if any(a in text for a in self.added):
-                split.append((text, [], []))
+                split.append((text, [], [], []))
                 continue
-            head, *rest = text.split(" ")
-            found = [table.get(w) for w in rest]
-            if None in found:
-                unknown = {w for w, ids in zip(rest, found, strict=True) if ids is None}
-                if any(not w or w[0].isspace() for w in unknown):  # a space before white space is no cut
-                    head, *rest = _CUT.split(text)
-                    unknown = {w for w in rest if w not in table}
-                new |= unknown
-                found = None
-            split.append((head, rest, found))
+            rest = text.split(" ")
+            head = rest.pop(0)
+            found = list(map(table.get, rest))
+            holes = [i for i, ids in enumerate(found) if ids is None]
+            if any(not rest[i] or rest[i][0].isspace() for i in holes):  # a space before white space is no cut
+                head, *rest = _CUT.split(text)
+                found = list(map(table.get, rest))
+                holes = [i for i, ids in enumerate(found) if ids is None]
+            new.update([rest[i] for i in holes])
+            split.append((head, rest, found, holes))
         self.learn(new)
         out = []
-        for head, rest, found in split:
+        for head, rest, found, holes in split:
+            for i in holes:
+                found[i] = table[rest[i]]
             ids = array("I", self._plain(head)).tobytes() if head else b""
-            out.append(ids + b"".join([table[w] for w in rest] if found is None else found))
+            out.append(ids + b"".join(found))
         for w in new:
             if len(w) > LONGEST_KEPT:
                 table.pop(w, None)

@@ -196,3 +196,21 @@ def test_pages(spark):
     assert {(1, "Short."), (2, ""), (3, ""), (None, "no tags"), (5, "cut off in the mid")} <= text
     assert max(r["n_chars"] for r in got) == 2 * 40000 - 1
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_letter_words_go_straight_to_the_merges(prose):
+    """Distinct words of letters cost no run of the whole tokenizer, and their ids are those of the library."""
+    dice = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyzÀÖØöøÿĀſƀǃɏ"
+    words = ["".join(dice.choices(letters, k=dice.randint(1, 14))) for _ in range(3000)]
+    odd = [f"{a}{m}{b}" for a, m, b in zip(words[:40], "×÷ʼɐ߀'’_0-.,;\xa0ªµ́\n" * 3, words[40:])]
+    marked = [w + dice.choice(["", "", ".", ",", ".\nThe", "\n", "###"]) for w in words]
+    code = packing.Coder(BPE)
+    plain, given = code._plain, []
+    code._plain = lambda text: (given.append(text), plain(text))[1]
+    for text in (" ".join(words), " ".join(marked), " ".join(odd), "\n".join(words)):
+        given.clear()
+        got = np.frombuffer(code([f"x {text}"])[0], "<u4").tolist()
+        assert [*got, 0] == _ids(f"x {text}")
+        if text == " ".join(words):
+            assert sum(map(len, given)) < 10

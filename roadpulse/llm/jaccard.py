@@ -19,10 +19,11 @@ the threshold, 75 % by default; in whole numbers, if 7 times the symmetric diffe
 * **Verification.** Sizes, then bit sketches, then whole texts are compared. Members of a bucket are first compared with
   the member that shares most; links give components, and only pairs of different components are compared further: all of
   them in buckets of ``SMALL`` members at most. Larger (hot) buckets come from passages that many texts share, or from
-  large groups of near copies. A document leaves the hot buckets of a band only if its other keys of that band are more
-  than the blocks in which it can differ from any partner, so that it surely meets each of them there. All others, and so
-  all large sets, are compared bucket by bucket: their sketches in tiles, each pair of tiles a task of bounded size that
-  gives out only the pairs whose sketches allow a link. Hotness of a key loses no pair that shares it.
+  large groups of near copies. A document keeps the first d + 1 of its keys of a band, d being the blocks in which it can
+  differ from any partner and the order of keys the same for all, by the size of their buckets: the first key that two
+  linked documents share is among them in both. So it leaves the other hot buckets; large sets leave none. The rest is
+  compared bucket by bucket: sketches in tiles, each pair of tiles a task of bounded size that gives out only the pairs
+  whose sketches allow a link. Hotness of a key loses no pair that shares it.
 
 Equal sets are one entry throughout (by a 64-bit hash of the set), so copies cost nothing. Components are found by
 label propagation over written tables; nothing of the size of the data is collected.
@@ -39,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import slices, stored, text_buffers
@@ -318,14 +319,22 @@ class Join:
         few = found.where(F.col("n") <= small)
         a, b = few.select("key", F.col("entry").alias("a"), F.col("comp").alias("x"), F.col("size").alias("n_a")), few.select("key", F.col("entry").alias("b"), F.col("comp").alias("y"), F.col("size").alias("n_b"))
         self.compare(self.likely(a.join(b, "key").where("a < b and x <> y")))
-        # members that surely meet their partners elsewhere leave the large buckets of a band
-        large = found.where(F.col("n") > small).select("key", "entry", "size", side(F.col("key")).alias("side"))
-        hot = self.members.join(self.sizes.where(F.col("n") > small).select("key"), "key")
-        hot = hot.groupBy("entry", side(F.col("key")).alias("side")).agg(F.count("*").alias("hot"))
+        self.compare(self.likely(self.tiled(self.open(self.hot(small)))))
+
+    def hot(self, small: int) -> DataFrame:
+        """key, entry, size of the members that must be compared in the large buckets.
+
+        All keys have one order, by the size of their bucket. The first key that two linked sets share in it stands behind
+        keys of either that the other has not, so it is among the first d + 1 of both, d being the keys in which they may
+        differ: a member stays in those large buckets only.
+        """
+        own = Window.partitionBy("entry", "side")
+        large = self.sizes.where(F.col("n") > small).withColumnRenamed("n", "members")
+        met = self.members.join(large, "key").withColumn("side", side(F.col("key")))
+        met = met.withColumn("hot", F.count("*").over(own)).withColumn("place", F.row_number().over(own.orderBy("members", "key")))
         cold = F.when(F.col("side") == 0, F.col("n_even")).otherwise(F.col("n_keys") - F.col("n_even")) - F.col("hot")
-        rich = hot.join(self.entries, "entry").where(cold <= differing(F.col("n"), F.col("side"), self.keys)).select("entry", "side")
-        rich = stored(rich, "jaccard-rich")
-        self.compare(self.likely(self.tiled(self.open(large.join(rich, ["entry", "side"]).select("key", "entry", "size")))))
+        met = met.join(self.entries.select("entry", "n", "n_keys", "n_even"), "entry")
+        return stored(met.where(cold + F.col("place") <= differing(F.col("n"), F.col("side"), self.keys) + 1).select("key", "entry", "size"), "jaccard-hot")
 
     def tiled(self, members: DataFrame) -> DataFrame:
         """Pairs (a, b) of different components that share a bucket and whose sizes and sketches allow a link.

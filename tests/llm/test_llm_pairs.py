@@ -218,3 +218,21 @@ def test_neighbours_of_few(spark):
     assert [tuple(r) for r in got] == [(20, 1, 22, 2.0), (20, 2, 21, 0.5)]
     assert ann.search(few.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert ann.search(few.where("vec_id = 20"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_hot_buckets_keep_only_the_keys_that_must_meet(documents, prose, monkeypatch):
+    # a passage in unlinked texts: their keys are hot, and most of a text's keys need not be compared
+    passage = prose(24, 5)
+    rows = [(k, f"{prose(14, 100 + k)} {passage}") for k in range(60)]
+    rows += [(100 + k, f"{rows[k][1]} tail{k}") for k in range(0, 60, 7)]
+    seen, tiled = {}, jaccard.Join.tiled
+
+    def record(self, members):
+        large = self.members.join(self.sizes.where("n > 4"), "key")
+        seen["hot"], seen["kept"] = large.count(), members.count()
+        return tiled(self, members)
+
+    monkeypatch.setattr(jaccard.Join, "tiled", record)
+    got = {tuple(r) for r in jaccard.join(documents(rows), small=4).collect()}
+    assert got == _components(rows)
+    assert len({r[2] for r in got}) == 60 and 0 < seen["kept"] < 0.8 * seen["hot"]
